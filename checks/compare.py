@@ -53,7 +53,8 @@ def main(argv: list[str]) -> int:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(QUERIES)
     spark = build_session("compare", "local[8]", **{"spark.sql.shuffle.partitions": "8",
-                                                    "spark.driver.memory": "8g"})
+                                                    "spark.driver.memory": "8g",
+                                                    "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle_connection(sf_dir)
     bad = 0

@@ -17,7 +17,7 @@ from footfall.operators.distinct_state import build_state, merge_state, read_sta
 from footfall.operators.dwell import page_visits
 from footfall.operators.latest import live_rows
 from footfall.operators.segments import mark_segments
-from footfall.operators.slices import HOT_ROWS, SLICE, running, with_slices
+from footfall.operators.slices import Slicer, running, slice_hot_keys
 from footfall.plans import dashboards, dimensions, exploration, olap
 from footfall.plans.widen import detail, lookup_misses
 from footfall.sinks.partitions import retained
@@ -120,21 +120,28 @@ def sessions_hll_day(spark, sf_dir):
         (F.abs(F.col("session_cnt") - F.col("sessions")) <= F.col("sessions") * 0.05).alias("within_5_percent"))
 
 
+def _by_session(spark: SparkSession, sf_dir: str) -> Slicer:
+    """Hot sessions, counted on the raw events: the lookups do not change a session's rows."""
+    return slice_hot_keys("session_id", "event_time", samples.ods(spark, sf_dir).select("session_id"))
+
+
+def _by_play(spark: SparkSession, sf_dir: str) -> Slicer:
+    plays = samples.ods(spark, sf_dir).where(F.col("event_id").isin(*olap.PLAY_EVENTS))
+    return slice_hot_keys("play_id", "event_time", plays.select(F.col("properties")["play_id"].alias("play_id")))
+
+
 def page_dwell(spark, sf_dir):
-    return olap.page_dwell(samples.dwd(spark, sf_dir, users=True, geo=True), ["seq"],
-                           counted=samples.ods(spark, sf_dir).select("session_id"))
+    return olap.page_dwell(samples.dwd(spark, sf_dir, users=True, geo=True), ["seq"], _by_session(spark, sf_dir))
 
 
 def page_dwell_per_page(spark, sf_dir):
-    return olap.page_dwell_per_page(
-        olap.page_dwell(_without_areas(samples.dwd(spark, sf_dir, users=True)), ["seq"],
-                        counted=samples.ods(spark, sf_dir).select("session_id")))
+    dwd = _without_areas(samples.dwd(spark, sf_dir, users=True))
+    return olap.page_dwell_per_page(olap.page_dwell(dwd, ["seq"], _by_session(spark, sf_dir)))
 
 
 def video_segments(spark, sf_dir):
-    return olap.video_segments(
-        samples.dwd(spark, sf_dir, users=True, geo=True), samples.dim_video(spark, sf_dir),
-        counted=olap.play_rows(_without_areas(samples.dwd(spark, sf_dir).withColumn("user_id", F.lit(0)))))
+    return olap.video_segments(samples.dwd(spark, sf_dir, users=True, geo=True), samples.dim_video(spark, sf_dir),
+                               _by_play(spark, sf_dir))
 
 
 def _without_areas(dwd: DataFrame) -> DataFrame:
@@ -167,8 +174,8 @@ def event_rows(spark, sf_dir):
 def geohash_cells(spark, sf_dir):
     """Geohash, and its reverse, of every located event's position, with the events there."""
     return samples.ods(spark, sf_dir).groupBy("lat", "lng").agg(F.count(F.lit(1)).alias("events")).select(
-        "lat", "lng", geohash5(F.col("lat"), F.col("lng")).alias("geohash"),
-        F.reverse(geohash5(F.col("lat"), F.col("lng"))).alias("reversed"), "events")
+        "lat", "lng", geohash5("lat", "lng").alias("geohash"),
+        F.reverse(geohash5("lat", "lng")).alias("reversed"), "events")
 
 
 def time_slices(spark, sf_dir):
@@ -258,9 +265,9 @@ def running_sum_by_gender(spark, sf_dir):
 def running_loads_by_session(spark, sf_dir):
     """Page loads of the session so far at each event, with every session above 20 rows cut into hourly slices."""
     rows = samples.ods(spark, sf_dir).select("seq", "session_id", "event_id", "action_time")
-    sliced = with_slices(rows, "session_id", "action_time", min_rows=20, slice_ms=3_600_000)
     loads = F.when(F.col("event_id") == "page_load", 1).otherwise(0).cast("long")
-    return running(sliced, "session_id", "action_time", {"loads": ("sum", loads)}).drop(SLICE, HOT_ROWS)
+    return running(rows, "session_id", "action_time", {"loads": ("sum", loads)},
+                   slice_hot_keys("session_id", "action_time", min_rows=20, slice_ms=3_600_000))
 
 
 def merged_bitmap_users(spark, sf_dir):
@@ -276,7 +283,7 @@ def merged_dwell_loads(spark, sf_dir):
     """Page intervals loaded in one-minute pieces and merged by greatest end."""
     visits = page_visits(
         olap.page_rows(_without_areas(samples.dwd(spark, sf_dir, users=True)), ["seq"]),
-        ["user_id", "province", "city", "region", "url"], ["seq"])
+        olap.PAGE_COLUMNS, ["seq"])
     pieces = visits.where(F.col("url").isNotNull()).groupBy(
         time_slice(F.col("event_time"), 1).alias("minute"), "user_id", "session_id", "url",
         F.col("page_load_time").alias("page_start_time")).agg(F.max("event_time").alias("page_end_time"))

@@ -29,10 +29,17 @@ def millis(ms: Column, unit_ms: int = 1) -> Column:
     return F.timestamp_millis(ms) if unit_ms == 1 else F.timestamp_seconds(ms)
 
 
-def epoch_ms(ntz: Column) -> Column:
-    """Milliseconds since 1970 of a wall-clock timestamp read as UTC, truncated."""
-    zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.call_function("div", F.timestamp_diff("MICROSECOND", zero, ntz), F.lit(1000))
+def epoch_ms_sql(ntz: str) -> str:
+    """SQL text: milliseconds since 1970 of a TIMESTAMP_NTZ read as UTC, truncated.
+
+    Built from calendar fields, which no session time zone touches.
+    """
+    return (f"(bigint(datediff({ntz}, date'1970-01-01')) * {DAY_MS} + hour({ntz}) * {HOUR_MS} "
+            f"+ minute({ntz}) * {MINUTE_MS} + bigint(extract(SECOND FROM {ntz}) * 1000))")
+
+
+def epoch_ms(ntz: str) -> Column:
+    return F.expr(epoch_ms_sql(ntz))
 
 
 def day_of(ms: Column, offset_ms: int = UTC8_MS) -> Column:

@@ -27,35 +27,37 @@ def _interleaved(lead: int, other: int) -> int:
 TABLE = "".join(ALPHABET[_interleaved(lead, other)] for lead in range(8) for other in range(4))
 
 
-def _cell(degrees: Column, cells: int) -> Column:
+def _cell(degrees: str, cells: int) -> str:
     """Index of the cell holding ``degrees``.
 
     ``degrees * 1024`` and ``45 * index`` are exact in doubles, the quotient is not: just below a cell edge it may
     round up to the edge, never beyond, so one comparison corrects it. The axis' upper end belongs to the last cell.
     """
-    scaled = degrees * F.lit(1024.0)
-    guess = F.floor(scaled / F.lit(45.0))
-    exact = guess - (scaled < guess * F.lit(45)).cast("long")
-    return F.least(exact + F.lit(cells // 2), F.lit(cells - 1)).cast("int")
+    scaled = f"({degrees} * 1024D)"
+    guess = f"floor({scaled} / 45D)"
+    return f"int(least({guess} - if({scaled} < {guess} * 45, 1, 0) + {cells // 2}, {cells - 1}))"
 
 
-def _bits(cell: Column, low: int, width: int) -> Column:
-    return F.shiftright(cell, low).bitwiseAND(F.lit((1 << width) - 1))
+def _bits(cell: str, low: int, width: int) -> str:
+    return f"(shiftright({cell}, {low}) & {(1 << width) - 1})"
 
 
-def _character(lead: Column, lead_low: int, other: Column, other_low: int) -> Column:
-    position = _bits(lead, lead_low, 3) * F.lit(4) + _bits(other, other_low, 2) + F.lit(1)
-    return F.substr(F.lit(TABLE), position, F.lit(1))
+def _character(lead: str, lead_low: int, other: str, other_low: int) -> str:
+    return f"substr('{TABLE}', {_bits(lead, lead_low, 3)} * 4 + {_bits(other, other_low, 2)} + 1, 1)"
 
 
-def geohash5(lat: Column, lng: Column) -> Column:
-    """Geohash text; NULL when a coordinate is NULL, NaN or off the globe."""
+def geohash5_sql(lat: str, lng: str) -> str:
+    """SQL text of the geohash of two DOUBLE expressions.
+
+    Text, because one parsed expression costs the driver far less than some hundred column calls. The repeated cell
+    numbers are evaluated once per row by the generated code's common subexpressions.
+    """
     x, y = _cell(lng, LNG_CELLS), _cell(lat, LAT_CELLS)
-    code = F.concat(
-        _character(x, 10, y, 10),
-        _character(y, 7, x, 8),
-        _character(x, 5, y, 5),
-        _character(y, 2, x, 3),
-        _character(x, 0, y, 0),
-    )
-    return F.when(lat.between(-90, 90) & lng.between(-180, 180), code)
+    letters = [_character(x, 10, y, 10), _character(y, 7, x, 8), _character(x, 5, y, 5), _character(y, 2, x, 3),
+               _character(x, 0, y, 0)]
+    return f"if({lat} BETWEEN -90 AND 90 AND {lng} BETWEEN -180 AND 180, concat({', '.join(letters)}), NULL)"
+
+
+def geohash5(lat: str = "lat", lng: str = "lng") -> Column:
+    """Geohash text of two coordinate columns; NULL when one is NULL, NaN or off the globe."""
+    return F.expr(geohash5_sql(lat, lng))

@@ -1,8 +1,9 @@
 """Left lookups into keyed dimensions.
 
 A dimension snapshot is unique per key (``unique_by`` is applied when it is published), so a lookup never multiplies
-events. No broadcast is forced: Spark's own size check broadcasts a small snapshot, and a large one is joined by a
-sort-merge join whose skewed partitions adaptive execution splits.
+events. A stored snapshot needs no hint: Spark broadcasts it when its files are small enough, and else joins by a
+sort-merge join whose skewed partitions adaptive execution splits. A computed dimension hides its size from that
+check; a caller who has counted it (``at_most``) may ask for the broadcast.
 """
 
 from __future__ import annotations
@@ -17,6 +18,11 @@ SALTS = 4096
 NO_KEY = "\u0000"
 
 
+def at_most(table: DataFrame, rows: int) -> bool:
+    """Whether ``table`` has no more than ``rows`` rows; reads only as far as needed to tell."""
+    return table.limit(rows + 1).count() <= rows
+
+
 def spread_nulls(key: Column, salt_by: Sequence[str]) -> Column:
     """``key``, with NULL replaced by one of many texts that match nothing.
 
@@ -28,16 +34,17 @@ def spread_nulls(key: Column, salt_by: Sequence[str]) -> Column:
 
 
 def lookup(events: DataFrame, dimension: DataFrame, event_key: Column, dim_key: Column,
-           fields: dict[str, str], salt_by: Sequence[str] = ()) -> DataFrame:
+           fields: dict[str, str], salt_by: Sequence[str] = (), small: bool = False) -> DataFrame:
     """Add ``fields`` (new name -> dimension column) to every event; NULL where the dimension has no such key.
 
-    With ``salt_by`` the keys are texts and rows without a key are spread by these columns.
+    With ``salt_by`` the keys are texts and rows without a key are spread by these columns. ``small`` states that the
+    dimension has been counted and fits every executor.
     """
     side = dimension.where(dim_key.isNotNull()).select(
         dim_key.alias("__dim_key"), *[F.col(source).alias(name) for name, source in fields.items()])
     key = spread_nulls(event_key, salt_by) if salt_by else event_key
     joined = events.withColumn("__event_key", key).join(
-        side, F.col("__event_key") == F.col("__dim_key"), "left")
+        F.broadcast(side) if small else side, F.col("__event_key") == F.col("__dim_key"), "left")
     return joined.drop("__event_key", "__dim_key")
 
 

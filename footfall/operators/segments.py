@@ -1,27 +1,38 @@
-"""Play segments: a play splits where it resumes after a pause."""
+"""Play segments: a play splits where it resumes after a pause.
+
+A part starts at the latest resume so far, or at the play's first event. Part number and start are running aggregates
+of one window, so no second shuffle by (play, part) is needed; events of one time share both.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.operators.slices import HOT_ROWS, SLICE, running, with_slices
+from footfall.operators.slices import Measures, Slicer, running, running_state, slice_hot_keys
 
 RESUME = "video_resume"
+KEY = "play_id"
+TIME = "event_time"
 
 
-def mark_segments(plays: DataFrame, key: str = "play_id", counted: DataFrame | None = None, **slicing) -> DataFrame:
-    """Add ``part_no`` (resumes so far) and ``part_start_time`` (first event of that part).
-
-    A part starts at the latest resume so far, or at the play's first event; events of one time share both values.
-    Both are running aggregates of one window, so no second shuffle by (play, part) is needed.
-    """
-    timed = plays.where(F.col("event_time").isNotNull())
+def _measures() -> Measures:
     resumed = F.col("event_id") == RESUME
-    marked = running(with_slices(timed, key, "event_time", counted, **slicing), key, "event_time", {
+    return {
         "part_no": ("sum", F.when(resumed, F.lit(1)).otherwise(F.lit(0)).cast("long")),
-        "__resumed_at": ("max", F.when(resumed, F.col("event_time"))),
-        "__started_at": ("min", F.col("event_time")),
-    })
-    start = F.coalesce(F.col("__resumed_at"), F.col("__started_at"))
-    return marked.withColumn("part_start_time", start).drop("__resumed_at", "__started_at", SLICE, HOT_ROWS)
+        "resumed_at": ("max", F.when(resumed, F.col(TIME))),
+        "started_at": ("min", F.col(TIME)),
+    }
+
+
+def mark_segments(plays: DataFrame, cut: Slicer | None = None, carried: DataFrame | None = None) -> DataFrame:
+    """Add ``part_no`` (resumes so far) and ``part_start_time``. ``carried`` is ``play_state`` of earlier events."""
+    marked = running(plays.where(F.col(TIME).isNotNull()), KEY, TIME, _measures(),
+                     cut or slice_hot_keys(KEY, TIME), carried)
+    return marked.withColumn("part_start_time", F.coalesce("resumed_at", "started_at")) \
+        .drop("resumed_at", "started_at")
+
+
+def play_state(plays: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """Per play: last event time, resumes so far, last resume, start."""
+    return running_state(plays.where(F.col(TIME).isNotNull()), KEY, TIME, _measures(), carried)

@@ -4,10 +4,14 @@
 window partition. What a slice must know of the slices before it arrives as one *seed* row that sorts before its
 rows; the seeds come from one summary row per slice. Ordinary keys stay whole (slice -1) and have no seeds, so they
 pay one shuffle as before.
+
+A micro-batch continues where the last one stopped in the same way: the state carried over enters as seed rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,53 +19,84 @@ from footfall.functions.clock import MINUTE_MS, floor_div
 
 SLICE = "__slice"
 HOT_ROWS = "__hot_rows"
+SEED = "__seed"
 WHOLE = -1
 
+Slicer = Callable[[DataFrame], DataFrame]
+
 
-def with_slices(rows: DataFrame, key: str, time_ms: str, counted: DataFrame | None = None,
-                min_rows: int = 1_000_000, share: float = 1e-5, slice_ms: int = MINUTE_MS) -> DataFrame:
-    """Add ``__slice`` and ``__hot_rows`` (NULL for an ordinary key).
+def slice_hot_keys(key: str, time_ms: str, counted: DataFrame | None = None, min_rows: int = 1_000_000,
+                   share: float = 1e-5, slice_ms: int = MINUTE_MS) -> Slicer:
+    """Adds ``__slice`` and ``__hot_rows`` (NULL for an ordinary key).
 
     A key is hot from ``min_rows`` rows and ``share`` of all rows on. At most ``1 / share`` keys can hold such a
     share, which bounds the broadcast list whatever the data. ``counted`` may name a narrower input with the same
     keys to count on.
     """
-    source = rows if counted is None else counted
-    counts = source.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias(HOT_ROWS))
-    enough = counts.agg(F.ceil(F.coalesce(F.sum(HOT_ROWS), F.lit(0)) * F.lit(share)).alias("n")).scalar()
-    hot = counts.where((F.col(HOT_ROWS) >= F.lit(min_rows)) & (F.col(HOT_ROWS) >= enough))
-    marked = rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("__key")), "left")
-    slice_no = F.when(F.col(HOT_ROWS).isNotNull(), floor_div(F.col(time_ms), slice_ms)).otherwise(F.lit(WHOLE))
-    return marked.withColumn(SLICE, slice_no.cast("long")).drop("__key")
 
+    def cut(rows: DataFrame) -> DataFrame:
+        source = rows if counted is None else counted
+        counts = source.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias(HOT_ROWS))
+        enough = counts.agg(F.ceil(F.coalesce(F.sum(HOT_ROWS), F.lit(0)) * F.lit(share)).alias("n")).scalar()
+        hot = counts.where((F.col(HOT_ROWS) >= F.lit(min_rows)) & (F.col(HOT_ROWS) >= enough))
+        marked = rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("__key")), "left")
+        number = F.when(F.col(HOT_ROWS).isNotNull(), floor_div(F.col(time_ms), slice_ms)).otherwise(F.lit(WHOLE))
+        return marked.withColumn(SLICE, number.cast("long")).drop("__key")
+
+    return cut
+
+
+def slice_every_key(time_ms: str, slice_ms: int = MINUTE_MS) -> Slicer:
+    """For keys of few values, all of which are hot."""
 
-def slice_all(rows: DataFrame, time_ms: str, slice_ms: int = MINUTE_MS) -> DataFrame:
-    """Cut every key: for keys of few values, all of which are hot."""
-    return rows.withColumn(HOT_ROWS, F.lit(1).cast("long")).withColumn(SLICE, floor_div(F.col(time_ms), slice_ms))
+    def cut(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(HOT_ROWS, F.lit(1).cast("long")) \
+            .withColumn(SLICE, floor_div(F.col(time_ms), slice_ms))
+
+    return cut
 
 
 MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
+# New column -> (sum, min or max; input expression).
+Measures = dict[str, tuple[str, Column]]
+
+
+def _inputs(rows: DataFrame, key: str, time_ms: str, measures: Measures, carried: DataFrame | None) -> DataFrame:
+    inputs = rows.select("*", F.lit(False).alias(SEED),
+                         *[value.alias(f"__in_{name}") for name, (_, value) in measures.items()])
+    if carried is None:
+        return inputs
+    return inputs.unionByName(carried.select(
+        key, time_ms, F.lit(True).alias(SEED), *[F.col(name).alias(f"__in_{name}") for name in measures],
+    ), allowMissingColumns=True)
 
 
-def running(sliced: DataFrame, key: str, time_ms: str, measures: dict[str, tuple[str, Column]]) -> DataFrame:
+def running(rows: DataFrame, key: str, time_ms: str, measures: Measures, cut: Slicer,
+            carried: DataFrame | None = None) -> DataFrame:
     """Add running aggregates over (``key`` ordered by ``time_ms``), rows of one time sharing a value.
 
-    ``measures`` maps a new column to (sum, min or max, input expression). ``time_ms`` must not be NULL: NULL marks
-    the seed rows and sorts first.
+    ``time_ms`` must not be NULL: NULL marks the seeds of slices and sorts first. ``carried`` holds, per key, the time
+    and the measures reached before (``running_state`` of the rows before these).
     """
-    inputs = sliced.select(
-        "*", *[value.alias(f"__in_{name}") for name, (_, value) in measures.items()])
-    summary = inputs.where(F.col(HOT_ROWS).isNotNull()).groupBy(key, SLICE).agg(
+    sliced = cut(_inputs(rows, key, time_ms, measures, carried))
+    summary = sliced.where(F.col(HOT_ROWS).isNotNull()).groupBy(key, SLICE).agg(
         *[MERGE[kind](f"__in_{name}").alias(f"__in_{name}") for name, (kind, _) in measures.items()])
     before = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     seeds = summary.select(
-        key, SLICE,
+        key, SLICE, F.lit(True).alias(SEED),
         *[MERGE[kind](f"__in_{name}").over(before).alias(f"__in_{name}")
-          for name, (kind, _) in measures.items()],
-        F.lit(True).alias("__seed"))
-    together = inputs.withColumn("__seed", F.lit(False)).unionByName(seeds, allowMissingColumns=True)
+          for name, (kind, _) in measures.items()])
     upto = Window.partitionBy(key, SLICE).orderBy(time_ms)
-    return together.select(
-        *sliced.columns, "__seed",
+    return sliced.unionByName(seeds, allowMissingColumns=True).select(
+        *rows.columns, SEED,
         *[MERGE[kind](f"__in_{name}").over(upto).alias(name) for name, (kind, _) in measures.items()],
-    ).where(~F.col("__seed")).drop("__seed")
+    ).where(~F.col(SEED)).drop(SEED)
+
+
+def running_state(rows: DataFrame, key: str, time_ms: str, measures: Measures,
+                  carried: DataFrame | None = None) -> DataFrame:
+    """Per key the last time and the measures reached, to be carried into later rows."""
+    return _inputs(rows, key, time_ms, measures, carried).groupBy(key).agg(
+        F.max(time_ms).alias(time_ms),
+        *[MERGE[kind](f"__in_{name}").alias(name) for name, (kind, _) in measures.items()])
+

@@ -30,7 +30,7 @@ def area_cells(areas: DataFrame) -> DataFrame:
     Communities collapse to their (cell, parent) before the three parent joins.
     """
     cells = areas.where((F.col("level") == 4) & F.col("bd09_lat").isNotNull() & F.col("bd09_lng").isNotNull()) \
-        .select(F.reverse(geohash5(F.col("bd09_lat"), F.col("bd09_lng"))).alias("geohash"),
+        .select(F.reverse(geohash5("bd09_lat", "bd09_lng")).alias("geohash"),
                 F.col("parentid").alias("region_id")).distinct()
 
     def level(name: str, up: str | None = None) -> DataFrame:

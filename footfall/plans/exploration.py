@@ -6,16 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.clock import floor_to, wall_clock
-from footfall.operators.slices import HOT_ROWS, SLICE, running, slice_all
+from footfall.operators.slices import Measures, running, slice_every_key
 
 WINDOW_S = 5
 
 
-def running_sum(lines: DataFrame) -> DataFrame:
+def timed_lines(lines: DataFrame) -> DataFrame:
+    return lines.where(F.col("action_time").isNotNull()).withColumn("ms", F.col("action_time") * 1000)
+
+
+def age_sum() -> Measures:
+    return {"sum_age": ("sum", F.col("age").cast("long"))}
+
+
+def running_sum(lines: DataFrame, carried: DataFrame | None = None) -> DataFrame:
     """Each line with the sum of ages of its gender up to its second. Genders are few, so all are sliced."""
-    timed = lines.where(F.col("action_time").isNotNull()).withColumn("ms", F.col("action_time") * 1000)
-    return running(slice_all(timed, "ms"), "gender", "ms", {"sum_age": ("sum", F.col("age"))}) \
-        .drop("ms", SLICE, HOT_ROWS)
+    return running(timed_lines(lines), "gender", "ms", age_sum(), slice_every_key("ms"), carried).drop("ms")
 
 
 def running_sum_then_window(lines: DataFrame) -> DataFrame:

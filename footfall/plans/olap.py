@@ -13,6 +13,7 @@ from footfall.operators.distinct_state import build_state, read_state
 from footfall.operators.dwell import page_visits
 from footfall.operators.lookup import lookup
 from footfall.operators.segments import mark_segments
+from footfall.operators.slices import Slicer
 
 TIME_GRAINS = {"time_trunk_1m": 1, "time_trunk_5m": 5, "time_trunk_10m": 10, "time_trunk_30m": 30,
                "time_trunk_1h": 60}
@@ -85,10 +86,12 @@ def page_rows(dwd: DataFrame, ties: Sequence[str] = ()) -> DataFrame:
                       F.col("properties")["url"].alias("url"))
 
 
-def page_dwell(dwd: DataFrame, ties: Sequence[str] = (), counted: DataFrame | None = None, **slicing) -> DataFrame:
+PAGE_COLUMNS = ["user_id", *AREA, "url"]
+
+
+def page_dwell(dwd: DataFrame, ties: Sequence[str] = (), cut: Slicer | None = None) -> DataFrame:
     """Start and end of every page visit."""
-    return dwell_intervals(page_visits(page_rows(dwd, ties), ["user_id", *AREA, "url"], ties, counted=counted,
-                                       **slicing))
+    return dwell_intervals(page_visits(page_rows(dwd, ties), PAGE_COLUMNS, ties, cut=cut))
 
 
 def page_dwell_per_page(intervals: DataFrame) -> DataFrame:
@@ -129,7 +132,6 @@ def name_videos(segments: DataFrame, videos: DataFrame) -> DataFrame:
     return named.withColumn("dt", day_of(F.col("partial_start_time"))).select(*VIDEO_KEYS, "partial_end_time")
 
 
-def video_segments(dwd: DataFrame, videos: DataFrame, counted: DataFrame | None = None, **slicing) -> DataFrame:
+def video_segments(dwd: DataFrame, videos: DataFrame, cut: Slicer | None = None) -> DataFrame:
     """Start and end of every played part, with the video's data."""
-    marked = mark_segments(play_rows(dwd), counted=counted, **slicing)
-    return name_videos(merge_segments(marked), videos)
+    return name_videos(merge_segments(mark_segments(play_rows(dwd), cut)), videos)

@@ -31,21 +31,22 @@ SALT = ("session_id", "event_time")
 
 
 def widen(events: DataFrame, users: DataFrame | None = None, geo: DataFrame | None = None,
-          pages: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
+          pages: DataFrame | None = None, keep: Sequence[str] = (),
+          small: Sequence[str] = ()) -> DataFrame:
     """Look up user (by name), area (by reversed geohash) and page (by url prefix) of every event.
 
     Each dimension is ``key, f STRUCT<...>``; one that is not given is not joined and its columns are left out.
-    ``keep`` names further event columns to pass on.
+    ``keep`` names further event columns to pass on, ``small`` the dimensions that were counted and may be broadcast.
     """
     wide = events.withColumnRenamed("action_time", "event_time")
     if users is not None:
-        wide = lookup(wide, users, F.col("username"), F.col("username"), USER_FIELDS, SALT)
+        wide = lookup(wide, users, F.col("username"), F.col("username"), USER_FIELDS, SALT, "users" in small)
     if geo is not None:
-        cell = F.reverse(geohash5(F.col("lat"), F.col("lng")))
-        wide = lookup(wide, geo, cell, F.col("geohash"), GEO_FIELDS, SALT)
+        cell = F.reverse(geohash5("lat", "lng"))
+        wide = lookup(wide, geo, cell, F.col("geohash"), GEO_FIELDS, SALT, "geo" in small)
     if pages is not None:
         prefix = url_prefix(F.col("properties")["url"])
-        wide = lookup(wide, pages, prefix, F.col("url_prefix"), PAGE_FIELDS, SALT)
+        wide = lookup(wide, pages, prefix, F.col("url_prefix"), PAGE_FIELDS, SALT, "pages" in small)
     return wide.select(*[c for c in WIDE_COLUMNS if c in wide.columns], *keep)
 
 

@@ -6,157 +6,148 @@ engine. Time is compressed 15 times (30 days to 2), which puts gaps inside sessi
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.functions import epoch_ms
-from footfall.functions.clock import UTC8_MS, DAY_MS, floor_div
+from footfall.functions.clock import DAY_MS, UTC8_MS, epoch_ms_sql
+from footfall.operators.lookup import at_most
 from footfall.plans.dimensions import USER_STRUCT, VIDEO_STRUCT, as_keyed, keyed_geo_dim
 from footfall.plans.widen import widen
 
 START_MS = 1_704_067_200_000
 COMPRESSION = 15
+MAX_SMALL_DIMENSION = 200_000
 
+ACTION_TIME = f"{START_MS} + ({epoch_ms_sql('ts')} - {START_MS}) div {COMPRESSION}"
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+def _latitude(key: str) -> str:
+    return f"double(3950 + ({key} % 40) * 2) / 100"
 
 
-def _div(value: Column, by: int) -> Column:
-    return F.call_function("div", value, F.lit(by))
+def _longitude(key: str) -> str:
+    return f"double(11600 + ({key} % 37) * 3) / 100"
 
 
-def _latitude(key: Column) -> Column:
-    return (3950 + (key % 40) * 2).cast("double") / 100
+# Stated rather than inferred: inference would cost a job per table and query.
+TABLES = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "region": "r_regionkey INT, r_name STRING",
+}
 
 
-def _longitude(key: Column) -> Column:
-    return (11600 + (key % 37) * 3).cast("double") / 100
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events plus ``seq``, the source's order."""
-    user, seq, kind = F.col("user_id"), F.col("seq"), F.col("event_type")
-    events = _table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("seq"), "user_id", "event_type",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        (F.lit(START_MS) + _div(epoch_ms(F.col("ts")) - START_MS, COMPRESSION)).alias("action_time"))
-    k = F.col("k")
-    playing = kind.isin("purchase", "error")
-    event_id = (
-        F.when((kind == "view") | ((kind == "click") & (seq % 2 == 0)), "page_load")
-        .when(kind == "click", "item_share")
-        .when(kind == "signup", "wake_up")
-        .when(playing, F.element_at(F.array(*[F.lit(e) for e in (
-            "video_play", "video_hb", "video_pause", "video_resume", "video_stop")]), (seq % 5 + 1).cast("int"))))
-    url = (
-        F.when(k % 8 == 0, F.concat(F.lit("/mall/promotion/qxlx"), k, F.lit(".html?a=1")))
-        .when(k % 8 == 1, F.concat(F.lit("/mall/promotion/qxcd"), k, F.lit(".html")))
-        .when(k % 8 == 2, F.concat(F.lit("/mall/promotion/qxjh"), k, F.lit(".html?b=2")))
-        .when((k % 8).between(3, 5), F.concat(F.lit("/content/article/"), k, F.lit(".html?a=3")))
-        .when(k % 8 == 6, F.concat(F.lit("/video/play/"), k, F.lit(".html"))))
-    located = user % 13 != 12
-    properties = F.create_map(
-        F.lit("url"), url,
-        F.lit("video_id"), F.when(playing, (seq % 20).cast("string")),
-        F.lit("play_id"), F.when(playing, F.concat(F.lit("p"), user, F.lit("_"), seq % 3)))
-    return events.select(
-        F.concat(F.lit("user_"), user).alias("username"),
-        F.concat(F.lit("s"), user, F.lit("_"), floor_div(F.col("action_time") + F.lit(UTC8_MS), DAY_MS))
-        .alias("session_id"),
-        event_id.alias("event_id"), "action_time",
-        F.when(located, _latitude(user)).alias("lat"), F.when(located, _longitude(user)).alias("lng"),
-        F.concat(F.lit("ch_"), user % 4).alias("release_channel"),
-        F.concat(F.lit("dev_"), user % 3).alias("device_type"),
-        F.map_filter(properties, lambda _, v: v.isNotNull()).alias("properties"),
+    events = _table(spark, sf_dir, "events").selectExpr(
+        "event_id AS seq", "user_id", "event_type AS kind", "int(get_json_object(props, '$.k')) AS k",
+        f"{ACTION_TIME} AS action_time", "event_type IN ('purchase', 'error') AS playing")
+    return events.selectExpr(
+        "concat('user_', user_id) AS username",
+        f"concat('s', user_id, '_', (action_time + {UTC8_MS}) div {DAY_MS}) AS session_id",
+        """CASE WHEN kind = 'view' OR (kind = 'click' AND seq % 2 = 0) THEN 'page_load'
+                WHEN kind = 'click' THEN 'item_share'
+                WHEN kind = 'signup' THEN 'wake_up'
+                WHEN playing THEN elt(int(seq % 5) + 1, 'video_play', 'video_hb', 'video_pause', 'video_resume',
+                                      'video_stop') END AS event_id""",
+        "action_time",
+        f"if(user_id % 13 <> 12, {_latitude('user_id')}, NULL) AS lat",
+        f"if(user_id % 13 <> 12, {_longitude('user_id')}, NULL) AS lng",
+        "concat('ch_', user_id % 4) AS release_channel",
+        "concat('dev_', user_id % 3) AS device_type",
+        """map_concat(
+               CASE WHEN k % 8 = 0 THEN map('url', concat('/mall/promotion/qxlx', k, '.html?a=1'))
+                    WHEN k % 8 = 1 THEN map('url', concat('/mall/promotion/qxcd', k, '.html'))
+                    WHEN k % 8 = 2 THEN map('url', concat('/mall/promotion/qxjh', k, '.html?b=2'))
+                    WHEN k % 8 IN (3, 4, 5) THEN map('url', concat('/content/article/', k, '.html?a=3'))
+                    WHEN k % 8 = 6 THEN map('url', concat('/video/play/', k, '.html'))
+                    ELSE CAST(map() AS MAP<STRING, STRING>) END,
+               if(playing, map('video_id', string(seq % 20), 'play_id', concat('p', user_id, '_', seq % 3)),
+                  CAST(map() AS MAP<STRING, STRING>))) AS properties""",
         "seq")
 
 
-def _registered(key: Column) -> Column:
-    text = (F.when(key % 11 == 10, F.lit(None)).when(key % 5 == 0, "2024-01-02 08:00:00")
-            .when(key % 5 == 1, "2024-01-01 09:00:00").otherwise("2018-11-12 14:22:55"))
-    return text.cast("timestamp_ntz")
-
-
 def user_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A user per customer."""
-    key = F.col("c_custkey")
-    nation = _table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("province"))
-    return _table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        key.alias("id"), F.concat(F.lit("user_"), key).alias("username"),
-        F.concat(F.lit("1"), F.lpad(key.cast("string"), 10, "0")).alias("phone"),
-        (key % 3).cast("int").alias("status"), _registered(key).alias("create_time"),
-        (key % 2).cast("int").alias("gender"),
-        F.date_add(F.lit("1980-01-01").cast("date"), (key % 10000).cast("int")).alias("birthday"),
-        "province", F.concat(F.lit("city_"), key % 50).alias("city"), F.col("c_mktsegment").alias("job"),
-        (key % 4).cast("int").alias("source_type"))
+    """A user per customer. The 25 nations are read as one map, which leaves the customers unshuffled."""
+    nations = _table(spark, sf_dir, "nation").selectExpr(
+        "map_from_entries(collect_list(struct(n_nationkey, n_name))) AS names").scalar()
+    return _table(spark, sf_dir, "customer").withColumn("province", nations[F.col("c_nationkey")]).selectExpr(
+        "c_custkey AS id", "concat('user_', c_custkey) AS username",
+        "concat('1', lpad(string(c_custkey), 10, '0')) AS phone", "int(c_custkey % 3) AS status",
+        """CASE WHEN c_custkey % 11 = 10 THEN NULL
+                WHEN c_custkey % 5 = 0 THEN timestamp_ntz'2024-01-02 08:00:00'
+                WHEN c_custkey % 5 = 1 THEN timestamp_ntz'2024-01-01 09:00:00'
+                ELSE timestamp_ntz'2018-11-12 14:22:55' END AS create_time""",
+        "int(c_custkey % 2) AS gender", "date_add(date'1980-01-01', int(c_custkey % 10000)) AS birthday",
+        "province", "concat('city_', c_custkey % 50) AS city", "c_mktsegment AS job",
+        "int(c_custkey % 4) AS source_type")
 
 
 def dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users by name; every tenth is missing."""
-    return as_keyed(user_rows(spark, sf_dir).where(F.col("id") % 10 != 9), "username", USER_STRUCT)
+    return as_keyed(user_rows(spark, sf_dir).where("id % 10 <> 9"), "username", USER_STRUCT)
 
 
 def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An insert per customer, an update for every fourth (renaming every 28th), a delete for every twentieth."""
-    customers = _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
-    changes = customers.select("id", F.explode(F.filter(
-        F.array(F.lit(1), F.when(F.col("id") % 4 == 0, 2), F.when(F.col("id") % 20 == 0, 3)),
-        lambda s: s.isNotNull())).alias("seq")).withColumn("seq", F.col("seq").cast("long"))
-    key, seq = F.col("id"), F.col("seq")
-    name = F.when((seq >= 2) & (key % 28 == 0), F.concat(F.lit("renamed_"), key)) \
-        .otherwise(F.concat(F.lit("user_"), key))
-    return changes.select(
-        F.element_at(F.array(F.lit("c"), F.lit("u"), F.lit("d")), seq.cast("int")).alias("op"), "seq", "id",
-        name.alias("username"), (key % 3 + F.when(seq >= 2, 10).otherwise(0)).cast("int").alias("status"))
+    changes = _table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS id",
+        """explode(filter(array(1L, if(c_custkey % 4 = 0, 2L, NULL), if(c_custkey % 20 = 0, 3L, NULL)),
+                          s -> s IS NOT NULL)) AS seq""")
+    return changes.selectExpr(
+        "elt(int(seq), 'c', 'u', 'd') AS op", "seq", "id",
+        "concat(if(seq >= 2 AND id % 28 = 0, 'renamed_', 'user_'), id) AS username",
+        "int(id % 3 + if(seq >= 2, 10, 0)) AS status")
 
 
 def video_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("id"), F.col("p_name").alias("video_name"), F.col("p_type").alias("video_type"),
-        F.col("p_brand").alias("video_album"), F.concat(F.lit("a"), "p_size").alias("video_author"),
-        (F.col("p_size").cast("long") * 60000).alias("video_timelong"))
+    return _table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS id", "p_name AS video_name", "p_type AS video_type", "p_brand AS video_album",
+        "concat('a', p_size) AS video_author", "bigint(p_size) * 60000 AS video_timelong")
 
 
 def dim_video(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Videos 0 to 14; play events also name 15 to 19, which are missing."""
-    return as_keyed(video_rows(spark, sf_dir).where(F.col("id") < 15), "id", VIDEO_STRUCT)
+    return as_keyed(video_rows(spark, sf_dir).where("id < 15"), "id", VIDEO_STRUCT)
 
 
 def video_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An insert per part, a longer version for every third, a delete for every tenth."""
-    steps = F.filter(F.array(F.lit(1), F.when(F.col("id") % 3 == 0, 2), F.when(F.col("id") % 10 == 0, 3)),
-                     lambda s: s.isNotNull())
-    rows = video_rows(spark, sf_dir).select("*", F.explode(steps).alias("seq")) \
-        .withColumn("seq", F.col("seq").cast("long"))
-    return rows.select(
-        F.element_at(F.array(F.lit("c"), F.lit("u"), F.lit("d")), F.col("seq").cast("int")).alias("op"), "seq", "id",
-        "video_name", "video_type", "video_album", "video_author",
-        (F.col("video_timelong") + F.when(F.col("seq") >= 2, 1000).otherwise(0)).alias("video_timelong"))
+    rows = video_rows(spark, sf_dir).selectExpr(
+        "*", """explode(filter(array(1L, if(id % 3 = 0, 2L, NULL), if(id % 10 = 0, 3L, NULL)),
+                               s -> s IS NOT NULL)) AS seq""")
+    return rows.selectExpr(
+        "elt(int(seq), 'c', 'u', 'd') AS op", "seq", "id", "video_name", "video_type", "video_album", "video_author",
+        "video_timelong + if(seq >= 2, 1000, 0) AS video_timelong")
 
 
 def areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region > nation > supplier > customer as a four-level area hierarchy, with unnamed areas on three levels."""
-    region, nation = _table(spark, sf_dir, "region"), _table(spark, sf_dir, "nation")
-    supplier, customer = _table(spark, sf_dir, "supplier"), _table(spark, sf_dir, "customer")
-    suppliers = supplier.agg(F.count(F.lit(1)).alias("n")).scalar()
-    nowhere = F.lit(None).cast("double")
-
-    def level(table: DataFrame, no: int, key: str, parent: Column, name: Column, lat: Column, lng: Column):
-        return table.select(
-            (F.lit(no * 10_000_000) + F.col(key)).cast("long").alias("id"), parent.cast("long").alias("parentid"),
-            F.lit(no).alias("level"), name.cast("string").alias("areaname"), lat.alias("bd09_lat"),
-            lng.alias("bd09_lng"))
-
-    key = F.col("c_custkey")
-    tops = level(region, 1, "r_regionkey", F.lit(0),
-                 F.when(F.col("r_regionkey") == 4, " ").otherwise(F.col("r_name")), nowhere, nowhere)
-    seconds = level(nation, 2, "n_nationkey", 10_000_000 + F.col("n_regionkey"), F.col("n_name"), nowhere, nowhere)
-    thirds = level(supplier, 3, "s_suppkey", 20_000_000 + F.col("s_nationkey"),
-                   F.when(F.col("s_suppkey") % 10 != 9, F.col("s_name")), nowhere, nowhere)
-    fourths = level(customer, 4, "c_custkey", 30_000_000 + key % suppliers, F.col("c_name"),
-                    F.when(key % 50 != 49, _latitude(key)), _longitude(key))
-    return tops.unionByName(seconds).unionByName(thirds).unionByName(fourths)
+    supplier = _table(spark, sf_dir, "supplier")
+    suppliers = supplier.selectExpr("count(*) AS n").scalar()
+    customer = _table(spark, sf_dir, "customer").withColumn("suppliers", suppliers)
+
+    def level(table: DataFrame, no: int, key: str, parent: str, name: str, lat: str = "NULL", lng: str = "NULL"):
+        return table.selectExpr(
+            f"bigint({no}0000000 + {key}) AS id", f"bigint({parent}) AS parentid", f"{no} AS level",
+            f"string({name}) AS areaname", f"double({lat}) AS bd09_lat", f"double({lng}) AS bd09_lng")
+
+    return level(
+        _table(spark, sf_dir, "region"), 1, "r_regionkey", "0", "if(r_regionkey = 4, ' ', r_name)",
+    ).unionByName(level(
+        _table(spark, sf_dir, "nation"), 2, "n_nationkey", "10000000 + n_regionkey", "n_name",
+    )).unionByName(level(
+        supplier, 3, "s_suppkey", "20000000 + s_nationkey", "if(s_suppkey % 10 <> 9, s_name, NULL)",
+    )).unionByName(level(
+        customer, 4, "c_custkey", "30000000 + c_custkey % suppliers", "c_name",
+        f"if(c_custkey % 50 <> 49, {_latitude('c_custkey')}, NULL)", _longitude("c_custkey")))
 
 
 def dim_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,18 +165,19 @@ def dim_page(spark: SparkSession) -> DataFrame:
 
 
 def dwd(spark: SparkSession, sf_dir: str, users: bool = False, geo: bool = False, pages: bool = False) -> DataFrame:
-    """Widened events with the wanted lookups, plus ``seq``."""
-    raw = ods(spark, sf_dir)
+    """Widened events with the wanted lookups, plus ``seq``.
+
+    The area dimension is computed here instead of read from a snapshot, so Spark cannot see its size in advance. It
+    has at most one row per customer: if those are counted to be few it is broadcast, else it is joined by shuffle.
+    """
+    small = ["geo"] if geo and at_most(_table(spark, sf_dir, "customer"), MAX_SMALL_DIMENSION) else []
     return widen(
-        raw, dim_user(spark, sf_dir) if users else None, dim_geo(spark, sf_dir) if geo else None,
-        dim_page(spark) if pages else None, keep=["seq"])
+        ods(spark, sf_dir), dim_user(spark, sf_dir) if users else None, dim_geo(spark, sf_dir) if geo else None,
+        dim_page(spark) if pages else None, keep=["seq"], small=small)
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Person lines id, name, gender, age, seconds out of the events."""
-    user = F.col("user_id")
-    return _table(spark, sf_dir, "events").select(
-        user.cast("string").alias("user_id"), F.concat(F.lit("user_"), user).alias("name"),
-        F.when(user % 2 == 0, "f").otherwise("m").alias("gender"),
-        (18 + user % 50).cast("int").alias("age"),
-        _div(F.lit(START_MS) + _div(epoch_ms(F.col("ts")) - START_MS, COMPRESSION), 1000).alias("action_time"))
+    return _table(spark, sf_dir, "events").selectExpr(
+        "string(user_id) AS user_id", "concat('user_', user_id) AS name", "if(user_id % 2 = 0, 'f', 'm') AS gender",
+        "int(18 + user_id % 50) AS age", f"({ACTION_TIME}) div 1000 AS action_time")
