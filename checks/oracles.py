@@ -241,8 +241,9 @@ SLICES = ", ".join(
 
 
 def _rollup(keys: str) -> str:
-    return sql(f"SELECT {keys}, CAST(sum(pv) AS BIGINT) AS pv, count(DISTINCT user_id) AS uv FROM olap GROUP BY ALL",
-               "olap")
+    return sql(f"""
+        SELECT {keys}, CAST(sum(pv) AS BIGINT) AS pv, count(DISTINCT user_id) AS uv,
+               count(DISTINCT session_id) AS session_cnt FROM olap GROUP BY ALL""", "olap")
 
 
 JSON_TEXT = """'{' || concat_ws(',', '"url":"' || url || '"', '"video_id":"' || video_id || '"',
@@ -311,6 +312,8 @@ ORACLES = {
     "traffic_rollup_new_5m": _rollup(
         f"{day('minute_ms')} AS dt, {trunk('minute_ms', 5)} AS time_trunk_5m, is_new"),
     "traffic_rollup_day": _rollup(f"{day('minute_ms')} AS dt"),
+    "bitmap_users_day": sql(f"""
+        SELECT {day('event_time')} AS dt, count(*) AS pv, count(DISTINCT user_id) AS uv FROM dwd GROUP BY 1""", "dwd"),
     "sessions_hll_day": sql(f"""
         SELECT {day('action_time')} AS dt, count(DISTINCT session_id) AS sessions, TRUE AS within_5_percent
         FROM ods GROUP BY 1""", "ods"),
@@ -374,7 +377,8 @@ ORACLES = {
                CAST(sum(CASE WHEN event_id = 'page_load' THEN 1 ELSE 0 END)
                     OVER (PARTITION BY session_id ORDER BY action_time) AS BIGINT) AS loads FROM ods""", "ods"),
     "merged_bitmap_users": sql(f"""
-        SELECT {day('event_time')} AS dt, count(*) AS pv, count(DISTINCT user_id) AS uv FROM dwd GROUP BY 1""", "dwd"),
+        SELECT {day('event_time')} AS dt, release_channel, count(*) AS pv, count(DISTINCT user_id) AS uv
+        FROM dwd GROUP BY 1, 2""", "dwd"),
     "merged_dwell_loads": sql("""
         SELECT user_id, session_id, url, load_time AS page_start_time, max(event_time) AS page_end_time
         FROM visits WHERE url IS NOT NULL GROUP BY ALL""", "visits"),

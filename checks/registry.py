@@ -84,7 +84,7 @@ def _rollup(spark: SparkSession, sf_dir: str, dims: list[str], **lookups: bool)
     for name in ("gps_province", "gps_city", "gps_region", "page_type", "page_service"):
         if name not in dwd.columns:
             dwd = dwd.withColumn(name, F.lit(None).cast("string"))
-    return olap.traffic_rollup(olap.traffic_olap(dwd), dims).drop("session_cnt")
+    return olap.traffic_rollup(olap.traffic_olap(dwd), dims)
 
 
 def traffic_rollup_province_1h(spark, sf_dir):
@@ -107,14 +107,23 @@ def traffic_rollup_day(spark, sf_dir):
     return _rollup(spark, sf_dir, ["dt"])
 
 
+def _device_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored roll-ups per day and device: bitmaps of users, sketches of sessions."""
+    dwd = _without_areas(samples.dwd(spark, sf_dir, users=True)).withColumns(
+        {c: F.lit(None).cast("string") for c in ("page_type", "page_service")})
+    return olap.traffic_state(olap.traffic_olap(dwd), ["dt", "device_type"])
+
+
+def bitmap_users_day(spark, sf_dir):
+    """Events and exact users per day, from the bitmaps stored per device."""
+    return olap.read_traffic_state(_device_states(spark, sf_dir), ["dt"]).select("dt", "pv", "uv")
+
+
 def sessions_hll_day(spark, sf_dir):
     """Exact sessions per day, and whether the merged sketches' estimate is within five percent of them."""
-    rows = samples.ods(spark, sf_dir).select(
-        day_of(F.col("action_time")).alias("dt"), F.col("device_type"), F.col("seq").alias("user_id"), "session_id",
-        F.lit(1).cast("long").alias("pv"))
-    by_device = build_state(rows, ["dt", "device_type"])
-    estimate = read_state(by_device, ["dt"]).select("dt", "session_cnt")
-    exact = rows.groupBy("dt").agg(F.count_distinct("session_id").alias("sessions"))
+    estimate = olap.read_traffic_state(_device_states(spark, sf_dir), ["dt"]).select("dt", "session_cnt")
+    exact = samples.ods(spark, sf_dir).groupBy(day_of(F.col("action_time")).alias("dt")) \
+        .agg(F.count_distinct("session_id").alias("sessions"))
     return exact.join(estimate, "dt").select(
         "dt", "sessions",
         (F.abs(F.col("session_cnt") - F.col("sessions")) <= F.col("sessions") * 0.05).alias("within_5_percent"))
@@ -271,12 +280,13 @@ def running_loads_by_session(spark, sf_dir):
 
 
 def merged_bitmap_users(spark, sf_dir):
-    """Users per day, by merging bitmaps built per day and channel."""
+    """Users per day and channel: two loads of each state merged by key, as after a compaction."""
     rows = samples.dwd(spark, sf_dir, users=True).select(
-        day_of(F.col("event_time")).alias("dt"), "release_channel", "user_id", "session_id",
+        day_of(F.col("event_time")).alias("dt"), "release_channel", "user_id", "session_id", "seq",
         F.lit(1).cast("long").alias("pv"))
-    return read_state(merge_state(build_state(rows, ["dt", "release_channel"]), ["dt", "release_channel"]), ["dt"]) \
-        .select("dt", "pv", "uv")
+    keys = ["dt", "release_channel"]
+    loads = build_state(rows.where("seq % 2 = 0"), keys).unionByName(build_state(rows.where("seq % 2 = 1"), keys))
+    return read_state(merge_state(loads, keys), keys).select(*keys, "pv", "uv")
 
 
 def merged_dwell_loads(spark, sf_dir):
@@ -294,7 +304,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     traffic_5m, traffic_today, promotion_today, top_pages_overall, top_pages_per_window, dwd_detail,
     lookup_miss_counts, user_dim, video_dim, geo_dim, traffic_olap_1m, traffic_rollup_province_1h,
     traffic_rollup_page_30m, traffic_rollup_terminal_10m, traffic_rollup_new_5m, traffic_rollup_day,
-    sessions_hll_day, page_dwell, page_dwell_per_page, video_segments, running_sum_then_window, retained_partitions,
+    bitmap_users_day, sessions_hll_day, page_dwell, page_dwell_per_page, video_segments, running_sum_then_window, retained_partitions,
     event_rows, geohash_cells, time_slices, url_parts, properties_json, user_lookup, area_lookup, page_lookup,
     area_hierarchy, latest_user_changes, promotion_loads, page_uv_5m, marked_visits, play_parts,
     running_sum_by_gender, running_loads_by_session, merged_bitmap_users, merged_dwell_loads,

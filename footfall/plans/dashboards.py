@@ -46,8 +46,8 @@ def traffic_today(dwd: DataFrame) -> DataFrame:
                     {"uv_amt": F.col("user_id"), "ses_amt": F.col("session_id")})
 
 
-def promotion_events(dwd: DataFrame) -> DataFrame:
-    """Loads of promotion pages with the page's name and the user as new user.
+def promotion_rows(dwd: DataFrame) -> DataFrame:
+    """All events with ``promoted`` (a load of a promotion page), the page's name and the user as new user.
 
     A user is new from the event's day on; an unknown registration time counts as new.
     """
@@ -57,9 +57,14 @@ def promotion_events(dwd: DataFrame) -> DataFrame:
         name = F.when(url.contains(fragment), label).otherwise(name)
     registered = F.col("register_time").cast("date")
     is_old = registered < day_of(F.col("event_time"))
-    return dwd.where((F.col("event_id") == "page_load") & (name != "")).select(
+    return dwd.select(
         "event_time", "user_id", "register_province", name.alias("promotion_page_name"),
-        F.when(is_old, typed_null()).otherwise(F.col("user_id")).alias("new_user_id"))
+        F.when(is_old, typed_null()).otherwise(F.col("user_id")).alias("new_user_id"),
+        ((F.col("event_id") == "page_load") & (name != "")).alias("promoted"))
+
+
+def promotion_events(dwd: DataFrame) -> DataFrame:
+    return promotion_rows(dwd).where("promoted").drop("promoted")
 
 
 def promotion_today(dwd: DataFrame) -> DataFrame:

@@ -61,13 +61,24 @@ def traffic_merge(loaded: DataFrame) -> DataFrame:
     return loaded.groupBy(*TRAFFIC_KEYS, "user_id", "session_id").agg(F.sum("pv").alias("pv"))
 
 
+def traffic_rollup(loaded: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """``pv``, ``uv`` and ``session_cnt`` at any subset of the key columns, exact, from the loaded rows."""
+    return loaded.groupBy(*dims).agg(
+        F.sum("pv").alias("pv"), F.count_distinct("user_id").alias("uv"),
+        F.count_distinct("session_id").alias("session_cnt"))
+
+
 def traffic_state(loaded: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """A stored roll-up that merges with others: user bitmaps and session sketches.
+
+    For grains with many users per group (day, hour by province): a bitmap bucket takes 4 KB however few bits are set.
+    """
     return build_state(loaded, dims)
 
 
-def traffic_rollup(loaded: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """``pv``, exact ``uv`` and estimated ``session_cnt`` at any subset of the key columns."""
-    return read_state(build_state(loaded, dims), dims)
+def read_traffic_state(states: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """``pv``, exact ``uv`` and estimated ``session_cnt`` of stored roll-ups at their grain or a coarser one."""
+    return read_state(states, dims)
 
 
 DWELL_KEYS = ["dt", "user_id", "session_id", "province", "city", "region", "url", "page_start_time"]

@@ -22,9 +22,20 @@ def write_batch(rows: DataFrame, path: str, batch_id: int, day: str | None = "dt
         .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def read_batches(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path).drop(BATCH)
+def read_batches(spark: SparkSession, path: str, ddl: str, before: int | None = None,
+                 only: int | None = None) -> DataFrame | None:
+    """All batches, those numbered below ``before`` or just ``only``; None while there is no table.
+
+    ``ddl`` states the columns, so nothing is inferred and an early empty batch does no harm.
+    """
+    if not exists(spark, path):
+        return None
+    table = spark.read.schema(f"{ddl}, {BATCH} BIGINT").parquet(path)
+    if before is not None:
+        table = table.where(F.col(BATCH) < before)
+    if only is not None:
+        table = table.where(F.col(BATCH) == only)
+    return table.drop(BATCH)
 
 
 def retained(rows: DataFrame, today: Column, days: int, day: str = "dt") -> DataFrame:
@@ -33,29 +44,40 @@ def retained(rows: DataFrame, today: Column, days: int, day: str = "dt") -> Data
 
 
 def _hadoop_dir(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _hadoop_dir(spark, path)
+    return files.exists(where)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a directory: one listing of the table's root, no data is read."""
+    files, where = _hadoop_dir(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(where)] if files.exists(where) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, where = _hadoop_dir(spark, path)
+    files.delete(where, True)
+
+
 def partition_days(spark: SparkSession, path: str, day: str = "dt") -> list[str]:
-    """Days that have a directory, from one listing of the table's root: one entry per day, no data is read."""
-    files, root = _hadoop_dir(spark, path)
-    names = [s.getPath().getName() for s in files.listStatus(root)]
-    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{day}="))
+    return sorted(n.split("=", 1)[1] for n in names_in(spark, path) if n.startswith(f"{day}="))
 
 
 def drop_days_before(spark: SparkSession, path: str, first_kept: str, day: str = "dt") -> list[str]:
     """Delete the directories of all days before ``first_kept`` (yyyy-MM-dd); returns the dropped days."""
-    files, _ = _hadoop_dir(spark, path)
     expired = [d for d in partition_days(spark, path, day) if d[:1].isdigit() and d < first_kept]
     for value in expired:
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{day}={value}"), True)
+        delete(spark, f"{path}/{day}={value}")
     return expired
 
 
-def compact_day(spark: SparkSession, path: str, value: str, merge: Callable[[DataFrame], DataFrame],
-                target: str, day: str = "dt") -> None:
+def compact_day(spark: SparkSession, path: str, value: str, merge: Callable[[DataFrame], DataFrame], target: str,
+                day: str = "dt") -> None:
     """Merge all batches of one closed day into one compacted batch of the table ``target``.
 
     The source stays as it is; readers switch to the target, and retention removes the rest. A failed run can be

@@ -1,0 +1,99 @@
+"""Scalar functions: fixed geohashes, every cell edge, times below zero and off the session zone, text helpers."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from footfall.functions import (as_long, day_of, epoch_ms, geohash5, map_to_json, page_url, slice_index, time_slice,
+                                typed_null, url_prefix, wall_clock)
+from footfall.functions.geohash import ALPHABET
+from footfall.functions.register import register_functions
+
+# Published geohashes of seven places.
+KNOWN = [
+    (39.92998577808024, 116.39564503787867, "wx4g0"), (39.93857401298612, 116.42188470126446, "wx4g1"),
+    (39.93428014370851, 116.37319010401802, "wx4g0"), (39.72675262079634, 115.86283631290442, "wx46h"),
+    (39.886547, 116.989574, "wx54y"), (39.143929903310074, 117.21081309155257, "wwgqe"),
+    (43.84038034721766, 87.56498774111579, "tzy32"),
+]
+
+
+def bisect(lat, lng):
+    """Textbook geohash by interval halving."""
+    ranges, values, code = [[-180.0, 180.0], [-90.0, 90.0]], [lng, lat], 0
+    for bit in range(25):
+        low, high = ranges[bit % 2]
+        middle = (low + high) / 2
+        above = values[bit % 2] >= middle
+        code = code * 2 + above
+        ranges[bit % 2] = [middle, high] if above else [low, middle]
+    return "".join(ALPHABET[(code >> s) & 31] for s in (20, 15, 10, 5, 0))
+
+
+def test_known_geohashes(spark):
+    df = spark.createDataFrame(KNOWN, "lat DOUBLE, lng DOUBLE, expected STRING")
+    assert df.where(geohash5("lat", "lng") != F.col("expected")).count() == 0
+
+
+def test_cell_edges(spark):
+    """Each edge of both axes with the doubles on either side."""
+    points = []
+    for axis, limit, cells in ((0, 180.0, 8192), (1, 90.0, 4096)):
+        for k in range(cells + 1):
+            edge = -limit + 45 * k / 1024
+            for value in (math.nextafter(edge, -1e9), edge, math.nextafter(edge, 1e9)):
+                if -limit <= value <= limit:
+                    points.append((10.0, value) if axis == 0 else (value, 20.0))
+    df = spark.createDataFrame([(a, b, bisect(a, b)) for a, b in points], "lat DOUBLE, lng DOUBLE, expected STRING")
+    assert df.where(~geohash5("lat", "lng").eqNullSafe(F.col("expected"))).count() == 0
+
+
+def test_off_the_globe(spark):
+    points = [(None, 1.0), (1.0, None), (90.1, 0.0), (-90.1, 0.0), (0.0, 180.1), (0.0, -180.1), (float("nan"), 0.0)]
+    df = spark.createDataFrame(points, "lat DOUBLE, lng DOUBLE")
+    assert [r[0] for r in df.select(geohash5("lat", "lng")).collect()] == [None] * len(points)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Shanghai"])
+def test_times_do_not_depend_on_the_session(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(1714789200123,), (1704038399999,), (1704038400000,), (-1,)], "ms BIGINT")
+        ms = F.col("ms")
+        got = df.select(day_of(ms).cast("string"), wall_clock(ms).cast("string"), time_slice(ms, 5),
+                        time_slice(ms, 60), slice_index(ms, 300_000)).collect()
+        assert [tuple(r) for r in got] == [
+            ("2024-05-04", "2024-05-04 10:20:00.123", "2024-05-04 10:20:00", "2024-05-04 10:00:00", 125),
+            ("2023-12-31", "2023-12-31 23:59:59.999", "2023-12-31 23:55:00", "2023-12-31 23:00:00", 288),
+            ("2024-01-01", "2024-01-01 00:00:00", "2024-01-01 00:00:00", "2024-01-01 00:00:00", 1),
+            ("1970-01-01", "1970-01-01 07:59:59.999", "1970-01-01 07:55:00", "1970-01-01 07:00:00", 96),
+        ]
+        back = spark.sql("SELECT * FROM VALUES (timestamp_ntz'2024-03-10 02:30:00.9996'), "
+                         "(timestamp_ntz'1969-12-31 23:59:59.999') AS t(ts)").select(epoch_ms("ts"))
+        assert [r[0] for r in back.collect()] == [1710037800999, -1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_text(spark):
+    df = spark.createDataFrame([("/content/article/2354.html?a=3",), ("/a/b",), ("x.html.html",), ("none",), (None,)],
+                               "url STRING")
+    got = [tuple(r) for r in df.select(page_url(F.col("url")), url_prefix(F.col("url"))).collect()]
+    assert got == [("/content/article/2354.html", "/content/article/"), (None, "/a/"), ("x.html", None), (None, None),
+                   (None, None)]
+    maps = spark.createDataFrame([({"a": "1", "b": None},), ({},), (None,)], "m MAP<STRING, STRING>")
+    assert [r[0] for r in maps.select(map_to_json(F.col("m"))).collect()] == ['{"a":"1"}', "{}", None]
+    texts = spark.createDataFrame([("12",), ("x",), (None,)], "t STRING")
+    assert [r[0] for r in texts.select(as_long(F.col("t"))).collect()] == [12, None, None]
+    assert spark.range(1).select(typed_null().alias("n")).schema["n"].dataType.simpleString() == "bigint"
+
+
+def test_sql_names(spark):
+    register_functions(spark)
+    row = spark.sql("""
+        SELECT geo(39.92998577808024, 116.39564503787867) AS a, reverse(geo(39.886547, 116.989574)) AS b, geo(91, 0) AS c,
+               time_trunk(timestamp_ntz'2024-05-04 10:27:31.5', 10) AS d, toJson(map('k', 'v', 'n', NULL)) AS e,
+               getNull() AS f""").first()
+    assert tuple(row) == ("wx4g0", "y45xw", None, "2024-05-04 10:20:00", '{"k":"v"}', None)
