@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions import geohash5
+from footfall.functions import with_geohash
 from footfall.operators.latest import latest_changes, live_rows
 from footfall.operators.lookup import unique_by
 
@@ -27,11 +27,13 @@ def flatten(keyed: DataFrame) -> DataFrame:
 def area_cells(areas: DataFrame) -> DataFrame:
     """(reversed geohash, province, city, region) of every community, duplicates by cell and region removed.
 
-    Communities collapse to their (cell, parent) before the three parent joins.
+    Communities collapse to their (cell, parent) before the three parent joins. On the globe a geohash always has its
+    five characters, so the range check is all the validation it needs; missing coordinates fail it too.
     """
-    cells = areas.where((F.col("level") == 4) & F.col("bd09_lat").isNotNull() & F.col("bd09_lng").isNotNull()) \
-        .select(F.reverse(geohash5("bd09_lat", "bd09_lng")).alias("geohash"),
-                F.col("parentid").alias("region_id")).distinct()
+    located = areas.where((F.col("level") == 4) & F.col("bd09_lat").between(-90, 90)
+                          & F.col("bd09_lng").between(-180, 180))
+    cells = with_geohash(located, "cell", "bd09_lat", "bd09_lng").select(
+        F.reverse("cell").alias("geohash"), F.col("parentid").alias("region_id")).distinct()
 
     def level(name: str, up: str | None = None) -> DataFrame:
         parent = [F.col("parentid").alias(f"{up}_id")] if up else []
@@ -48,8 +50,7 @@ def geo_dim(areas: DataFrame) -> DataFrame:
     """
     first = area_cells(areas).groupBy("geohash").agg(F.min(F.struct("province", "city", "region")).alias("a"))
     return first.select("geohash", "a.province", "a.city", F.coalesce("a.region", F.lit("")).alias("region")).where(
-        F.col("geohash").isNotNull() & (F.length(F.trim("geohash")) == 5)
-        & F.col("province").isNotNull() & (F.trim("province") != "")
+        F.col("province").isNotNull() & (F.trim("province") != "")
         & F.col("city").isNotNull() & (F.trim("city") != ""))
 
 

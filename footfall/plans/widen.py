@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from footfall.functions import day_of, geohash5, map_to_json, url_prefix
+from footfall.functions import day_of, map_to_json, url_prefix, with_geohash
 from footfall.operators.lookup import lookup
 
 USER_FIELDS = {
@@ -42,8 +42,8 @@ def widen(events: DataFrame, users: DataFrame | None = None, geo: DataFrame | No
     if users is not None:
         wide = lookup(wide, users, F.col("username"), F.col("username"), USER_FIELDS, SALT, "users" in small)
     if geo is not None:
-        cell = F.reverse(geohash5("lat", "lng"))
-        wide = lookup(wide, geo, cell, F.col("geohash"), GEO_FIELDS, SALT, "geo" in small)
+        wide = lookup(with_geohash(wide, "__cell"), geo, F.reverse("__cell"), F.col("geohash"), GEO_FIELDS, SALT,
+                      "geo" in small)
     if pages is not None:
         prefix = url_prefix(F.col("properties")["url"])
         wide = lookup(wide, pages, prefix, F.col("url_prefix"), PAGE_FIELDS, SALT, "pages" in small)
