@@ -16,8 +16,14 @@ COMPACTED = -1
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int, day: str | None = "dt") -> None:
-    """Append one micro-batch; repeating it overwrites only what it wrote before."""
+    """Append one micro-batch; repeating it overwrites only what it wrote before.
+
+    Rows are rebalanced by day first: adaptive execution then writes few files of a proper size per day, and splits a
+    day that holds most of the rows.
+    """
     by = [day, BATCH] if day else [BATCH]
+    if day:
+        rows = rows.hint("rebalance", day)
     rows.withColumn(BATCH, F.lit(batch_id).cast("long")).write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 

@@ -13,7 +13,12 @@ from footfall.sinks.snapshots import current, publish
 
 def sync_batch(changes: DataFrame, batch_id: int, state_path: str, dim_path: str,
                build: Callable[[DataFrame], DataFrame]) -> None:
-    """Fold one batch of changes into the state per id and publish the dimension built from it."""
+    """Fold one batch of changes into the state per id and publish the dimension built from it.
+
+    A batch without changes publishes nothing.
+    """
+    if changes.isEmpty():
+        return
     previous = current(changes.sparkSession, state_path, below=batch_id)
     folded = publish(fold_changes(changes, previous), state_path, batch_id)
     publish(build(folded), dim_path, batch_id)

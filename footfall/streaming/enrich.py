@@ -32,6 +32,7 @@ class EnrichTables:
     pending: str
     bad: str
     checkpoint: str
+    wide_kafka: dict[str, str] | None = None  # options of a broker topic that takes the wide stream instead
 
 
 def enrich_batch(spark: SparkSession, parsed: DataFrame, batch_id: int, tables: EnrichTables) -> None:
@@ -59,10 +60,14 @@ def enrich_batch(spark: SparkSession, parsed: DataFrame, batch_id: int, tables:
 
 def _write(spark: SparkSession, wide: DataFrame, batch_id: int, tables: EnrichTables) -> None:
     write_batch(detail(wide), tables.detail, batch_id)
+    messages = wide.select(F.to_json(F.struct(*WIDE_COLUMNS)).alias("value"))
+    if tables.wide_kafka is not None:
+        messages.write.format("kafka").options(**tables.wide_kafka).save()
+        return
     # Downstream streams read these files once, so a batch that is already complete keeps its files.
     target = f"{tables.wide}/batch_id={batch_id}"
     if not exists(spark, f"{target}/_SUCCESS"):
-        wide.select(F.to_json(F.struct(*WIDE_COLUMNS)).alias("value")).write.mode("overwrite").text(target)
+        messages.write.mode("overwrite").text(target)
 
 
 def release_pending(spark: SparkSession, last_batch: int, tables: EnrichTables) -> None:
