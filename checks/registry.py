@@ -131,12 +131,14 @@ def sessions_hll_day(spark, sf_dir):
 
 def _by_session(spark: SparkSession, sf_dir: str) -> Slicer:
     """Hot sessions, counted on the raw events: the lookups do not change a session's rows."""
-    return slice_hot_keys("session_id", "event_time", samples.ods(spark, sf_dir).select("session_id"))
+    raw = samples.ods(spark, sf_dir).select("session_id", F.col("action_time").alias("event_time"))
+    return slice_hot_keys("session_id", "event_time", raw)
 
 
 def _by_play(spark: SparkSession, sf_dir: str) -> Slicer:
-    plays = samples.ods(spark, sf_dir).where(F.col("event_id").isin(*olap.PLAY_EVENTS))
-    return slice_hot_keys("play_id", "event_time", plays.select(F.col("properties")["play_id"].alias("play_id")))
+    plays = samples.ods(spark, sf_dir).where(F.col("event_id").isin(*olap.PLAY_EVENTS)).select(
+        F.col("properties")["play_id"].alias("play_id"), F.col("action_time").alias("event_time"))
+    return slice_hot_keys("play_id", "event_time", plays)
 
 
 def page_dwell(spark, sf_dir):
@@ -228,8 +230,8 @@ def page_lookup(spark, sf_dir):
 
 
 def area_hierarchy(spark, sf_dir):
-    """Communities' cells with their province, city and region, before one row per cell is chosen."""
-    return dimensions.area_cells(samples.areas(spark, sf_dir))
+    """Distinct cells with their province, city and region, before one row per cell is chosen."""
+    return dimensions.area_cells(samples.areas(spark, sf_dir)).distinct()
 
 
 def latest_user_changes(spark, sf_dir):

@@ -30,18 +30,24 @@ def slice_hot_keys(key: str, time_ms: str, counted: DataFrame | None = None, min
     """Adds ``__slice`` and ``__hot_rows`` (NULL for an ordinary key).
 
     A key is hot from ``min_rows`` rows and ``share`` of all rows on. At most ``1 / share`` keys can hold such a
-    share, which bounds the broadcast list whatever the data. ``counted`` may name a narrower input with the same
-    keys to count on.
+    share, which bounds the broadcast list whatever the data. Its slices are ``slice_ms`` long, or shorter where it
+    has more than ``min_rows`` rows in that time on average. ``counted`` may name a narrower input with the same keys
+    and times to count on.
     """
+    n, width = F.col(HOT_ROWS), F.col("__width")
 
     def cut(rows: DataFrame) -> DataFrame:
         source = rows if counted is None else counted
-        counts = source.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias(HOT_ROWS))
+        counts = source.groupBy(F.col(key).alias("__key")).agg(
+            F.count(F.lit(1)).alias(HOT_ROWS), (F.max(time_ms) - F.min(time_ms)).alias("__span"))
         enough = counts.agg(F.ceil(F.coalesce(F.sum(HOT_ROWS), F.lit(0)) * F.lit(share)).alias("n")).scalar()
-        hot = counts.where((F.col(HOT_ROWS) >= F.lit(min_rows)) & (F.col(HOT_ROWS) >= enough))
+        dense = F.floor(F.col("__span") * (F.lit(float(min_rows)) / n))
+        hot = counts.where((n >= F.lit(min_rows)) & (n >= enough)).select(
+            "__key", HOT_ROWS, F.greatest(F.lit(1), F.least(F.lit(slice_ms), dense)).alias("__width"))
         marked = rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("__key")), "left")
-        number = F.when(F.col(HOT_ROWS).isNotNull(), floor_div(F.col(time_ms), slice_ms)).otherwise(F.lit(WHOLE))
-        return marked.withColumn(SLICE, number.cast("long")).drop("__key")
+        start = F.col(time_ms) - F.pmod(F.col(time_ms), width)
+        number = F.when(n.isNotNull(), F.call_function("div", start, width)).otherwise(F.lit(WHOLE))
+        return marked.withColumn(SLICE, number.cast("long")).drop("__key", "__width")
 
     return cut
 
