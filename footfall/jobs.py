@@ -11,6 +11,7 @@ import json
 import os
 import sys
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -18,8 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 if __name__ == "__main__":
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from footfall.plans import dashboards, dimensions  # noqa: E402
+from footfall.plans import dashboards, dimensions, olap  # noqa: E402
 from footfall.session import build_session  # noqa: E402
+from footfall.sinks.partitions import RETENTION_DAYS, compact_day, drop_days_before  # noqa: E402
 from footfall.sinks.snapshots import current, publish  # noqa: E402
 from footfall.sources.events import read_dwd_stream, read_ods_stream  # noqa: E402
 from footfall.sources.tables import USER_DDL, VIDEO_DDL, read_changes, read_lines, read_table  # noqa: E402
@@ -102,9 +104,34 @@ def running_sum_then_window(spark, source: dict, out: str, checkpoint: str,
     return windows.start_table(windows.running_sum_windows(lines), out, checkpoint, trigger=trigger)
 
 
+def top_pages_per_window(spark, source: dict, out: str, checkpoint: str, n: int = dashboards.TOP_PAGES,
+                         trigger: dict | None = None) -> StreamingQuery:
+    dwd = read_dwd_stream(spark, ["user_id", "event_time", "properties", "page_type"], **source)
+    return windows.start_ranking_per_window(windows.page_uv_5m(dwd), out, checkpoint, n, trigger)
+
+
+# How rows of one key merge when a day is compacted.
+MERGES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "traffic": olap.traffic_merge,
+    "dwell": lambda rows: olap.merge_max(rows, olap.DWELL_KEYS, "page_end_time"),
+    "video": lambda rows: olap.merge_max(rows, olap.VIDEO_KEYS, "partial_end_time"),
+}
+
+
+def compact(spark, table: str, path: str, day: str, out: str) -> None:
+    """Merge the loads of one closed day of a traffic, dwell or video table."""
+    compact_day(spark, path, day, MERGES[table], out)
+
+
+def retire(spark, table: str, path: str, today: str) -> None:
+    """Drop the days of a table that are past its retention."""
+    first = date.fromisoformat(today) - timedelta(days=RETENTION_DAYS[table])
+    drop_days_before(spark, path, first.isoformat())
+
+
 JOBS = {f.__name__: f for f in (
     widen_events, sync_user_dim, sync_video_dim, build_geo_dim, traffic_5m, traffic_today, promotion_today, top_pages,
-    traffic_olap, page_dwell, video_segments, running_sum_then_window)}
+    top_pages_per_window, traffic_olap, page_dwell, video_segments, running_sum_then_window, compact, retire)}
 
 
 def main(argv: list[str]) -> None:

@@ -94,6 +94,10 @@ def rank_overall(page_uv: DataFrame, n: int = TOP_PAGES) -> DataFrame:
     return top_n(page_uv, ["page_type"], _best_first(), n)
 
 
+def rank_per_window(page_uv: DataFrame, n: int = TOP_PAGES) -> DataFrame:
+    return top_n(page_uv, ["window_start", "page_type"], _best_first(), n)
+
+
 def top_pages_overall(dwd: DataFrame, n: int = TOP_PAGES) -> DataFrame:
     """The n best (window, page) rows of each page type over all windows."""
     return rank_overall(page_uv_5m(dwd), n)
@@ -101,4 +105,4 @@ def top_pages_overall(dwd: DataFrame, n: int = TOP_PAGES) -> DataFrame:
 
 def top_pages_per_window(dwd: DataFrame, n: int = TOP_PAGES) -> DataFrame:
     """The n best pages of each page type in every window."""
-    return top_n(page_uv_5m(dwd), ["window_start", "page_type"], _best_first(), n)
+    return rank_per_window(page_uv_5m(dwd), n)

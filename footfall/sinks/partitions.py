@@ -11,6 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Days that each table keeps.
+RETENTION_DAYS = {"detail": 30, "traffic": 30, "dwell": 90, "video": 90}
+
 BATCH = "batch_id"
 COMPACTED = -1
 

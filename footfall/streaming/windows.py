@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from footfall.functions import page_url, wall_clock
-from footfall.plans.dashboards import page_loads, rank_overall
+from footfall.plans.dashboards import page_loads, rank_overall, rank_per_window
 from footfall.plans.olap import TRAFFIC_DIMENSIONS, time_keys, traffic_rows
 from footfall.sinks.partitions import write_batch
 from footfall.sinks.snapshots import current, publish
@@ -73,12 +73,12 @@ def running_sum_windows(lines: DataFrame, delay: str = "10 seconds") -> DataFram
         .select(*_bounds(), "gender", "uv", "pv", "sum_action_time")
 
 
-def start_table(rows: DataFrame, path: str, checkpoint: str, day: str | None = None,
-                trigger: dict | None = None) -> StreamingQuery:
+def start_table(rows: DataFrame, path: str, checkpoint: str, day: str | None = None, trigger: dict | None = None,
+                prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Append closed windows to a table, repeatable per batch."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, path, batch_id, day)
+        write_batch(prepare(batch) if prepare else batch, path, batch_id, day)
 
     return _start(rows, step, checkpoint, trigger)
 
@@ -101,6 +101,18 @@ def start_ranking(page_uv: DataFrame, tables: list[str], checkpoint: str, n: int
     return _start(page_uv, step, checkpoint, trigger)
 
 
+def start_ranking_per_window(page_uv: DataFrame, path: str, checkpoint: str, n: int,
+                             trigger: dict | None = None) -> StreamingQuery:
+    """Append the n best pages per page type of every closed window; a window closes within one batch."""
+    return start_table(page_uv, path, checkpoint, trigger=trigger, prepare=lambda batch: rank_per_window(batch, n))
+
+
+def start_console(rows: DataFrame, trigger: dict | None = None) -> StreamingQuery:
+    """Print closed windows, for trying things out."""
+    return rows.writeStream.outputMode("append").format("console").option("truncate", "false") \
+        .trigger(**(trigger or {"availableNow": True})).start()
+
+
 def _start(rows: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str,
            trigger: dict | None) -> StreamingQuery:
     return rows.writeStream.outputMode("append").foreachBatch(step).option("checkpointLocation", checkpoint) \
