@@ -67,7 +67,9 @@ class CumulativeJob:
                 .groupBy(*group, "kind", "key").agg(F.min("step").alias("step"))
             seen = read_batches(spark, seen_path, seen_ddl, before=batch_id)
             if seen is not None:
-                first = _without(first, seen, [*group, "kind", "key"])
+                # One number to the driver; as a literal it keeps all earlier days' directories from being read.
+                earliest = steps.agg(F.min("day")).first()[0]
+                first = _without(first, seen.where(F.col("day") >= F.lit(earliest)), [*group, "kind", "key"])
             write_batch(first.select(*self.by, "kind", "key", "step", "day"), seen_path, batch_id, "day")
             new = read_batches(spark, seen_path, seen_ddl, only=batch_id)
             increments = steps.where(F.col("kind") == ROWS).select(*group, "step", "kind", "n") \
