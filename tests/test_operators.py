@@ -227,3 +227,33 @@ def test_detail_columns(spark):
     assert (row.user_id, row.register_city, row.page_type, str(row.dt), row.properties) == (
         9, "C", "t1", "2024-05-04", '{"url":"/a/b.html"}')
     assert row.gps_province in ("gp", None)
+
+
+def test_hot_lookup_key_is_split(spark, tmp_path):
+    """Too large to broadcast: the shuffle partition of a key with a third of all events is split, rows stay whole."""
+    publish(spark.range(2000).selectExpr("concat('u', id) AS username", "named_struct('id', id) AS f"),
+            str(tmp_path / "users"), 0)
+    spark.range(60_000).selectExpr("if(id % 3 = 0, 'u7', concat('u', id % 4000)) AS username", "id AS n",
+                                   "sha2(string(id), 512) AS payload") \
+        .repartition(16).write.parquet(str(tmp_path / "events"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "400KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = lookup(spark.read.parquet(str(tmp_path / "events")), current(spark, str(tmp_path / "users")),
+                        F.col("username"), F.col("username"), {"user_id": "f.id"}, ("n",))
+        plan = joined.select("n", "user_id", "payload")
+        rows = plan.collect()
+        final = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "skew=true" in final
+    assert len(rows) == 60_000
+    assert sum(r.user_id == 7 for r in rows) == 20_000 + sum(1 for i in range(60_000) if i % 3 and i % 4000 == 7)
