@@ -306,8 +306,8 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     traffic_5m, traffic_today, promotion_today, top_pages_overall, top_pages_per_window, dwd_detail,
     lookup_miss_counts, user_dim, video_dim, geo_dim, traffic_olap_1m, traffic_rollup_province_1h,
     traffic_rollup_page_30m, traffic_rollup_terminal_10m, traffic_rollup_new_5m, traffic_rollup_day,
-    bitmap_users_day, sessions_hll_day, page_dwell, page_dwell_per_page, video_segments, running_sum_then_window, retained_partitions,
-    event_rows, geohash_cells, time_slices, url_parts, properties_json, user_lookup, area_lookup, page_lookup,
+    bitmap_users_day, sessions_hll_day, page_dwell, page_dwell_per_page, video_segments, running_sum_then_window,
+    retained_partitions, event_rows, geohash_cells, time_slices, url_parts, properties_json, user_lookup, area_lookup, page_lookup,
     area_hierarchy, latest_user_changes, promotion_loads, page_uv_5m, marked_visits, play_parts,
     running_sum_by_gender, running_loads_by_session, merged_bitmap_users, merged_dwell_loads,
 )}

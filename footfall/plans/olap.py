@@ -107,9 +107,10 @@ def page_dwell(dwd: DataFrame, ties: Sequence[str] = (), cut: Slicer | None = No
 
 def page_dwell_per_page(intervals: DataFrame) -> DataFrame:
     """Visits and time spent per day and page."""
-    return intervals.where(F.col("page_start_time").isNotNull()).groupBy("dt", page_url(F.col("url")).alias("page_url")) \
-        .agg(F.count(F.lit(1)).alias("visits"),
-             F.sum(F.col("page_end_time") - F.col("page_start_time")).alias("dwell_ms"))
+    opened = intervals.where(F.col("page_start_time").isNotNull())
+    return opened.groupBy("dt", page_url(F.col("url")).alias("page_url")).agg(
+        F.count(F.lit(1)).alias("visits"),
+        F.sum(F.col("page_end_time") - F.col("page_start_time")).alias("dwell_ms"))
 
 
 def merge_max(loaded: DataFrame, keys: Sequence[str], measure: str) -> DataFrame:

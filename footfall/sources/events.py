@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from footfall.functions.clock import millis
+
 ODS_DDL = """
     username STRING, session_id STRING, event_id STRING, action_time BIGINT, lat DOUBLE, lng DOUBLE,
     release_channel STRING, device_type STRING, properties MAP<STRING, STRING>
@@ -82,5 +84,4 @@ def read_dwd(spark: SparkSession, path: str, columns: Sequence[str] | None = Non
 def with_event_time(events: DataFrame, column: str = "event_time", unit_ms: int = 1, delay: str = "0 seconds",
                     out: str = "row_time") -> DataFrame:
     """Add the event-time attribute and its watermark."""
-    stamp = F.timestamp_millis(column) if unit_ms == 1 else F.timestamp_seconds(F.col(column))
-    return events.withColumn(out, stamp).withWatermark(out, delay)
+    return events.withColumn(out, millis(F.col(column), unit_ms)).withWatermark(out, delay)

@@ -33,7 +33,8 @@ def _on_time(rows: DataFrame, time: str, path: str, batch_id: int) -> tuple[Data
     return rows, publish(seen.coalesce(1), f"{path}/clock", batch_id).scalar()
 
 
-def dwell_batch(dwd: DataFrame, batch_id: int, path: str, ties: tuple[str, ...] = (), cut: Slicer | None = None) -> None:
+def dwell_batch(dwd: DataFrame, batch_id: int, path: str, ties: tuple[str, ...] = (),
+                cut: Slicer | None = None) -> None:
     """Add one batch's page intervals to ``path/intervals``; ``merge_max`` reads them."""
     spark = dwd.sparkSession
     rows, clock = _on_time(dwd, "event_time", path, batch_id)
