@@ -122,6 +122,21 @@ def _blocks(data: np.ndarray, cuts: np.ndarray, is_word: np.ndarray) -> Iterator
         at = end
 
 
+def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the byte ranges given, which follow each other."""
+    out, at, n = np.empty(len(begin), np.uint64), 0, len(begin)
+    while at < n:
+        upto = max(at + 1, int(np.searchsorted(end, begin[at] + BLOCK, side="right")))
+        low, high = int(begin[at]), int(end[upto - 1])
+        up, down = _powers(high - low)
+        sums = np.zeros(high - low + 1, dtype=np.uint64)
+        np.cumsum(_VALUES[False][data[low:high]] * up[:high - low], out=sums[1:])
+        a, b = begin[at:upto] - low, end[at:upto] - low
+        out[at:upto] = mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64) * _LENGTH_FACTOR)
+        at = upto
+    return out
+
+
 def word_spans(data: np.ndarray, starts: np.ndarray, fold: bool = True,
                separators: bytes = WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of all texts: the words' hashes, their first bytes, their ends, and the number of words before each text."""
