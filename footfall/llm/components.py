@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from footfall.llm.storage import stored
 
 
-def _mark(pairs: DataFrame) -> tuple:
-    return tuple(pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _is_forest(pairs: DataFrame) -> bool:
+    """Whether every node hangs on one node at most, and none that others hang on hangs itself."""
+    roles = pairs.select(F.col("u").alias("node"), F.lit(1).alias("hangs")).unionByName(
+        pairs.select(F.col("v").alias("node"), F.lit(0).alias("hangs")))
+    return roles.groupBy("node").agg(F.sum("hangs").alias("up"), F.min("hangs").alias("least")).where(
+        "up > 1 or (up = 1 and least = 0)").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -21,8 +25,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     pairs = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                    .where("u <> v").distinct(), "links")
-    mark = _mark(pairs)
-    while mark[0]:
+    while not _is_forest(pairs):
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
         large = stored(both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -30,8 +33,5 @@ def components(links: DataFrame) -> DataFrame:
         low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         pairs = stored(large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                        .unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "links")
-        before, mark = mark, _mark(pairs)
-        if before == mark:
-            break
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         pairs.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
