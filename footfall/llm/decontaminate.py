@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm.storage import stored
+from footfall.llm.storage import map_arrow, stored
 from footfall.llm.words import PUNCTUATED, chunks, distinct_per_text, odd_numbers, shingles, text_buffer, word_spans
 
 CONTAINMENT = 75
@@ -100,8 +100,8 @@ class Index:
 
 def _indexes(items: DataFrame) -> Iterator[Broadcast]:
     """The items in blocks of bounded size, ready in every task."""
-    sets = stored(items.select(F.col("item_id").cast("long"), "text").mapInArrow(
-        _item_sets, "item_id long, n long, items binary").where("n > 0"), "items")
+    sets = stored(map_arrow(items.select(F.col("item_id").cast("long"), "text"), _item_sets,
+                            "item_id long, n long, items binary").where("n > 0"), "items")
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     blocks = -(-total // BLOCK_SHINGLES)
     for block in range(blocks):
@@ -128,8 +128,8 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
                      pa.array([r[2] for r in rows], pa.int64()), pa.array([r[3] for r in rows], pa.int64())],
                     ["doc_id", "item_id", "n_shared", "n_item"])
 
-        found = found.union(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-            search, "doc_id long, item_id long, n_shared long, n_item long"))
+        found = found.union(map_arrow(
+            docs.select(F.col("doc_id").cast("long"), "text"), search, "doc_id long, item_id long, n_shared long, n_item long"))
     return found.withColumn("containment", F.col("n_shared") / F.col("n_item"))
 
 
@@ -144,5 +144,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
                 keep[[row for row, *_ in index.value.matches(batch.column(position))]] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(clean, schema)
+        docs = map_arrow(docs, clean, schema)
     return docs

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from footfall.llm.storage import map_arrow
 from footfall.llm.words import text_buffer
 
 ORDER = 3
@@ -75,7 +76,8 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """Frozen counts of byte 4-grams per language; the cost tables are built once per Python worker."""
 
-    def __init__(self, grams: dict[str, tuple[np.ndarray, np.ndarray]]) -> None:
+    def __init__(self, grams: dict[str, tuple[np.ndarray, np.ndarray]], cells: int = CELLS) -> None:
+        self.cells = cells
         self.names = sorted(grams)
         self.grams = [grams[name] for name in self.names]
         self._tables: tuple | None = None
@@ -97,7 +99,7 @@ class Model:
 
     def _build(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         languages = range(len(self.names))
-        seen = np.unique(np.concatenate([self._counts(i, 0)[1] for i in languages]))
+        seen = np.unique(np.concatenate([[10], *(self._counts(i, 0)[1] for i in languages)]))
         width = len(seen) + 1  # the last class stands for all bytes that were never seen
         classes = np.full(256, width - 1, dtype=np.int64)
         classes[seen] = np.arange(len(seen))
@@ -107,7 +109,7 @@ class Model:
             pieces = [self._counts(i, order) for i in languages]
             contexts, where = np.unique(np.concatenate([p[0] for p in pieces]), return_inverse=True)
             totals.append((contexts, np.bincount(where, weights=np.concatenate([p[2] for p in pieces]))))
-        most = max(1, CELLS // (width * len(self.names)))
+        most = max(1, self.cells // (width * len(self.names)))
         ranked = np.lexsort((np.concatenate([np.full(len(c), k) for k, (c, _) in enumerate(totals)]),
                              -np.concatenate([n for _, n in totals])))[:most]
         bounds = np.cumsum([0] + [len(c) for c, _ in totals])
@@ -167,7 +169,7 @@ def held_out(column: str, parts: int, remainder: int = 0) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % parts == remainder
 
 
-def learn(docs: DataFrame) -> Model:
+def learn(docs: DataFrame, cells: int = CELLS) -> Model:
     """Context trees from the rows of ``docs`` (text, lang) that have both.
 
     Only the totals per language and the counts of the bounded sample reach the driver.
@@ -179,11 +181,11 @@ def learn(docs: DataFrame) -> Model:
     shares = F.create_map(*[F.lit(x) for row in sizes for x in (row["lang"], min(1.0, SAMPLE_BYTES / row["n"]))])
     spread = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003
     sample = rows.where(spread < shares[F.col("lang")]).dropDuplicates(["lang", "text"])
-    counted = sample.mapInArrow(_count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(
+    counted = map_arrow(sample, _count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")).toArrow()
     name, gram, n = (counted.column(c) for c in ("lang", "gram", "n"))
     return Model({x: (gram.filter(pc.equal(name, x)).to_numpy(), n.filter(pc.equal(name, x)).to_numpy().astype(float))
-                  for x in pc.unique(name).to_pylist()})
+                  for x in pc.unique(name).to_pylist()}, cells)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -219,7 +221,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                     [*batch.columns, pa.array(np.where(has_letter, names[best], UNKNOWN), pa.string()),
                      pa.array(np.where(has_letter, 1 / odds, 0.0)), pa.array(rate, mask=~has_letter)], schema.names)
 
-    return plain.mapInArrow(predict, schema)
+    return map_arrow(plain, predict, schema)
 
 
 def accepted(identified: DataFrame) -> DataFrame:

@@ -60,7 +60,7 @@ def _targets(sizes: DataFrame) -> DataFrame:
 def _rank() -> Column:
     """The Pareto rank q, as q / (1 + q), which orders alike and lies between 0 and 1."""
     odds = (F.col("u") / (1 - F.col("u"))) / (F.col("share") / (1 - F.col("share")))
-    return odds / (1 + odds)
+    return F.when(F.col("share") > 0, odds / (1 + odds))
 
 
 def _crossing(rows: DataFrame, cell: Column) -> DataFrame:

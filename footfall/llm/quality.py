@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from footfall.llm.storage import map_arrow
 from footfall.llm.words import chunks, span_hashes, text_buffer, word_spans
 
 FEATURES = 16_384
@@ -130,7 +131,7 @@ def learn(docs: DataFrame, labelled: DataFrame) -> Voter | None:
 
     None if there is no labelled text with a word.
     """
-    counts = docs.select("text").mapInArrow(_document_frequencies, "feature long, n long").groupBy("feature").agg(
+    counts = map_arrow(docs.select("text"), _document_frequencies, "feature long, n long").groupBy("feature").agg(
         F.sum("n").alias("n")).collect()
     frequency = np.zeros(FEATURES)
     total = 0
@@ -147,8 +148,8 @@ def learn(docs: DataFrame, labelled: DataFrame) -> Voter | None:
     if not sizes:
         return None
     share = min(1.0, LABELLED / sum(sizes.values()))
-    sample = rows.where(F.col("spread") < share).select("text", "label").mapInArrow(
-        _labelled_rows, "label int, features binary, counts binary").orderBy("label", "features", "counts").toArrow()
+    sample = map_arrow(
+        rows.where(F.col("spread") < share).select("text", "label"), _labelled_rows, "label int, features binary, counts binary").orderBy("label", "features", "counts").toArrow()
     labels = sample.column("label").to_numpy().astype(np.float64)
     matrix = np.zeros((len(labels), FEATURES), dtype=np.float32)
     for k, (own, value) in enumerate(zip(sample.column("features"), sample.column("counts"), strict=True)):
@@ -185,4 +186,4 @@ def scored(docs: DataFrame, voter: Voter | None) -> DataFrame:
                 [batch.column("doc_id"), pa.array(values), pa.array((values >= THRESHOLD).astype("int32"))],
                 ["doc_id", "score", "predicted"])
 
-    return rows.mapInArrow(score, "doc_id long, score double, predicted int")
+    return map_arrow(rows, score, "doc_id long, score double, predicted int")

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm.storage import fresh_path, stored
+from footfall.llm.storage import fresh_path, map_arrow, stored
 from footfall.llm.words import odd_numbers, span_hashes, text_buffer
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -168,9 +168,9 @@ def permuted(numbers: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _count(batches: Iterator[pa.RecordBatch], tokenizer) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], tokenizer, length: int) -> Iterator[pa.RecordBatch]:
     """The sequences of a partition: number within it, used tokens, ids of the documents in it."""
-    room, part = LENGTH - 1, TaskContext.get().partitionId()
+    room, part = length - 1, TaskContext.get().partitionId()
     number, used, ids = 0, 0, []
     done: list[tuple[int, int, list]] = []
 
@@ -201,9 +201,9 @@ def _count(batches: Iterator[pa.RecordBatch], tokenizer) -> Iterator[pa.RecordBa
 
 
 def _write_records(batches: Iterator[pa.RecordBatch], tokenizer, offsets: dict[int, tuple[int, int]], n: int,
-                   key: int) -> Iterator[pa.RecordBatch]:
+                   key: int, length: int) -> Iterator[pa.RecordBatch]:
     """The sequences of a partition: slot, and all tokens but the closing one."""
-    room, (number, last) = LENGTH - 1, offsets.get(TaskContext.get().partitionId(), (0, 0))
+    room, (number, last) = length - 1, offsets.get(TaskContext.get().partitionId(), (0, 0))
     held = np.zeros(0, np.uint16)
 
     def rows(tokens: np.ndarray) -> pa.RecordBatch:
@@ -233,7 +233,7 @@ def _write_records(batches: Iterator[pa.RecordBatch], tokenizer, offsets: dict[i
 
 
 def write_shards(docs: DataFrame, path: str | None = None, vocabulary: str = VOCABULARY,
-                 key: int = KEY) -> tuple[str, DataFrame]:
+                 key: int = KEY, length: int = LENGTH, shard: int = SHARD) -> tuple[str, DataFrame]:
     """Writes all texts of ``docs`` (doc_id, text) as shards; their folder, and (slot, n_tokens, doc_ids) per sequence.
 
     Texts that are NULL or empty have no token and are in no sequence; a NULL id stands as NULL in doc_ids; repeated rows
@@ -243,8 +243,8 @@ def write_shards(docs: DataFrame, path: str | None = None, vocabulary: str = VOC
     with open(vocabulary, "rb") as file:
         tokenizer = spark.sparkContext.broadcast(Tokenizer(file.read()))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counted = stored(rows.mapInArrow(lambda it: _count(it, tokenizer),
-                                     "part int, number long, n_tokens long, doc_ids array<long>"), "sequences")
+    counted = stored(map_arrow(rows, lambda it: _count(it, tokenizer, length),
+                               "part int, number long, n_tokens long, doc_ids array<long>"), "sequences")
     parts = sorted(tuple(row) for row in counted.groupBy("part").agg(F.count("*").alias("n")).collect())
     ends = list(accumulate(count for _, count in parts))
     offsets = {part: (end - count, end) for (part, count), end in zip(parts, ends, strict=True)}
@@ -257,42 +257,42 @@ def write_shards(docs: DataFrame, path: str | None = None, vocabulary: str = VOC
             yield pa.RecordBatch.from_arrays([pa.array(slot), batch.column("n_tokens"), batch.column("doc_ids")],
                                              ["slot", "n_tokens", "doc_ids"])
 
-    contents = counted.mapInArrow(slots, "slot long, n_tokens long, doc_ids array<long>")
+    contents = map_arrow(counted, slots, "slot long, n_tokens long, doc_ids array<long>")
     path = path or fresh_path(spark, "shards")
     if n:
-        shards = -(-n // SHARD)
-        records = rows.mapInArrow(lambda it: _write_records(it, tokenizer, offsets, n, key), "slot long, record binary")
-        (records.repartitionById(shards, F.floor(F.col("slot") / SHARD).cast("int")).sortWithinPartitions("slot")
+        shards = -(-n // shard)
+        records = map_arrow(rows, lambda it: _write_records(it, tokenizer, offsets, n, key, length), "slot long, record binary")
+        (records.repartitionById(shards, F.floor(F.col("slot") / shard).cast("int")).sortWithinPartitions("slot")
          .select(F.col("record").cast("string").alias("value"))
          .write.option("encoding", "ISO-8859-1").option("lineSep", END.to_bytes(2, "little").decode("latin-1")).text(path))
     return path, contents
 
 
-def read_shards(spark: SparkSession, path: str, start: int = 0) -> DataFrame:
+def read_shards(spark: SparkSession, path: str, start: int = 0, length: int = LENGTH, shard: int = SHARD) -> DataFrame:
     """(slot, shard, record) from slot ``start`` on; shards below it are not opened."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    shard = F.regexp_extract("path", r"/part-(\d+)[^/]*$", 1).cast("int")
-    files = files.withColumn("shard", shard).where(F.col("shard") >= start // SHARD).select("shard", "content")
+    number = F.regexp_extract("path", r"/part-(\d+)[^/]*$", 1).cast("int")
+    files = files.withColumn("shard", number).where(F.col("shard") >= start // shard).select("shard", "content")
 
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stride = 2 * LENGTH
+        stride = 2 * length
         for batch in batches:
             for number, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
                 raw = content.as_buffer()
                 count = len(raw) // stride
                 if len(raw) != count * stride:
                     raise ValueError(f"shard {number} does not consist of whole records")
-                skip = max(0, start - number * SHARD)
+                skip = max(0, start - number * shard)
                 for at in range(skip, count, 1024):
                     some = min(1024, count - at)
-                    slot = np.arange(at, at + some) + number * SHARD
+                    slot = np.arange(at, at + some) + number * shard
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(slot), pa.array(np.full(some, number, np.int32)),
                          pa.Array.from_buffers(pa.binary(), some, [
                              None, pa.py_buffer(np.arange(some + 1, dtype=np.int32) * np.int32(stride)),
                              raw.slice(at * stride, some * stride)])], ["slot", "shard", "record"])
 
-    return files.mapInArrow(records, "slot long, shard int, record binary")
+    return map_arrow(files, records, "slot long, shard int, record binary")
 
 
 def materialise(docs: DataFrame, path: str | None = None, vocabulary: str = VOCABULARY, key: int = KEY) -> DataFrame:

@@ -6,9 +6,17 @@ cluster's ``spark.checkpoint.dir``; where it is unset, as in tests, a folder bel
 
 from __future__ import annotations
 
+import hashlib
+import io
+import os
+import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,3 +35,26 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def _package() -> bytes:
+    """This library's source files as a zip archive."""
+    root = Path(__file__).parents[1]
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent).as_posix())
+    return out.getvalue()
+
+
+def map_arrow(frame: DataFrame, function: Callable[[Iterator], Iterator], schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` with this library sent along, once per session, to executors that do not have it installed."""
+    context = frame.sparkSession.sparkContext
+    if not any(name.startswith("footfall-") for name in context._python_includes):
+        content = _package()
+        name = f"footfall-{hashlib.sha256(content).hexdigest()[:12]}.zip"
+        path = os.path.join(tempfile.mkdtemp(prefix="footfall-"), name)
+        with open(path, "wb") as file:
+            file.write(content)
+        context.addPyFile(path)
+    return frame.mapInArrow(function, schema)

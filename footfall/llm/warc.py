@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from footfall.llm.storage import fresh_path, stored
+from footfall.llm.storage import fresh_path, map_arrow, stored
 
 FRAME = 1 << 18
 BUNDLE = 16 << 20
@@ -85,7 +85,8 @@ def _record(page: int | None, url: str | None, payload: bytes | None, size: int,
 
 
 class _Bundle:
-    def __init__(self) -> None:
+    def __init__(self, frame: int) -> None:
+        self.frame = frame
         self.compressor = zstandard.ZstdCompressor(level=LEVEL)
         self.frames: list[bytes] = []
         self.sizes: list[tuple[int, int]] = []
@@ -94,7 +95,7 @@ class _Bundle:
         self.bytes = 0
 
     def add(self, page: int | None, record: bytes) -> None:
-        if self.open and len(self.open) + len(record) > FRAME:
+        if self.open and len(self.open) + len(record) > self.frame:
             self.close_frame()
         self.map.append(_MAP_ROW.pack(_NO_ID if page is None else page, len(self.sizes), len(self.open), len(record),
                                       page is None))
@@ -120,8 +121,8 @@ class _Bundle:
                 + table + footer)
 
 
-def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bundle = _Bundle()
+def _bundles(batches: Iterator[pa.RecordBatch], frame: int, most: int) -> Iterator[pa.RecordBatch]:
+    bundle = _Bundle(frame)
 
     def row() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([bundle.content()], pa.binary())], ["content"])
@@ -132,15 +133,16 @@ def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                           strict=True):
             page, *rest = (v.as_py() for v in values)
             record = _record(page, *rest)
-            if bundle.map and bundle.bytes + len(record) > BUNDLE:
+            if bundle.map and bundle.bytes + len(record) > most:
                 yield row()
-                bundle = _Bundle()
+                bundle = _Bundle(frame)
             bundle.add(page, record)
     if bundle.map:
         yield row()
 
 
-def write_bundles(pages: DataFrame, path: str | None = None, min_bytes: int = MIN_BYTES) -> str:
+def write_bundles(pages: DataFrame, path: str | None = None, min_bytes: int = MIN_BYTES, frame: int = FRAME,
+                  bundle: int = BUNDLE) -> str:
     """Writes a record per row of ``pages`` (page_id, url, html) and returns the folder of the bundles.
 
     A NULL html is an empty payload, and empty payloads are equal to each other; a NULL url leaves the target out; control
@@ -148,7 +150,7 @@ def write_bundles(pages: DataFrame, path: str | None = None, min_bytes: int = MI
     the largest. Rows that repeat the smallest page_id of a payload are responses each. Other columns are not used.
     """
     path = path or fresh_path(pages.sparkSession, "warc")
-    (with_record_types(pages, min_bytes).mapInArrow(_bundles, "content binary")
+    (map_arrow(with_record_types(pages, min_bytes), lambda it: _bundles(it, frame, bundle), "content binary")
      .select(F.col("content").cast("string").alias("value")).write.option("maxRecordsPerFile", 1)
      .option("encoding", "ISO-8859-1").option("lineSep", FOOTER_MAGIC.to_bytes(4, "little").decode("latin-1")).text(path))
     return path
@@ -173,7 +175,8 @@ def _layout(content: memoryview) -> tuple[list[tuple[int, int]], list[tuple]]:
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where("length > 0").select(
+        "path", "content")
 
 
 def record_map(spark: SparkSession, path: str) -> DataFrame:
@@ -188,8 +191,8 @@ def record_map(spark: SparkSession, path: str) -> DataFrame:
                 types = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    return _files(spark, path).mapInArrow(
-        rows, "page_id long, path string, frame int, frame_offset long, frame_size long, offset long, length long")
+    return map_arrow(
+        _files(spark, path), rows, "page_id long, path string, frame int, frame_offset long, frame_size long, offset long, length long")
 
 
 def _parsed(record: bytes) -> tuple:
@@ -241,7 +244,7 @@ def read_records(spark: SparkSession, path: str, page_ids: list[int] | None = No
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([r[k] for r in records], kind) for k, kind in enumerate(types)], names)
 
-    return _files(spark, path).mapInArrow(rows, ddl)
+    return map_arrow(_files(spark, path), rows, ddl)
 
 
 def archived(pages: DataFrame) -> DataFrame:

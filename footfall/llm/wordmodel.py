@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from footfall.llm.storage import stored
+from footfall.llm.storage import map_arrow, stored
 from footfall.llm.words import chunks, mix, odd_numbers, text_buffer, word_spans
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -188,8 +188,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def word_table(docs: DataFrame) -> DataFrame:
     """(hash, word, n): all distinct words of ``docs`` (text, training) and their uses in the training texts."""
-    words = docs.select("text", F.col("training").alias("training")).mapInArrow(
-        _word_counts, "hash long, word binary, n long")
+    words = map_arrow(docs.select("text", "training"), _word_counts, "hash long, word binary, n long")
     return stored(words.groupBy("hash").agg(F.min("word").alias("word"), F.sum("n").alias("n")), "words")
 
 
@@ -208,7 +207,7 @@ def learn(words: DataFrame, texts: int, pieces: list[bytes]) -> tuple[Lattice, f
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
 
         counts = np.zeros(len(lattice.pieces))
-        for row in words.where("n > 0").mapInArrow(expected, "counts binary").toLocalIterator():
+        for row in map_arrow(words.where("n > 0"), expected, "counts binary").toLocalIterator():
             counts += np.frombuffer(row["counts"], np.float64)
         logs = Lattice.normalised(np.append(counts + 1, texts + 1))
         lattice, end = Lattice(pieces, logs[:-1]), float(logs[-1])
@@ -281,12 +280,12 @@ def text_scores(docs: DataFrame, training: Column, vocabulary: str = VOCABULARY)
             yield pa.RecordBatch.from_arrays([batch.column("hash"), batch.column("n"), pa.array(base),
                                               pa.array(logs / _LOG10)], ["hash", "n", "base", "score"])
 
-    table = stored(words.mapInArrow(sums, "hash long, n long, base double, score double"), "word_logs")
+    table = stored(map_arrow(words, sums, "hash long, n long, base double, score double"), "word_logs")
     often = (F.col("n") > 0) & (F.col("n") * FREQUENT >= tokens)
     frequent = spark.sparkContext.broadcast(_Frequent(table.where(often).select("hash", "base", "score").toArrow()))
 
     marked = rows.select(F.xxhash64("doc_id", "text").alias("row_id"), "doc_id", "text")
-    parts = stored(marked.mapInArrow(lambda it: _by_text(it, frequent), (
+    parts = stored(map_arrow(marked, lambda it: _by_text(it, frequent), (
         "row_id long, hash long, uses long, doc_id long, n_known long, base double, score double")), "text_words")
     rare = table.where(~often).select("hash", "n", F.col("base").alias("word_base"), F.col("score").alias("word_score"))
     of_words = parts.where("hash IS NOT NULL").select("row_id", "hash", "uses").join(rare, "hash").select(

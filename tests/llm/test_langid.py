@@ -45,9 +45,8 @@ def test_code_lengths(spark, monkeypatch):
             assert math.isclose(got, brute_bits(texts[name], text), rel_tol=1e-5, abs_tol=1e-4)
 
 
-def test_pruned_trees_still_score(spark, monkeypatch, documents):
-    monkeypatch.setattr(langid, "CELLS", 20_000)
-    model = langid.learn(documents)
+def test_pruned_trees_still_score(documents):
+    model = langid.learn(documents, 20_000)
     classes, rows, costs = model.tables()
     assert len(costs) <= 20_000 // len(model.names) + len(classes)
     assert langid.identify(documents, model).where("lang_pred = lang").count() > 0.9 * documents.count()

@@ -43,19 +43,18 @@ def test_permutation_is_one_to_one(n):
         assert abs(np.corrcoef(np.arange(n), slots)[0, 1]) < 0.1
 
 
-def read_all(spark, path, start=0):
-    return sorted(S.read_shards(spark, path, start).collect())
+def read_all(spark, path, start=0, **sizes):
+    return sorted(S.read_shards(spark, path, start, **sizes).collect())
 
 
-def test_round_trip(spark, documents, tokenizer, tmp_path, monkeypatch):
-    monkeypatch.setattr(S, "SHARD", 7)
-    monkeypatch.setattr(S, "LENGTH", 128)
-    path, contents = S.write_shards(documents, str(tmp_path / "shards"))
-    records, meta = read_all(spark, path), sorted(contents.collect())
+def test_round_trip(spark, documents, tokenizer, tmp_path):
+    sizes = {"length": 128, "shard": 7}
+    path, contents = S.write_shards(documents, str(tmp_path / "shards"), **sizes)
+    records, meta = read_all(spark, path, **sizes), sorted(contents.collect())
     n = len(meta)
     assert [r.slot for r in records] == [m.slot for m in meta] == list(range(n))
     assert all(r.shard == r.slot // 7 and len(r.record) == 256 for r in records)
-    assert read_all(spark, path, 23) == records[23:]
+    assert read_all(spark, path, 23, **sizes) == records[23:]
 
     # Undo the permutation: the streams of the partitions, in order, hold each text and an end.
     order = S.permuted(np.arange(n), n, S.KEY)
@@ -89,11 +88,10 @@ def test_result_rows(spark, documents, tmp_path):
 
 
 def test_changed_input_stops_the_job(spark, documents, tmp_path, monkeypatch):
-    monkeypatch.setattr(S, "LENGTH", 64)
     count = S._count
-    monkeypatch.setattr(S, "_count", lambda it, tokenizer: count((b.slice(1) for b in it), tokenizer))
+    monkeypatch.setattr(S, "_count", lambda it, *more: count((b.slice(1) for b in it), *more))
     with pytest.raises(Exception, match="differ from those that were counted"):
-        S.write_shards(documents, str(tmp_path / "shards"))
+        S.write_shards(documents, str(tmp_path / "shards"), length=64)
 
 
 def test_odd_rows(spark, odd_docs, no_docs, tmp_path):
