@@ -82,10 +82,16 @@ def _proposed(text: Column, number: int, kind: Kind) -> Column:
     pattern = F.lit(kind.pattern)
     quick = F.contains(text, F.lit(kind.quick)) if len(kind.quick) == 1 else text.rlike(kind.quick)
     matches, between = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, kind.pattern, -1)
-    entry = F.transform(matches, lambda m, i: F.struct(
-        F.lit(number).alias("kind"), i.alias("place"), F.length(F.get(between, i)).alias("gap"), m.alias("match"),
-        F.concat(F.right(F.get(between, i), F.lit(CONTEXT_CHARS)), F.lit(" "),
-                 F.left(F.get(between, i + 1), F.lit(CONTEXT_CHARS))).alias("near")))
+    # Each array is made once; inside a lambda it would be made again for every element.
+    before = F.transform(F.slice(between, F.lit(1), F.size(matches)), lambda p: F.struct(
+        F.length(p).alias("gap"), F.right(p, F.lit(CONTEXT_CHARS)).alias("tail")))
+    after = F.transform(F.slice(between, F.lit(2), F.size(matches)), lambda p: F.left(p, F.lit(CONTEXT_CHARS)))
+    both = F.zip_with(F.zip_with(matches, before, lambda m, p: F.struct(m.alias("match"), p.alias("before"))), after,
+                      lambda x, p: F.struct(x["match"].alias("match"), x["before"]["gap"].alias("gap"),
+                                            F.concat(x["before"]["tail"], F.lit(" "), p).alias("near")))
+    entry = F.transform(both, lambda x, i: F.struct(
+        F.lit(number).alias("kind"), i.alias("place"), x["gap"].alias("gap"), x["match"].alias("match"),
+        x["near"].alias("near")))
     none = F.array().cast("array<struct<kind: int, place: int, gap: int, match: string, near: string>>")
     return F.when(quick, entry).otherwise(none)
 
@@ -132,8 +138,11 @@ def personal_data(docs: DataFrame) -> DataFrame:
     result = rows.select("doc_id", F.xxhash64("doc_id", "text").alias("row_id")).join(gathered, "row_id", "left")
     every = F.coalesce("all", F.array().cast(gathered.schema["all"].dataType))
     result = result.select("doc_id", every.alias("all"))
-    counts = [F.size(F.filter("all", lambda s, name=kind.name: s["kind"] == name)).cast("long").alias(f"n_{kind.name}")
-              for kind in KINDS]
+
+    def count(name: str) -> Column:
+        return F.size(F.filter("all", lambda s: s["kind"] == name)).cast("long").alias(f"n_{name}")
+
+    counts = [count(kind.name) for kind in KINDS]
     return result.select(
         "doc_id", *counts, F.sha2(_joined(F.filter("all", lambda s: s["base"])), 256).alias("base_sha256"),
         _joined(F.col("all")).alias("spans"), F.transform("all", lambda s: s["score"]).alias("scores"))

@@ -84,13 +84,13 @@ class Lattice:
         prefix = np.zeros((n, width + 1), dtype=np.uint64)
         for k in range(width):
             prefix[:, k + 1] = prefix[:, k] * _STEP + _LETTERS[words[:, k]]
-        out, power = [], np.uint64(1)
+        out, power = [], 1
         for size in range(1, min(self.longest, width) + 1):
-            power = power * _STEP
+            power = power * int(_STEP) & ((1 << 64) - 1)
             keys, seen = self.tables[size]
             if not len(keys):
                 continue
-            span = prefix[:, size:] - prefix[:, :-size] * power
+            span = prefix[:, size:] - prefix[:, :-size] * np.uint64(power)
             maybe = seen[(mix(span.copy()) & np.uint64(0xFFFF)).astype(np.int64)]
             maybe &= (np.arange(size, width + 1) <= lengths[:, None])
             word, end = np.nonzero(maybe)
