@@ -40,8 +40,8 @@ ROUNDS = 6
 # Fixed value: the split pattern that belongs to the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WIDE_SPACE = re.compile("[" + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
-_CHUNK = 1 << 23
-_KEPT_PIECES = 1_000_000
+_CHUNK = 1 << 22
+_KEPT_PIECES = 500_000
 
 
 class Tokenizer:
