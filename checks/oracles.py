@@ -82,7 +82,7 @@ PARTS = {
                     WHEN k % 8 = 2 THEN '/mall/promotion/qxjh' || k || '.html?b=2'
                     WHEN k % 8 IN (3, 4, 5) THEN '/content/article/' || k || '.html?a=3'
                     WHEN k % 8 = 6 THEN '/video/play/' || k || '.html' END AS url,
-               CASE WHEN kind IN ('purchase', 'error') THEN CAST(seq % 20 AS VARCHAR) END AS video_id,
+               CASE WHEN kind IN ('purchase', 'error') THEN CAST(seq % 2500 AS VARCHAR) END AS video_id,
                CASE WHEN kind IN ('purchase', 'error') THEN 'p' || user_id || '_' || (seq % 3) END AS play_id
         FROM base""",
     "dim_user": """
@@ -123,7 +123,7 @@ PARTS = {
             AS t(prefix, page_service, page_type)""",
     "dim_video": """
         SELECT p_partkey AS id, p_name, p_type, p_brand, 'a' || p_size AS author, CAST(p_size AS BIGINT) * 60000 AS len
-        FROM part WHERE p_partkey < 15""",
+        FROM part WHERE p_partkey % 10 <> 9""",
     "dwd": f"""
         SELECT u.id AS user_id, e.username, e.session_id, e.event_id, e.action_time AS event_time, e.lat, e.lng,
                e.release_channel, e.device_type, e.url, e.video_id, e.play_id, u.phone AS register_phone,
@@ -332,8 +332,20 @@ ORACLES = {
         GROUP BY ALL""", "parts", "dim_video"),
     "running_sum_then_window": sql(f"""
         SELECT {_windows('s * 1000', 5_000)}, gender, count(DISTINCT user_id) AS uv, count(*) AS pv,
-               CAST(sum(action_time) AS BIGINT) AS sum_action_time
-        FROM (SELECT *, action_time - action_time % 5 AS s FROM lines) GROUP BY s, gender""", "lines"),
+               CAST(sum(action_time) AS BIGINT) AS sum_action_time, CAST(max(sum_age) AS BIGINT) AS sum_age
+        FROM (SELECT *, action_time - action_time % 5 AS s,
+                     sum(age) OVER (PARTITION BY gender ORDER BY action_time) AS sum_age FROM lines)
+        GROUP BY s, gender""", "lines"),
+    "merged_ranking": sql(f"""
+        SELECT {_windows('start_ms', 300_000)}, page_type, page_url, uv_amt FROM (
+            SELECT *, row_number() OVER (PARTITION BY page_type ORDER BY uv_amt DESC, start_ms,
+                                         page_url NULLS FIRST) AS rn FROM page_uv)
+        WHERE rn < 10""", "page_uv"),
+    "change_rows": sql("SELECT op, seq, id, username, status FROM user_changes", "user_changes"),
+    "line_rows": sql("SELECT user_id, gender, age, action_time FROM lines", "lines"),
+    "event_clock": sql("""
+        SELECT seq, strftime(make_timestamp(action_time * 1000), '%Y-%m-%d %H:%M:%S.%g') AS event_clock
+        FROM ods""", "ods"),
     "retained_partitions": sql("""
         SELECT dt, count(*) AS events FROM (SELECT """ + day("action_time") + """ AS dt FROM ods)
         WHERE dt >= (SELECT max(""" + day("action_time") + """) FROM ods) - 1 GROUP BY dt""", "ods"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from footfall import samples
 from footfall.functions import (as_long, day_of, geohash5, map_to_json, page_url, slice_index, time_slice, url_prefix,
                                 wall_clock)
+from footfall.functions.clock import millis
 from footfall.operators.distinct_state import build_state, merge_state, read_state
 from footfall.operators.dwell import page_visits
 from footfall.operators.latest import live_rows
@@ -21,6 +22,8 @@ from footfall.operators.slices import Slicer, running, slice_hot_keys
 from footfall.plans import dashboards, dimensions, exploration, olap
 from footfall.plans.widen import detail, lookup_misses
 from footfall.sinks.partitions import retained
+from footfall.sources.events import ODS_DDL, good_records, parse_messages
+from footfall.sources.tables import parse_changes, parse_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,20 +82,17 @@ def traffic_olap_1m(spark, sf_dir):
     return olap.traffic_olap(samples.dwd(spark, sf_dir, users=True, geo=True, pages=True))
 
 
-def _rollup(spark: SparkSession, sf_dir: str, dims: list[str], **lookups: bool) -> DataFrame:
-    dwd = samples.dwd(spark, sf_dir, users=True, **lookups)
-    for name in ("gps_province", "gps_city", "gps_region", "page_type", "page_service"):
-        if name not in dwd.columns:
-            dwd = dwd.withColumn(name, F.lit(None).cast("string"))
+def _rollup(spark: SparkSession, sf_dir: str, dims: list[str]) -> DataFrame:
+    dwd = samples.dwd(spark, sf_dir, users=True, geo=True, pages=True)
     return olap.traffic_rollup(olap.traffic_olap(dwd), dims)
 
 
 def traffic_rollup_province_1h(spark, sf_dir):
-    return _rollup(spark, sf_dir, ["dt", "time_trunk_1h", "province"], geo=True)
+    return _rollup(spark, sf_dir, ["dt", "time_trunk_1h", "province"])
 
 
 def traffic_rollup_page_30m(spark, sf_dir):
-    return _rollup(spark, sf_dir, ["dt", "time_trunk_30m", "page_type", "page_url"], pages=True)
+    return _rollup(spark, sf_dir, ["dt", "time_trunk_30m", "page_type", "page_url"])
 
 
 def traffic_rollup_terminal_10m(spark, sf_dir):
@@ -109,8 +109,7 @@ def traffic_rollup_day(spark, sf_dir):
 
 def _device_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stored roll-ups per day and device: bitmaps of users, sketches of sessions."""
-    dwd = _without_areas(samples.dwd(spark, sf_dir, users=True)).withColumns(
-        {c: F.lit(None).cast("string") for c in ("page_type", "page_service")})
+    dwd = samples.dwd(spark, sf_dir, users=True, geo=True, pages=True)
     return olap.traffic_state(olap.traffic_olap(dwd), ["dt", "device_type"])
 
 
@@ -142,21 +141,18 @@ def _by_play(spark: SparkSession, sf_dir: str) -> Slicer:
 
 
 def page_dwell(spark, sf_dir):
-    return olap.page_dwell(samples.dwd(spark, sf_dir, users=True, geo=True), ["seq"], _by_session(spark, sf_dir))
+    return olap.page_dwell_of_raw(samples.ods(spark, sf_dir), samples.dim_user(spark, sf_dir),
+                                  samples.dim_geo(spark, sf_dir), ["seq"], _by_session(spark, sf_dir))
 
 
 def page_dwell_per_page(spark, sf_dir):
-    dwd = _without_areas(samples.dwd(spark, sf_dir, users=True))
-    return olap.page_dwell_per_page(olap.page_dwell(dwd, ["seq"], _by_session(spark, sf_dir)))
+    return olap.page_dwell_per_page(page_dwell(spark, sf_dir))
 
 
 def video_segments(spark, sf_dir):
-    return olap.video_segments(samples.dwd(spark, sf_dir, users=True, geo=True), samples.dim_video(spark, sf_dir),
-                               _by_play(spark, sf_dir))
-
-
-def _without_areas(dwd: DataFrame) -> DataFrame:
-    return dwd.withColumns({c: F.lit(None).cast("string") for c in ("gps_province", "gps_city", "gps_region")})
+    return olap.video_segments_of_raw(samples.ods(spark, sf_dir), samples.dim_user(spark, sf_dir),
+                                      samples.dim_geo(spark, sf_dir), samples.dim_video(spark, sf_dir),
+                                      _by_play(spark, sf_dir))
 
 
 def running_sum_then_window(spark, sf_dir):
@@ -174,7 +170,6 @@ def retained_partitions(spark, sf_dir):
 
 def event_rows(spark, sf_dir):
     """Typed columns out of JSON messages of the raw events (schema applied, map access)."""
-    from footfall.sources.events import ODS_DDL, good_records, parse_messages
     raw = samples.ods(spark, sf_dir)
     messages = raw.select("seq", F.to_json(F.struct(*[c for c in raw.columns if c != "seq"])).alias("value"))
     parsed = good_records(parse_messages(messages, ODS_DDL))
@@ -182,6 +177,40 @@ def event_rows(spark, sf_dir):
                          F.col("properties")["url"].alias("url"))
 
 
+def _as_text(rows: DataFrame) -> DataFrame:
+    """JSON messages of the rows, and as many broken ones."""
+    good = rows.select(F.to_json(F.struct(*rows.columns)).alias("value"))
+    return good.unionByName(good.select(F.concat(F.lit("x"), F.col("value")).alias("value")))
+
+
+def change_rows(spark, sf_dir):
+    """User changes out of JSON texts, the broken ones kept aside."""
+    ddl = "id BIGINT, username STRING, status INT"
+    return good_records(parse_changes(_as_text(samples.user_changes(spark, sf_dir)), ddl))
+
+
+def line_rows(spark, sf_dir):
+    """Person lines out of delimited texts, the broken ones kept aside."""
+    lines = samples.lines(spark, sf_dir)
+    good = lines.select(F.concat_ws(",", *lines.columns).alias("value"))
+    broken = good.select(F.concat(F.col("value"), F.lit("x")).alias("value"))
+    return good_records(parse_lines(good.unionByName(broken))).select("user_id", "gender", "age", "action_time")
+
+
+def event_clock(spark, sf_dir):
+    """Each event's timestamp."""
+    return samples.ods(spark, sf_dir).select(
+        "seq", F.date_format(millis(F.col("action_time")), "yyyy-MM-dd HH:mm:ss.SSS").alias("event_clock"))
+
+
+def merged_ranking(spark, sf_dir):
+    """The ranking of the first half of the windows, merged with the other windows as a stream's next batch is."""
+    uv = dashboards.page_uv_5m(samples.dwd(spark, sf_dir, users=True, pages=True))
+    second = F.minute("window_start") % 10 >= 5
+    best = dashboards.rank_overall(uv.where(~second), dashboards.TOP_PAGES)
+    return _windows(dashboards.rank_overall(uv.where(second).unionByName(best), dashboards.TOP_PAGES))
+
+
 def geohash_cells(spark, sf_dir):
     """Geohash, and its reverse, of every located event's position, with the events there."""
     return samples.ods(spark, sf_dir).groupBy("lat", "lng").agg(F.count(F.lit(1)).alias("events")).select(
@@ -274,11 +303,11 @@ def running_sum_by_gender(spark, sf_dir):
 
 
 def running_loads_by_session(spark, sf_dir):
-    """Page loads of the session so far at each event, with every session above 20 rows cut into hourly slices."""
+    """Page loads of the session so far at each event, with every session above 20 rows cut into slices of 20 to 40."""
     rows = samples.ods(spark, sf_dir).select("seq", "session_id", "event_id", "action_time")
     loads = F.when(F.col("event_id") == "page_load", 1).otherwise(0).cast("long")
     return running(rows, "session_id", "action_time", {"loads": ("sum", loads)},
-                   slice_hot_keys("session_id", "action_time", min_rows=20, slice_ms=3_600_000))
+                   slice_hot_keys("session_id", "action_time", min_rows=20))
 
 
 def merged_bitmap_users(spark, sf_dir):
@@ -294,7 +323,7 @@ def merged_bitmap_users(spark, sf_dir):
 def merged_dwell_loads(spark, sf_dir):
     """Page intervals loaded in one-minute pieces and merged by greatest end."""
     visits = page_visits(
-        olap.page_rows(_without_areas(samples.dwd(spark, sf_dir, users=True)), ["seq"]),
+        olap.page_rows(samples.dwd(spark, sf_dir, users=True, geo=True), ["seq"]),
         olap.PAGE_COLUMNS, ["seq"])
     pieces = visits.where(F.col("url").isNotNull()).groupBy(
         time_slice(F.col("event_time"), 1).alias("minute"), "user_id", "session_id", "url",
@@ -307,7 +336,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     lookup_miss_counts, user_dim, video_dim, geo_dim, traffic_olap_1m, traffic_rollup_province_1h,
     traffic_rollup_page_30m, traffic_rollup_terminal_10m, traffic_rollup_new_5m, traffic_rollup_day,
     bitmap_users_day, sessions_hll_day, page_dwell, page_dwell_per_page, video_segments, running_sum_then_window,
-    retained_partitions, event_rows, geohash_cells, time_slices, url_parts, properties_json, user_lookup, area_lookup, page_lookup,
+    retained_partitions, event_rows, change_rows, line_rows, event_clock, merged_ranking, geohash_cells, time_slices, url_parts, properties_json, user_lookup, area_lookup, page_lookup,
     area_hierarchy, latest_user_changes, promotion_loads, page_uv_5m, marked_visits, play_parts,
     running_sum_by_gender, running_loads_by_session, merged_bitmap_users, merged_dwell_loads,
 )}

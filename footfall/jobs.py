@@ -1,8 +1,9 @@
 """The jobs by name: ``spark-submit footfall/jobs.py <job> <settings.json>``.
 
 Settings common to streams: ``source`` (``{"path": ...}`` or ``{"kafka": {...}}``), ``checkpoint``, ``out`` and, as
-wanted, ``trigger`` (``{"processingTime": "5 seconds"}``; default: all that is there, then stop). Further settings are
-the arguments of the functions below.
+wanted, ``trigger`` (``{"processingTime": "5 seconds"}``; default: all that is there, then stop) and ``delay``: how far
+rows may lag behind the newest event time, as ``"10 seconds"`` for jobs over windows and as ``delay_ms`` for those that
+carry state. Further settings are the arguments of the functions below.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from footfall.plans import dashboards, dimensions, olap  # noqa: E402
 from footfall.session import build_session  # noqa: E402
 from footfall.sinks.partitions import RETENTION_DAYS, compact_day, drop_days_before  # noqa: E402
 from footfall.sinks.snapshots import current, publish  # noqa: E402
-from footfall.sources.events import read_dwd_stream, read_ods_stream  # noqa: E402
-from footfall.sources.tables import USER_DDL, VIDEO_DDL, read_changes, read_lines, read_table  # noqa: E402
+from footfall.sources.events import bad_records, parse_dwd_stream, read_dwd_stream, read_ods_stream  # noqa: E402
+from footfall.sources.tables import (  # noqa: E402
+    USER_DDL, VIDEO_DDL, parse_lines, read_changes, read_lines, read_table)
 from footfall.streaming import carried, cumulative, windows  # noqa: E402
 from footfall.streaming.dimensions import start_sync  # noqa: E402
 from footfall.streaming.enrich import EnrichTables, start_enrich  # noqa: E402
@@ -52,62 +54,91 @@ def build_geo_dim(spark, source: dict, out: str, version: int = 0) -> None:
     publish(dimensions.keyed_geo_dim(read_table(spark, **source)), out, version)
 
 
-def traffic_5m(spark, source: dict, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def bad_events(spark, source: dict, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Texts of a widened stream that cannot be parsed, by batch, so that they can be counted and repaired."""
+    return windows.start_table(bad_records(parse_dwd_stream(spark, **source)), out, checkpoint, trigger=trigger)
+
+
+def bad_lines(spark, source: dict, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    lines = parse_lines(spark.readStream.text(source["path"]))
+    return windows.start_table(bad_records(lines), out, checkpoint, trigger=trigger)
+
+
+def traffic_5m(spark, source: dict, out: str, checkpoint: str, trigger: dict | None = None,
+               delay: str = "0 seconds") -> StreamingQuery:
     dwd = read_dwd_stream(spark, ["user_id", "session_id", "event_id", "event_time"], **source)
-    return windows.start_table(windows.traffic_5m(dwd), out, checkpoint, trigger=trigger)
+    return windows.start_table(windows.traffic_5m(dwd, delay), out, checkpoint, trigger=trigger)
 
 
-def traffic_today(spark, source: dict, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Increments under ``out``; ``CumulativeJob.dashboard`` adds them up."""
+def traffic_today(spark, source: dict, out: str, checkpoint: str, trigger: dict | None = None,
+                  delay: str = "0 seconds") -> StreamingQuery:
+    """Dashboard rows of each closed step under ``out/dashboard``."""
     dwd = read_dwd_stream(spark, ["user_id", "session_id", "event_id", "event_time"], **source)
-    job, steps = cumulative.traffic_today(dwd, out)
+    job, steps = cumulative.traffic_today(dwd, out, delay)
     return job.start(steps, checkpoint, trigger)
 
 
-def promotion_today(spark, source: dict, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def promotion_today(spark, source: dict, out: str, checkpoint: str, trigger: dict | None = None,
+                    delay: str = "0 seconds") -> StreamingQuery:
+    """Dashboard rows of each closed step, promotion page and province under ``out/dashboard``."""
     dwd = read_dwd_stream(spark, ["user_id", "event_id", "event_time", "properties", "register_time",
                                   "register_province"], **source)
-    job, steps = cumulative.promotion_today(dwd, out)
+    job, steps = cumulative.promotion_today(dwd, out, delay)
     return job.start(steps, checkpoint, trigger)
 
 
 def top_pages(spark, source: dict, out: list[str], checkpoint: str, n: int = dashboards.TOP_PAGES,
-              trigger: dict | None = None) -> StreamingQuery:
+              trigger: dict | None = None, delay: str = "0 seconds") -> StreamingQuery:
     """The same ranking in every table of ``out``."""
     dwd = read_dwd_stream(spark, ["user_id", "event_time", "properties", "page_type"], **source)
-    return windows.start_ranking(windows.page_uv_5m(dwd), out, checkpoint, n, trigger)
+    return windows.start_ranking(windows.page_uv_5m(dwd, delay), out, checkpoint, n, trigger)
 
 
-def traffic_olap(spark, source: dict, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    return windows.start_table(windows.traffic_olap(read_dwd_stream(spark, **source)), out, checkpoint, "dt", trigger)
+AREA_COLUMNS = ["gps_province", "gps_city", "gps_region"]
+TRAFFIC_COLUMNS = ["event_time", *AREA_COLUMNS, "device_type", "release_channel", "properties", "page_type",
+                   "page_service", "register_time", "user_id", "session_id"]
+PAGE_COLUMNS = ["user_id", "session_id", "event_id", "event_time", "properties", *AREA_COLUMNS]
 
 
-def page_dwell(spark, source: dict, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def traffic_olap(spark, source: dict, out: str, checkpoint: str, trigger: dict | None = None,
+                 delay: str = "0 seconds") -> StreamingQuery:
+    rows = windows.traffic_olap(read_dwd_stream(spark, TRAFFIC_COLUMNS, **source), delay)
+    return windows.start_table(rows, out, checkpoint, "dt", trigger)
+
+
+def page_dwell(spark, source: dict, out: str, checkpoint: str, trigger: dict | None = None,
+               delay_ms: int = 0) -> StreamingQuery:
+    """Intervals under ``out/intervals``, rows that came too late under ``out/late``."""
     return carried.start_carried(
-        read_dwd_stream(spark, **source), lambda batch, number: carried.dwell_batch(batch, number, out), checkpoint,
-        trigger)
+        read_dwd_stream(spark, PAGE_COLUMNS, **source),
+        lambda batch, number: carried.dwell_batch(batch, number, out, delay_ms=delay_ms), checkpoint, trigger)
 
 
 def video_segments(spark, source: dict, videos: str, out: str, checkpoint: str, idle_ms: int | None = None,
-                   trigger: dict | None = None) -> StreamingQuery:
-    """``videos``: path of the video snapshots, read anew by every batch."""
+                   trigger: dict | None = None, delay_ms: int = 0) -> StreamingQuery:
+    """``videos``: path of the video snapshots, read anew by every batch; until there is one, no video is known."""
 
     def step(batch: DataFrame, number: int) -> None:
-        carried.video_batch(batch, current(spark, videos), number, out, idle_ms)
+        known = current(spark, videos)
+        if known is None:
+            known = spark.createDataFrame([], olap.VIDEO_DIM_DDL)
+        carried.video_batch(batch, known, number, out, idle_ms, delay_ms=delay_ms)
 
-    return carried.start_carried(read_dwd_stream(spark, **source), step, checkpoint, trigger)
+    return carried.start_carried(read_dwd_stream(spark, PAGE_COLUMNS, **source), step, checkpoint, trigger)
 
 
-def running_sum_then_window(spark, source: dict, out: str, checkpoint: str,
-                            trigger: dict | None = None) -> StreamingQuery:
+def running_sum_then_window(spark, source: dict, out: str, checkpoint: str, trigger: dict | None = None,
+                            delay_s: int = 10) -> StreamingQuery:
+    """Lines with running sums under ``out/sums``, closed windows over them under ``out/windows``."""
     lines = read_lines(spark, source["path"], streaming=True)
-    return windows.start_table(windows.running_sum_windows(lines), out, checkpoint, trigger=trigger)
+    return carried.start_carried(
+        lines, lambda batch, number: carried.running_sum_windows_batch(batch, number, out, delay_s), checkpoint, trigger)
 
 
 def top_pages_per_window(spark, source: dict, out: str, checkpoint: str, n: int = dashboards.TOP_PAGES,
-                         trigger: dict | None = None) -> StreamingQuery:
+                         trigger: dict | None = None, delay: str = "0 seconds") -> StreamingQuery:
     dwd = read_dwd_stream(spark, ["user_id", "event_time", "properties", "page_type"], **source)
-    return windows.start_ranking_per_window(windows.page_uv_5m(dwd), out, checkpoint, n, trigger)
+    return windows.start_ranking_per_window(windows.page_uv_5m(dwd, delay), out, checkpoint, n, trigger)
 
 
 # How rows of one key merge when a day is compacted.
@@ -119,18 +150,18 @@ MERGES: dict[str, Callable[[DataFrame], DataFrame]] = {
 
 
 def compact(spark, table: str, path: str, day: str, out: str) -> None:
-    """Merge the loads of one closed day of a traffic, dwell or video table."""
-    compact_day(spark, path, day, MERGES[table], out)
+    """Merge the loads of one closed day of a traffic, dwell or video table; ``none`` names the rows without a day."""
+    compact_day(spark, path, None if day == "none" else day, MERGES[table], out)
 
 
 def retire(spark, table: str, path: str, today: str) -> None:
-    """Drop the days of a table that are past its retention."""
+    """Drop the days of a table that are past its retention, and rows without a day that were loaded before it."""
     first = date.fromisoformat(today) - timedelta(days=RETENTION_DAYS[table])
     drop_days_before(spark, path, first.isoformat())
 
 
 JOBS = {f.__name__: f for f in (
-    widen_events, sync_user_dim, sync_video_dim, build_geo_dim, traffic_5m, traffic_today, promotion_today, top_pages,
+    widen_events, bad_events, bad_lines, sync_user_dim, sync_video_dim, build_geo_dim, traffic_5m, traffic_today, promotion_today, top_pages,
     top_pages_per_window, traffic_olap, page_dwell, video_segments, running_sum_then_window, compact, retire)}
 
 

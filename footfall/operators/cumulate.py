@@ -49,23 +49,26 @@ def step_increments(rows: DataFrame, time_ms: str, by: Sequence[str], sums: dict
 
 
 def add_up_steps(increments: DataFrame, by: Sequence[str], measures: Sequence[str], step_ms: int = STEP_MS,
-                 offset_ms: int = UTC8_MS, last_step: int | None = None) -> DataFrame:
+                 offset_ms: int = UTC8_MS, last_step: Column | int | None = None,
+                 after_step: Column | None = None) -> DataFrame:
     """Cumulative windows from step increments; a quiet step repeats the value before it.
 
-    Windows start at the group's first step and run to the end of the day.
+    Windows start at the group's first step and run to the end of the day, or to ``last_step``; of a day's windows
+    those up to ``after_step`` are left out. Both may depend on ``day``.
     """
-    per_day = DAY_MS // step_ms if last_step is None else last_step
+    last = F.lit(DAY_MS // step_ms) if last_step is None else last_step if isinstance(last_step, Column) else F.lit(last_step)
     in_order = Window.partitionBy(*by, "day").orderBy("step")
     totals = increments.select(
         *by, "day", "step",
-        F.lead("step", 1, per_day + 1).over(in_order).alias("next_step"),
+        F.coalesce(F.lead("step").over(in_order), last + 1).alias("next_step"),
         *[F.sum(m).over(in_order).alias(m) for m in measures],
     )
+    totals = totals.where(F.col("step") < F.col("next_step"))
     midnight_ms = F.col("day").cast("long") * F.lit(DAY_MS) - F.lit(offset_ms)
     return totals.select(
         *by, "day", *measures,
         F.explode(F.sequence(F.col("step"), F.col("next_step") - 1)).alias("step"),
-    ).select(
+    ).where(F.lit(True) if after_step is None else F.col("step") > after_step).select(
         wall_clock(midnight_ms, offset_ms).alias("window_start"),
         wall_clock(midnight_ms + F.col("step") * F.lit(step_ms), offset_ms).alias("window_end"),
         *by, *measures,

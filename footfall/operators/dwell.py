@@ -50,7 +50,9 @@ def order_events(events: DataFrame, page_columns: Sequence[str], ties: Sequence[
     sliced = (cut or slice_hot_keys(KEY, "event_time"))(rows)
     seeds = _seeds(sliced.where(F.col(HOT_ROWS).isNotNull()), order, ttl_ms)
 
-    upto = Window.partitionBy(KEY, SLICE).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    # What was carried over comes before the rows of its time.
+    upto = Window.partitionBy(KEY, SLICE).orderBy(
+        F.col("event_time").asc_nulls_first(), F.col(SEED).desc(), *[F.col(c).asc_nulls_first() for c in ties])
     before = upto.rowsBetween(Window.unboundedPreceding, -1)
     return sliced.unionByName(seeds, allowMissingColumns=True).select(
         "*", F.lag("event_time").over(upto).alias("__previous"), F.max(PAGE).over(before).alias("__last"),

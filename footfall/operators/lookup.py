@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 4096
-# No dimension key starts with this character.
+# Marks the keys of rows without one; a dimension key that starts with it is left out.
 NO_KEY = "\u0000"
 
 
@@ -40,7 +40,8 @@ def lookup(events: DataFrame, dimension: DataFrame, event_key: Column, dim_key:
     With ``salt_by`` the keys are texts and rows without a key are spread by these columns. ``small`` states that the
     dimension has been counted and fits every executor.
     """
-    side = dimension.where(dim_key.isNotNull()).select(
+    usable = dim_key.isNotNull() & ~dim_key.startswith(NO_KEY) if salt_by else dim_key.isNotNull()
+    side = dimension.where(usable).select(
         dim_key.alias("__dim_key"), *[F.col(source).alias(name) for name, source in fields.items()])
     key = spread_nulls(event_key, salt_by) if salt_by else event_key
     joined = events.withColumn("__event_key", key).join(

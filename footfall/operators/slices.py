@@ -15,49 +15,65 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from footfall.functions.clock import MINUTE_MS, floor_div
+from footfall.functions.clock import floor_to
 
 SLICE = "__slice"
 HOT_ROWS = "__hot_rows"
 SEED = "__seed"
 WHOLE = -1
+SECOND_MS = 1000
+MOST_CUTS = 100_000
 
 Slicer = Callable[[DataFrame], DataFrame]
 
 
+def _places_in(cuts: Column, time: Column) -> Column:
+    """How many of the ordered ``cuts`` are at or before ``time``, by binary search."""
+    steps = F.array(*[F.lit(1 << k) for k in range(MOST_CUTS.bit_length() - 1, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get(cuts, at + step - 1) <= time, at + step).otherwise(at))
+
+
 def slice_hot_keys(key: str, time_ms: str, counted: DataFrame | None = None, min_rows: int = 1_000_000,
-                   share: float = 1e-5, slice_ms: int = MINUTE_MS) -> Slicer:
+                   share: float = 1 / MOST_CUTS) -> Slicer:
     """Adds ``__slice`` and ``__hot_rows`` (NULL for an ordinary key).
 
-    A key is hot from ``min_rows`` rows and ``share`` of all rows on. At most ``1 / share`` keys can hold such a
-    share, which bounds the broadcast list whatever the data. Its slices are ``slice_ms`` long, or shorter where it
-    has more than ``min_rows`` rows in that time on average. ``counted`` may name a narrower input with the same keys
-    and times to count on.
+    A key is hot from ``min_rows`` rows and ``share`` of all rows on, say n rows; at most ``1 / share`` keys hold such a
+    share. It is cut in time order at n rows or a little later: its rows are counted by second, and by millisecond in
+    seconds that hold more than n, so a slice has at most 2 n rows unless one time has more. All keys together have at
+    most ``1 / share`` cuts, which bounds the broadcast list whatever the data. ``counted`` may name a narrower
+    input with the same keys and times to count on.
     """
-    n, width = F.col(HOT_ROWS), F.col("__width")
-
-    def cut(rows: DataFrame) -> DataFrame:
-        source = rows if counted is None else counted
-        counts = source.groupBy(F.col(key).alias("__key")).agg(
-            F.count(F.lit(1)).alias(HOT_ROWS), (F.max(time_ms) - F.min(time_ms)).alias("__span"))
-        enough = counts.agg(F.ceil(F.coalesce(F.sum(HOT_ROWS), F.lit(0)) * F.lit(share)).alias("n")).scalar()
-        dense = F.floor(F.col("__span") * (F.lit(float(min_rows)) / n))
-        hot = counts.where((n >= F.lit(min_rows)) & (n >= enough)).select(
-            "__key", HOT_ROWS, F.greatest(F.lit(1), F.least(F.lit(slice_ms), dense)).alias("__width"))
-        marked = rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("__key")), "left")
-        start = F.col(time_ms) - F.pmod(F.col(time_ms), width)
-        number = F.when(n.isNotNull(), F.call_function("div", start, width)).otherwise(F.lit(WHOLE))
-        return marked.withColumn(SLICE, number.cast("long")).drop("__key", "__width")
-
-    return cut
-
-
-def slice_every_key(time_ms: str, slice_ms: int = MINUTE_MS) -> Slicer:
-    """For keys of few values, all of which are hot."""
-
     def cut(rows: DataFrame) -> DataFrame:
-        return rows.withColumn(HOT_ROWS, F.lit(1).cast("long")) \
-            .withColumn(SLICE, floor_div(F.col(time_ms), slice_ms))
+        source = (rows if counted is None else counted).select(F.col(key).alias("__key"), F.col(time_ms).alias("__at"))
+        counts = source.groupBy("__key").agg(F.count(F.lit(1)).alias("__n"))
+        enough = counts.agg(F.greatest(F.lit(min_rows), F.ceil(F.coalesce(F.sum("__n"), F.lit(0)) * F.lit(share)))
+                            .cast("long").alias("n"))
+        hot = counts.where(F.col("__n") >= enough.scalar())
+
+        def of(keys: DataFrame) -> DataFrame:
+            other = keys.select(F.col("__key").alias("__hot_key"), *[c for c in keys.columns if c == "__second"])
+            same = F.col("__key").eqNullSafe(F.col("__hot_key"))
+            if "__second" in keys.columns:
+                same = same & (floor_to(F.col("__at"), SECOND_MS) == F.col("__second"))
+            return source.join(F.broadcast(other), same).select("__key", "__at")
+
+        seconds = of(hot).groupBy("__key", floor_to(F.col("__at"), SECOND_MS).alias("__second")).agg(
+            F.count(F.lit(1)).alias("__n"))
+        dense = F.col("__n") > enough.scalar()
+        pieces = seconds.where(~dense).withColumnRenamed("__second", "__at").unionByName(
+            of(seconds.where(dense).select("__key", "__second")).groupBy("__key", "__at").agg(
+                F.count(F.lit(1)).alias("__n")))
+        in_order = Window.partitionBy("__key").orderBy("__at")
+        before = F.coalesce(F.sum("__n").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        numbered = pieces.withColumn("__no", F.floor(before / enough.scalar()))
+        cuts = numbered.withColumn("__last", F.lag("__no").over(in_order)).where("__no > __last").groupBy("__key").agg(
+            F.sort_array(F.collect_list("__at")).alias("__cuts")).withColumnRenamed("__key", "__cut_key")
+        table = hot.join(cuts, F.col("__key").eqNullSafe(F.col("__cut_key")), "left").select(
+            "__key", F.col("__n").alias(HOT_ROWS), F.coalesce("__cuts", F.array().cast("array<bigint>")).alias("__cuts"))
+        marked = rows.join(F.broadcast(table), F.col(key).eqNullSafe(F.col("__key")), "left")
+        number = F.when(F.col(HOT_ROWS).isNotNull(), _places_in(F.col("__cuts"), F.col(time_ms))).otherwise(F.lit(WHOLE))
+        return marked.withColumn(SLICE, number.cast("long")).drop("__key", "__cuts")
 
     return cut
 

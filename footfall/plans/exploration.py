@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.functions.clock import floor_to, wall_clock
-from footfall.operators.slices import Measures, running, slice_every_key
+from footfall.operators.slices import Measures, running, slice_hot_keys
 
 WINDOW_S = 5
 
@@ -20,17 +20,25 @@ def age_sum() -> Measures:
 
 
 def running_sum(lines: DataFrame, carried: DataFrame | None = None) -> DataFrame:
-    """Each line with the sum of ages of its gender up to its second. Genders are few, so all are sliced."""
-    return running(timed_lines(lines), "gender", "ms", age_sum(), slice_every_key("ms"), carried).drop("ms")
+    """Each line with the sum of ages of its gender up to its second; genders are hot keys of large inputs."""
+    return running(timed_lines(lines), "gender", "ms", age_sum(), slice_hot_keys("gender", "ms"), carried).drop("ms")
 
 
-def running_sum_then_window(lines: DataFrame) -> DataFrame:
-    """Users, lines and the sum of times per gender and five seconds."""
-    start = floor_to(F.col("action_time"), WINDOW_S)
-    windows = running_sum(lines).groupBy(start.alias("start_s"), "gender").agg(
+def window_start(time: Column) -> Column:
+    return floor_to(time, WINDOW_S)
+
+
+def windows_of(sums: DataFrame) -> DataFrame:
+    """Users, lines, the sum of times and the last running sum, per gender and five seconds."""
+    windows = sums.groupBy(window_start(F.col("action_time")).alias("start_s"), "gender").agg(
         F.count_distinct("user_id").alias("uv"), F.sum(F.lit(1).cast("long")).alias("pv"),
-        F.sum("action_time").alias("sum_action_time"))
+        F.sum("action_time").alias("sum_action_time"),
+        F.max(F.struct("action_time", "sum_age"))["sum_age"].alias("sum_age"))
     return windows.select(
         wall_clock(F.col("start_s") * 1000).alias("window_start"),
         wall_clock((F.col("start_s") + WINDOW_S) * 1000).alias("window_end"),
-        "gender", "uv", "pv", "sum_action_time")
+        "gender", "uv", "pv", "sum_action_time", "sum_age")
+
+
+def running_sum_then_window(lines: DataFrame) -> DataFrame:
+    return windows_of(running_sum(lines))

@@ -14,6 +14,7 @@ from footfall.operators.dwell import page_visits
 from footfall.operators.lookup import lookup
 from footfall.operators.segments import mark_segments
 from footfall.operators.slices import Slicer
+from footfall.plans.widen import widen
 
 TIME_GRAINS = {"time_trunk_1m": 1, "time_trunk_5m": 5, "time_trunk_10m": 10, "time_trunk_30m": 30,
                "time_trunk_1h": 60}
@@ -105,6 +106,24 @@ def page_dwell(dwd: DataFrame, ties: Sequence[str] = (), cut: Slicer | None = No
     return dwell_intervals(page_visits(page_rows(dwd, ties), PAGE_COLUMNS, ties, cut=cut))
 
 
+# What a raw event's user and area are looked up by.
+RAW_KEYS = ["username", "lat", "lng"]
+
+
+def _looked_up(rows: DataFrame, users: DataFrame, geo: DataFrame, keep: Sequence[str]) -> DataFrame:
+    wide = widen(rows, users, geo, keep=keep)
+    return wide.select("user_id", "session_id", "event_time", *area_columns(), *keep)
+
+
+def page_dwell_of_raw(events: DataFrame, users: DataFrame, geo: DataFrame, ties: Sequence[str] = (),
+                      cut: Slicer | None = None) -> DataFrame:
+    """``page_dwell`` of raw events: visits are found on the narrow rows, and looked up once afterwards."""
+    rows = events.select("session_id", "event_id", F.col("action_time").alias("event_time"), *ties, *RAW_KEYS,
+                         F.col("properties")["url"].alias("url"))
+    visits = page_visits(rows, [*RAW_KEYS, "url"], ties, cut=cut)
+    return dwell_intervals(_looked_up(visits, users, geo, ["url", "page_load_time"]))
+
+
 def page_dwell_per_page(intervals: DataFrame) -> DataFrame:
     """Visits and time spent per day and page."""
     opened = intervals.where(F.col("page_start_time").isNotNull())
@@ -118,6 +137,8 @@ def merge_max(loaded: DataFrame, keys: Sequence[str], measure: str) -> DataFrame
     return loaded.groupBy(*keys).agg(F.max(measure).alias(measure))
 
 
+VIDEO_DIM_DDL = ("id BIGINT, f STRUCT<video_name: STRING, video_type: STRING, video_album: STRING, video_author: STRING, "
+                 "video_timelong: BIGINT>")
 VIDEO_FIELDS = {"video_title": "f.video_name", "video_type": "f.video_type", "video_album": "f.video_album",
                 "video_author": "f.video_author", "video_time_amt": "f.video_timelong"}
 VIDEO_KEYS = ["dt", "user_id", "session_id", "province", "city", "region", "video_id", *VIDEO_FIELDS, "play_id",
@@ -144,6 +165,17 @@ def name_videos(segments: DataFrame, videos: DataFrame) -> DataFrame:
     return named.withColumn("dt", day_of(F.col("partial_start_time"))).select(*VIDEO_KEYS, "partial_end_time")
 
 
+def video_segments_of_raw(events: DataFrame, users: DataFrame, geo: DataFrame, videos: DataFrame,
+                          cut: Slicer | None = None) -> DataFrame:
+    """``video_segments`` of raw events: parts are marked on the narrow rows, and looked up once afterwards."""
+    plays = events.where(F.col("event_id").isin(*PLAY_EVENTS)).select(
+        "session_id", "event_id", F.col("action_time").alias("event_time"), *RAW_KEYS,
+        as_long(F.col("properties")["video_id"]).alias("video_id"), F.col("properties")["play_id"].alias("play_id"))
+    marked = mark_segments(plays, cut)
+    wide = _looked_up(marked, users, geo, ["video_id", "play_id", "part_no", "part_start_time"])
+    return name_videos(merge_segments(wide), videos)
+
+
 def video_segments(dwd: DataFrame, videos: DataFrame, cut: Slicer | None = None) -> DataFrame:
     """Start and end of every played part, with the video's data."""
     return name_videos(merge_segments(mark_segments(play_rows(dwd), cut)), videos)

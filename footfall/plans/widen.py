@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from footfall.functions import day_of, map_to_json, url_prefix, with_geohash
 from footfall.operators.lookup import lookup
+from footfall.sources.events import DWD_DDL, struct_of
 
 USER_FIELDS = {
     "user_id": "f.id", "register_phone": "f.phone", "user_status": "f.status", "register_time": "f.create_time",
@@ -50,6 +51,18 @@ def widen(events: DataFrame, users: DataFrame | None = None, geo: DataFrame | No
     return wide.select(*[c for c in WIDE_COLUMNS if c in wide.columns], *keep)
 
 
+def look_up_users(missed: DataFrame, users: DataFrame) -> DataFrame:
+    """``missed``, widened events without a user, looked up once more."""
+    found = lookup(missed.drop(*USER_FIELDS), users, F.col("username"), F.col("username"), USER_FIELDS, SALT)
+    return found.select(*missed.columns)
+
+
+def with_all_fields(wide: DataFrame) -> DataFrame:
+    """``wide`` with the fields of dimensions that do not exist yet as NULL."""
+    kinds = {f.name: f.dataType for f in struct_of(DWD_DDL).fields}
+    return wide.withColumns({c: F.lit(None).cast(kinds[c]) for c in WIDE_COLUMNS if c not in wide.columns})
+
+
 def detail(wide: DataFrame) -> DataFrame:
     """Detail rows: the wide columns with ``properties`` as JSON text and the local day ``dt``."""
     return wide.withColumn("properties", map_to_json(F.col("properties"))) \

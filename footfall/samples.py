@@ -10,13 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.functions.clock import DAY_MS, UTC8_MS, epoch_ms_sql
-from footfall.operators.lookup import at_most
 from footfall.plans.dimensions import USER_STRUCT, VIDEO_STRUCT, as_keyed, keyed_geo_dim
 from footfall.plans.widen import widen
 
 START_MS = 1_704_067_200_000
 COMPRESSION = 15
-MAX_SMALL_DIMENSION = 200_000
 
 ACTION_TIME = f"{START_MS} + ({epoch_ms_sql('ts')} - {START_MS}) div {COMPRESSION}"
 
@@ -69,16 +67,15 @@ def ods(spark: SparkSession, sf_dir: str) -> DataFrame:
                     WHEN k % 8 IN (3, 4, 5) THEN map('url', concat('/content/article/', k, '.html?a=3'))
                     WHEN k % 8 = 6 THEN map('url', concat('/video/play/', k, '.html'))
                     ELSE CAST(map() AS MAP<STRING, STRING>) END,
-               if(playing, map('video_id', string(seq % 20), 'play_id', concat('p', user_id, '_', seq % 3)),
+               if(playing, map('video_id', string(seq % 2500), 'play_id', concat('p', user_id, '_', seq % 3)),
                   CAST(map() AS MAP<STRING, STRING>))) AS properties""",
         "seq")
 
 
 def user_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A user per customer. The 25 nations are read as one map, which leaves the customers unshuffled."""
-    nations = _table(spark, sf_dir, "nation").selectExpr(
-        "map_from_entries(collect_list(struct(n_nationkey, n_name))) AS names").scalar()
-    return _table(spark, sf_dir, "customer").withColumn("province", nations[F.col("c_nationkey")]).selectExpr(
+    """A user per customer."""
+    nations = _table(spark, sf_dir, "nation").selectExpr("n_nationkey AS c_nationkey", "n_name AS province")
+    return _table(spark, sf_dir, "customer").join(nations, "c_nationkey", "left").selectExpr(
         "c_custkey AS id", "concat('user_', c_custkey) AS username",
         "concat('1', lpad(string(c_custkey), 10, '0')) AS phone", "int(c_custkey % 3) AS status",
         """CASE WHEN c_custkey % 11 = 10 THEN NULL
@@ -114,8 +111,8 @@ def video_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_video(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Videos 0 to 14; play events also name 15 to 19, which are missing."""
-    return as_keyed(video_rows(spark, sf_dir).where("id < 15"), "id", VIDEO_STRUCT)
+    """All parts but every tenth; play events name 2,500 ids, of which some are missing."""
+    return as_keyed(video_rows(spark, sf_dir).where("id % 10 <> 9"), "id", VIDEO_STRUCT)
 
 
 def video_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,13 +164,12 @@ def dim_page(spark: SparkSession) -> DataFrame:
 def dwd(spark: SparkSession, sf_dir: str, users: bool = False, geo: bool = False, pages: bool = False) -> DataFrame:
     """Widened events with the wanted lookups, plus ``seq``.
 
-    The area dimension is computed here instead of read from a snapshot, so Spark cannot see its size in advance. It
-    has at most one row per customer: if those are counted to be few it is broadcast, else it is joined by shuffle.
+    The area dimension is computed here instead of read from a snapshot, so Spark cannot see its size in advance;
+    adaptive execution broadcasts it once it is known to be small.
     """
-    small = ["geo"] if geo and at_most(_table(spark, sf_dir, "customer"), MAX_SMALL_DIMENSION) else []
     return widen(
         ods(spark, sf_dir), dim_user(spark, sf_dir) if users else None, dim_geo(spark, sf_dir) if geo else None,
-        dim_page(spark) if pages else None, keep=["seq"], small=small)
+        dim_page(spark) if pages else None, keep=["seq"])
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,16 +2,19 @@
 
 A snapshot is a parquet directory ``version=<n>``, where n is the number of the batch that made it. A batch reads the
 newest version *below* its own number, so running it again starts from the same input and writes the same result.
-A version counts once its ``_SUCCESS`` file is there; readers never see a half-written one.
+A version counts once its ``_SUCCESS`` file is there; readers never see a half-written one. Other jobs may still read a
+version after it was replaced, so tables they read keep replaced versions for a time (``keep_ms``).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.sinks.partitions import delete, exists, names_in
+from footfall.sinks.partitions import delete, exists, modified_ms, names_in, now_ms
 
 VERSION = "version="
+# How long jobs may go on reading a dimension that was replaced: longer than any of their batches lasts.
+SHARED_KEEP_MS = 6 * 3_600_000
 
 
 def _versions(spark: SparkSession, path: str, below: int | None = None) -> list[int]:
@@ -27,17 +30,25 @@ def newest_version(spark: SparkSession, path: str, below: int | None = None) ->
     return None
 
 
-def publish(rows: DataFrame, path: str, version: int, keep: int = 3) -> DataFrame:
-    """Write ``rows`` as ``version``, drop all but the newest ``keep`` versions, return the written rows."""
+def publish(rows: DataFrame, path: str, version: int, keep: int = 3, keep_ms: int = 0) -> DataFrame:
+    """Write ``rows`` as ``version`` and return the written rows.
+
+    Of the older versions those go that are neither among the newest ``keep`` nor were replaced within ``keep_ms``.
+    """
     spark = rows.sparkSession
     target = f"{path}/{VERSION}{version}"
     rows.write.mode("overwrite").parquet(target)
-    for old in _versions(spark, path)[keep:]:
-        delete(spark, f"{path}/{VERSION}{old}")
+    found = _versions(spark, path)
+    for newer, old in zip(found[keep - 1:], found[keep:], strict=False):
+        if not keep_ms or now_ms() - modified_ms(spark, f"{path}/{VERSION}{newer}") > keep_ms:
+            delete(spark, f"{path}/{VERSION}{old}")
     return spark.read.schema(rows.schema).parquet(target)
 
 
+def read_version(spark: SparkSession, path: str, version: int | None) -> DataFrame | None:
+    return None if version is None else spark.read.parquet(f"{path}/{VERSION}{version}")
+
+
 def current(spark: SparkSession, path: str, below: int | None = None) -> DataFrame | None:
     """Newest complete version, or the newest below a batch number; None when there is none."""
-    version = newest_version(spark, path, below)
-    return None if version is None else spark.read.parquet(f"{path}/{VERSION}{version}")
+    return read_version(spark, path, newest_version(spark, path, below))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,9 @@ DWD_DDL = """
 """
 
 BAD_RECORD = "_bad_record"
+# Where a message stood in its source: what orders events of one time. The batch that took it in leads.
+POSITION = "position"
+POSITION_DDL = "STRUCT<batch: BIGINT, part: STRING, block: BIGINT, row: BIGINT>"
 
 
 def struct_of(ddl: str) -> T.StructType:
@@ -37,21 +40,54 @@ def struct_of(ddl: str) -> T.StructType:
 
 def read_messages(spark: SparkSession, path: str | None = None, kafka: dict[str, str] | None = None,
                   files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame with one text column ``value``."""
+    """Streaming DataFrame with a text column ``value`` and the message's ``position``, as far as the source tells."""
+    def position(part: Column, block: Column, row: Column) -> Column:
+        return F.struct(F.lit(None).cast("long").alias("batch"), part.cast("string").alias("part"),
+                        block.cast("long").alias("block"), row.cast("long").alias("row")).alias(POSITION)
+
     if kafka is not None:
         options = {"startingOffsets": "latest", **kafka}
-        return spark.readStream.format("kafka").options(**options).load().select(F.col("value").cast("string"))
+        return spark.readStream.format("kafka").options(**options).load().select(
+            F.col("value").cast("string"), position(F.concat_ws("-", "topic", "partition"), F.lit(0), F.col("offset")))
     reader = spark.readStream
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.text(path)
+    return reader.text(path).select("value", position(
+        F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.lit(None)))
 
 
 def parse_messages(messages: DataFrame, ddl: str) -> DataFrame:
-    """Columns of ``ddl`` plus ``_bad_record``, which holds the text of a message that could not be parsed."""
+    """Columns of ``ddl``, ``_bad_record`` with the text of a message that could not be parsed, and the position.
+
+    Text that is JSON but no object of the schema, such as a number, is bad as well; NULL is an empty text.
+    """
     schema = struct_of(ddl).add(BAD_RECORD, T.StringType())
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
-    return messages.select(F.from_json("value", schema, options).alias("m")).select("m.*")
+    own = [c for c in messages.columns if c == POSITION]
+    text = F.coalesce("value", F.lit(""))
+    parsed = messages.select(text.alias("value"), F.from_json(text, schema, options).alias("m"), *own)
+    bad = F.when(F.col("m").isNull() | F.col(f"m.{BAD_RECORD}").isNotNull(), F.col("value"))
+    wanted = [c for c in struct_of(ddl).names if c not in own]
+    return parsed.select(*[F.col(f"m.{c}").alias(c) for c in wanted], bad.alias(BAD_RECORD),
+                         *[_placed(ddl) for _ in own])
+
+
+def _placed(ddl: str) -> Column:
+    """The position that a message carries, else its own."""
+    carried = [F.col(f"m.{POSITION}")] if POSITION in struct_of(ddl).names else []
+    return F.coalesce(*carried, POSITION).alias(POSITION)
+
+
+def placed_in(rows: DataFrame, batch_id: int) -> DataFrame:
+    """A micro-batch with batch and row filled in where a position has none; without positions, with empty ones.
+
+    To be applied before rows are shuffled: a row's number is its place in its task.
+    """
+    if POSITION not in rows.columns:
+        return rows.withColumn(POSITION, F.lit(None).cast(POSITION_DDL))
+    place = F.col(POSITION)
+    return rows.withColumn(POSITION, place.withField("batch", F.coalesce(place["batch"], F.lit(batch_id).cast("long")))
+                           .withField("row", F.coalesce(place["row"], F.monotonically_increasing_id())))
 
 
 def good_records(parsed: DataFrame) -> DataFrame:
@@ -67,12 +103,16 @@ def read_ods_stream(spark: SparkSession, **source) -> DataFrame:
     return parse_messages(read_messages(spark, **source), ODS_DDL)
 
 
+def parse_dwd_stream(spark: SparkSession, columns: Sequence[str] | None = None, **source) -> DataFrame:
+    """Widened events and their positions from JSON messages, including ``_bad_record``; only ``columns`` are parsed."""
+    wanted = [f for f in struct_of(DWD_DDL).fields if columns is None or f.name in columns]
+    fields = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in wanted] + [f"{POSITION} {POSITION_DDL}"])
+    return parse_messages(read_messages(spark, **source), fields)
+
+
 def read_dwd_stream(spark: SparkSession, columns: Sequence[str] | None = None, **source) -> DataFrame:
-    """Widened events from JSON messages; only ``columns`` are parsed."""
-    schema = struct_of(DWD_DDL)
-    wanted = [f for f in schema.fields if columns is None or f.name in columns]
-    parsed = read_messages(spark, **source).select(F.from_json("value", T.StructType(wanted)).alias("m"))
-    return parsed.select("m.*")
+    """The good records of ``parse_dwd_stream``; the job ``bad_events`` keeps and counts the others."""
+    return good_records(parse_dwd_stream(spark, columns, **source))
 
 
 def read_dwd(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

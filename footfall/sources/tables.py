@@ -1,9 +1,17 @@
-"""Bounded tables, change rows and delimited lines."""
+"""Bounded tables, change rows and delimited lines.
+
+Text that cannot be parsed is kept apart from the rows: the ``parse_`` functions give it as ``_bad_record``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from footfall.sources.events import BAD_RECORD, good_records, parse_messages, struct_of
+
+# Column names and types of the inputs.
 USER_DDL = """
     id BIGINT, username STRING, phone STRING, status INT, create_time TIMESTAMP_NTZ, gender INT, birthday DATE,
     province STRING, city STRING, job STRING, source_type INT
@@ -27,13 +35,30 @@ def read_table(spark: SparkSession, path: str | None = None, jdbc: dict[str, str
     return spark.read.parquet(path)
 
 
+def parse_changes(messages: DataFrame, ddl: str) -> DataFrame:
+    """Change rows ``op`` (c, u or d), ``seq`` and the table's columns out of JSON texts, with ``_bad_record``."""
+    return parse_messages(messages.select("value"), f"{CHANGE_DDL}, {ddl}")
+
+
 def read_changes(spark: SparkSession, path: str, ddl: str, streaming: bool = False) -> DataFrame:
-    """Change rows ``op`` (c, u or d), ``seq`` and the table's columns, as JSON lines."""
+    """Change rows from JSON lines, including ``_bad_record``: folding them keeps the bad ones aside."""
     reader = spark.readStream if streaming else spark.read
-    return reader.schema(f"{CHANGE_DDL}, {ddl}").json(path)
+    return parse_changes(reader.text(path), ddl)
+
+
+def parse_lines(messages: DataFrame) -> DataFrame:
+    """Comma-separated lines id,name,gender,age,seconds out of texts, with ``_bad_record``."""
+    schema = struct_of(LINE_DDL).add(BAD_RECORD, T.StringType())
+    text = F.coalesce("value", F.lit(""))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
+    parsed = messages.select(text.alias("value"), F.from_csv(text, schema.simpleString()[7:-1].replace(":", " "), options)
+                             .alias("m"))
+    # An empty line has no columns to be wrong.
+    bad = F.when(F.col("m").isNull() | F.col(f"m.{BAD_RECORD}").isNotNull() | (F.trim("value") == ""), F.col("value"))
+    return parsed.select(*[F.col(f"m.{c}").alias(c) for c in struct_of(LINE_DDL).names], bad.alias(BAD_RECORD))
 
 
 def read_lines(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Comma-separated lines id,name,gender,age,seconds."""
+    """The good lines of a text; the job ``bad_lines`` keeps and counts the others."""
     reader = spark.readStream if streaming else spark.read
-    return reader.schema(LINE_DDL).csv(path)
+    return good_records(parse_lines(reader.text(path)))

@@ -1,43 +1,65 @@
 """Ordered per-key work on a stream: the batch operators, continued from carried state.
 
 A micro-batch runs the same window expressions as the batch job, with the state of earlier batches as seed rows, so a
-hot session or play is sliced here as well. The state is a snapshot per batch. Batches must arrive in event-time
-order; rows older than the newest time of the batches before are late and dropped, whatever their key.
+hot session or play is sliced here as well. The state is a snapshot per batch.
+
+Rows need not arrive in event-time order. The clock is the newest event time seen; rows newer than the clock less a
+tolerated delay wait, and are worked on in time order once the clock has passed them. Rows that come later than that,
+and rows without a time, go to the table ``late``, by batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from footfall.operators.dwell import open_pages, order_events, visits_of
 from footfall.operators.segments import mark_segments, play_state
 from footfall.operators.slices import Slicer, running_state
-from footfall.plans.exploration import age_sum, running_sum, timed_lines
+from footfall.plans.exploration import WINDOW_S, age_sum, running_sum, timed_lines, window_start, windows_of
 from footfall.plans.olap import PAGE_COLUMNS, dwell_intervals, merge_segments, name_videos, page_rows, play_rows
-from footfall.sinks.partitions import write_batch
+from footfall.sinks.partitions import BATCH, write_batch
 from footfall.sinks.snapshots import current, publish
+from footfall.sources.events import POSITION, placed_in
 
 
-def _on_time(rows: DataFrame, time: str, path: str, batch_id: int) -> tuple[DataFrame, Column]:
-    """Rows not older than the clock, and the clock after them (written down for the next batch)."""
+def _in_order(rows: DataFrame, time: str, path: str, batch_id: int, delay: int) -> tuple[DataFrame, Column]:
+    """The rows whose turn it is, and the time up to which all is done; ``delay`` is in units of ``time``."""
     spark = rows.sparkSession
     before = current(spark, f"{path}/clock", below=batch_id)
-    seen = rows.agg(F.max(time).alias("ms"))
+    seen, done = rows.agg(F.max(time).alias("ms")), F.lit(-1 << 62)
     if before is not None:
-        rows = rows.where(F.col(time) >= F.coalesce(before.scalar(), F.lit(-1 << 62)))
         seen = seen.unionByName(before).agg(F.max("ms").alias("ms"))
-    return rows, publish(seen.coalesce(1), f"{path}/clock", batch_id).scalar()
-
-
-def dwell_batch(dwd: DataFrame, batch_id: int, path: str, ties: tuple[str, ...] = (),
-                cut: Slicer | None = None) -> None:
-    """Add one batch's page intervals to ``path/intervals``; ``merge_max`` reads them."""
+        done = F.coalesce(before.scalar() - F.lit(delay), done)
+    upto = publish(seen.coalesce(1), f"{path}/clock", batch_id).scalar() - F.lit(delay)
+    in_time = F.col(time) >= done
+    write_batch(rows.where(~F.coalesce(in_time, F.lit(False))), f"{path}/late", batch_id, day=None)
+    rows = rows.where(in_time)
+    if delay:
+        waiting = current(spark, f"{path}/waiting", below=batch_id)
+        rows = rows if waiting is None else rows.unionByName(waiting)
+        publish(rows.where(F.col(time) > upto), f"{path}/waiting", batch_id)
+        rows = rows.where(F.col(time) <= upto)
+    return rows, upto
+
+
+def late_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Late rows per batch of the job that writes to ``path``."""
+    rows = spark.read.schema(f"{BATCH} BIGINT").parquet(f"{path}/late")
+    return rows.groupBy(BATCH).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def dwell_batch(dwd: DataFrame, batch_id: int, path: str, ties: tuple[str, ...] = (POSITION,),
+                cut: Slicer | None = None, delay_ms: int = 0) -> None:
+    """Add one batch's page intervals to ``path/intervals``; ``merge_max`` reads them.
+
+    Events of one session and time come in the order of their positions in the source.
+    """
     spark = dwd.sparkSession
-    rows, clock = _on_time(dwd, "event_time", path, batch_id)
+    rows, clock = _in_order(placed_in(dwd, batch_id), "event_time", path, batch_id, delay_ms)
     ordered = order_events(page_rows(rows, ties), PAGE_COLUMNS, ties, cut=cut,
                            carried=current(spark, f"{path}/open", below=batch_id)).persist()
     try:
@@ -48,13 +70,13 @@ def dwell_batch(dwd: DataFrame, batch_id: int, path: str, ties: tuple[str, ...]
 
 
 def video_batch(dwd: DataFrame, videos: DataFrame, batch_id: int, path: str, idle_ms: int | None = None,
-                cut: Slicer | None = None) -> None:
+                cut: Slicer | None = None, delay_ms: int = 0) -> None:
     """Add one batch's segments to ``path/segments``; ``merge_max`` reads them.
 
     Plays are remembered for ever, or for ``idle_ms`` after their last event.
     """
     spark = dwd.sparkSession
-    rows, clock = _on_time(dwd, "event_time", path, batch_id)
+    rows, clock = _in_order(dwd, "event_time", path, batch_id, delay_ms)
     plays = play_rows(rows)
     carried = current(spark, f"{path}/plays", below=batch_id)
     segments = merge_segments(mark_segments(plays, cut, carried))
@@ -65,21 +87,42 @@ def video_batch(dwd: DataFrame, videos: DataFrame, batch_id: int, path: str, idl
     publish(state, f"{path}/plays", batch_id)
 
 
-def running_sum_batch(lines: DataFrame, batch_id: int, path: str) -> None:
+def running_sum_batch(lines: DataFrame, batch_id: int, path: str, delay_s: int = 0) -> None:
     """Add one batch's lines with the running sum of their gender to ``path/sums``."""
     spark = lines.sparkSession
-    rows, _ = _on_time(lines, "action_time", path, batch_id)
+    rows, _ = _in_order(lines, "action_time", path, batch_id, delay_s)
     carried = current(spark, f"{path}/state", below=batch_id)
     write_batch(running_sum(rows, carried), f"{path}/sums", batch_id, day=None)
     publish(running_state(timed_lines(rows), "gender", "ms", age_sum(), carried), f"{path}/state", batch_id)
 
 
+def running_sum_windows_batch(lines: DataFrame, batch_id: int, path: str, delay_s: int = 0) -> None:
+    """As ``running_sum_batch``, and the windows over the sums that have closed, once each, to ``path/windows``.
+
+    Sums of windows that are still open are carried over.
+    """
+    spark = lines.sparkSession
+    rows, upto = _in_order(lines, "action_time", path, batch_id, delay_s)
+    carried = current(spark, f"{path}/state", below=batch_id)
+    sums = running_sum(rows, carried).persist()
+    try:
+        write_batch(sums, f"{path}/sums", batch_id, day=None)
+        publish(running_state(timed_lines(rows), "gender", "ms", age_sum(), carried), f"{path}/state", batch_id)
+        open_before = current(spark, f"{path}/open", below=batch_id)
+        known = sums if open_before is None else sums.unionByName(open_before)
+        closed = window_start(F.col("action_time")) + F.lit(WINDOW_S) <= upto
+        write_batch(windows_of(known.where(closed)), f"{path}/windows", batch_id, day=None)
+        publish(known.where(~closed), f"{path}/open", batch_id)
+    finally:
+        sums.unpersist()
+
+
 def start_carried(stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str,
                   trigger: dict | None = None) -> StreamingQuery:
     """Run ``step`` on every micro-batch, read once from the source."""
 
     def once(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = (placed_in(batch, batch_id) if POSITION in batch.columns else batch).persist()
         try:
             step(batch, batch_id)
         finally:

@@ -1,8 +1,9 @@
 """Day-to-date figures on a stream.
 
 The stream closes five-minute steps: one row per (step, key), so a key that floods a step costs one row. Each batch
-compares its keys with those already seen that day and adds, per step, the sums and the number of new keys. The
-dashboard is the running total of at most 288 such increments per day and group; no event is read twice.
+compares its keys with those already seen that day and adds, per step, the sums and the number of new keys. Running
+totals per group are carried on, so a batch writes the dashboard rows of the steps it closed, for every group of the day,
+and none beyond the newest closed step; no event is read twice.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from footfall.functions.clock import DAY_MS, UTC8_MS, floor_div, slice_index
 from footfall.operators.cumulate import STEP_MS, add_up_steps
 from footfall.plans.dashboards import page_loads, promotion_rows
 from footfall.sinks.partitions import read_batches, write_batch
+from footfall.sinks.snapshots import current, publish
 from footfall.sources.events import with_event_time
 
 ROWS = "rows"
@@ -78,20 +80,52 @@ class CumulativeJob:
                     F.sum(F.when(F.col("kind") == ROWS, F.col("n")).otherwise(0)).alias(self.rows_as),
                     *[F.count_if(F.col("kind") == name).alias(name) for name in self.distincts])
             write_batch(increments, f"{self.path}/increments", batch_id, "day")
+            self._add_to_dashboard(steps, batch_id)
         finally:
             steps.unpersist()
 
-    def increments(self, spark: SparkSession) -> DataFrame | None:
+    def _add_to_dashboard(self, steps: DataFrame, batch_id: int) -> None:
+        """Dashboard rows of the steps that this batch closed; the newest closed step and the totals go on."""
+        spark = steps.sparkSession
+        now = steps.agg(F.max(F.struct("day", "step")).alias("m")).select("m.*").first()
+        before = current(spark, f"{self.path}/closed", below=batch_id)
+        past = None if before is None else before.first()
+        if now is None or now["day"] is None:
+            return
+        measures = [self.rows_as, *self.distincts]
+        rows = self.increments(spark, only=batch_id).select(*self.by, "day", "step", *measures)
+        totals = current(spark, f"{self.path}/totals", below=batch_id)
+        if totals is not None:
+            rows = rows.unionByName(totals)
+        # Earlier days are over once a later day has a closed step.
+        last = F.when(F.col("day") < now["day"], STEPS_PER_DAY).otherwise(now["step"])
+        done = F.lit(0) if past is None else F.when(F.col("day") == past["day"], past["step"]).otherwise(0)
+        write_batch(add_up_steps(rows, list(self.by), measures, last_step=last, after_step=done),
+                    f"{self.path}/dashboard", batch_id, day=None)
+        open_day = rows.where(F.col("day") == now["day"]).groupBy(*self.by, "day").agg(
+            F.lit(now["step"]).cast("int").alias("step"), *[F.sum(m).alias(m) for m in measures])
+        publish(open_day, f"{self.path}/totals", batch_id)
+        publish(spark.createDataFrame([(now["day"], now["step"])], "day INT, step INT").coalesce(1),
+                f"{self.path}/closed", batch_id)
+
+    def increments(self, spark: SparkSession, only: int | None = None) -> DataFrame | None:
         ddl = f"{self._group}step INT, {self.rows_as} BIGINT, " \
               + "".join(f"{name} BIGINT, " for name in self.distincts) + "day INT"
-        return read_batches(spark, f"{self.path}/increments", ddl)
+        return read_batches(spark, f"{self.path}/increments", ddl, only=only)
+
+    def dashboard(self, spark: SparkSession, day: int | None = None, closed_step: int | None = None) -> DataFrame:
+        """All cumulative windows, or those of one day (days since 1970), made anew from the increments.
 
-    def dashboard(self, spark: SparkSession, day: int | None = None, closed_step: int = STEPS_PER_DAY) -> DataFrame:
-        """Cumulative windows up to ``closed_step`` of each day, or of one day (days since 1970)."""
+        They run up to ``closed_step`` of each day; by default to the newest closed step.
+        """
         rows = self.increments(spark)
         if day is not None:
             rows = rows.where(F.col("day") == day)
-        return add_up_steps(rows, list(self.by), [self.rows_as, *self.distincts], last_step=closed_step)
+        last = F.lit(closed_step)
+        if closed_step is None:
+            newest = current(spark, f"{self.path}/closed").first()
+            last = F.when(F.col("day") < newest["day"], STEPS_PER_DAY).otherwise(newest["step"])
+        return add_up_steps(rows, list(self.by), [self.rows_as, *self.distincts], last_step=last)
 
     def start(self, steps: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
         return steps.writeStream.outputMode("append").foreachBatch(self.add_batch) \
@@ -108,14 +142,15 @@ def _without(rows: DataFrame, seen: DataFrame, columns: Sequence[str]) -> DataFr
     return rows.join(other, same, "left_anti")
 
 
-def traffic_today(dwd: DataFrame, path: str) -> tuple[CumulativeJob, DataFrame]:
+def traffic_today(dwd: DataFrame, path: str, delay: str = "0 seconds") -> tuple[CumulativeJob, DataFrame]:
     job = CumulativeJob({}, "pv_amt", ["uv_amt", "ses_amt"], path)
-    return job, job.closed_steps(dwd, page_loads(), {"uv_amt": F.col("user_id"), "ses_amt": F.col("session_id")})
+    keys = {"uv_amt": F.col("user_id"), "ses_amt": F.col("session_id")}
+    return job, job.closed_steps(dwd, page_loads(), keys, delay=delay)
 
 
-def promotion_today(dwd: DataFrame, path: str) -> tuple[CumulativeJob, DataFrame]:
+def promotion_today(dwd: DataFrame, path: str, delay: str = "0 seconds") -> tuple[CumulativeJob, DataFrame]:
     job = CumulativeJob({"promotion_page_name": "STRING", "province": "STRING"}, "pv_amt", ["uv_amt", "new_uv_amt"],
                         path)
     events = promotion_rows(dwd).withColumnRenamed("register_province", "province")
     keys = {"uv_amt": F.col("user_id"), "new_uv_amt": F.col("new_user_id")}
-    return job, job.closed_steps(events, F.lit(1), keys, wanted=F.col("promoted"))
+    return job, job.closed_steps(events, F.lit(1), keys, wanted=F.col("promoted"), delay=delay)

@@ -1,66 +1,104 @@
-"""Raw events -> widened stream and detail table, with a second chance for users that are not known yet."""
+"""Raw events -> widened stream and detail table, with further chances for users that are not known yet."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
+from time import sleep
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from footfall.plans.widen import WIDE_COLUMNS, detail, widen
+from footfall.plans.widen import WIDE_COLUMNS, detail, look_up_users, widen, with_all_fields
 from footfall.sinks.partitions import exists, write_batch
-from footfall.sinks.snapshots import current
-from footfall.sources.events import ODS_DDL, bad_records, good_records
+from footfall.sinks.snapshots import newest_version, read_version
+from footfall.sources.events import POSITION, bad_records, good_records, placed_in
 
-ATTEMPTS = 3
-PENDING_DDL = f"{ODS_DDL}, attempt INT"
 ODS_COLUMNS = ["username", "session_id", "event_id", "action_time", "lat", "lng", "release_channel", "device_type",
                "properties"]
 
 
 @dataclass
 class EnrichTables:
-    """Where the job reads its dimension snapshots and writes its tables."""
+    """Where the job reads its dimension snapshots and writes its tables, and how often it asks for a missing user."""
 
     users: str
     geo: str
     pages: str
     wide: str
     detail: str
-    pending: str
+    notes: str
     bad: str
     checkpoint: str
     wide_kafka: dict[str, str] | None = None  # options of a broker topic that takes the wide stream instead
+    attempts: int = 3
+    wait_s: float = 5.0
+
+
+def _noted(spark: SparkSession, path: str) -> dict | None:
+    return json.loads(spark.read.text(path, wholetext=True).first()[0]) if exists(spark, f"{path}/_SUCCESS") else None
+
+
+def _versions(spark: SparkSession, tables: EnrichTables) -> dict:
+    return {"users": [newest_version(spark, tables.users)], "geo": newest_version(spark, tables.geo),
+            "pages": newest_version(spark, tables.pages)}
 
 
 def enrich_batch(spark: SparkSession, parsed: DataFrame, batch_id: int, tables: EnrichTables) -> None:
     """One micro-batch: evaluated once, written to the wide stream and the detail table.
 
-    Each batch reads the dimensions as they are now. Events whose user is missing wait in the pending table and are
-    looked up again by the next batches; at the third miss they are written without a user.
+    Users that are missing are looked up again, in newer versions of the dimension only, ``attempts`` times in all and
+    ``wait_s`` seconds apart; then their events are written without a user. The versions used are written down
+    before any row is, and a repeat of the batch uses the same, so both outputs always hold the same rows. A dimension
+    without any version gives NULLs.
     """
     write_batch(bad_records(parsed), tables.bad, batch_id, day=None)
-    fresh = good_records(parsed).select(*ODS_COLUMNS).withColumn("attempt", F.lit(0))
-    waiting = f"{tables.pending}/batch_id={batch_id - 1}"
-    todo = fresh
-    if exists(spark, waiting):
-        todo = fresh.unionByName(spark.read.schema(PENDING_DDL).parquet(waiting))
-    wide = widen(todo, current(spark, tables.users), current(spark, tables.geo), current(spark, tables.pages),
-                 keep=["attempt"]).withColumn("attempt", F.col("attempt") + 1).persist()
+    events = placed_in(good_records(parsed), batch_id).select(*ODS_COLUMNS, POSITION)
+    note = f"{tables.notes}/batch_id={batch_id}"
+    noted = _noted(spark, note)
+    used = noted or _versions(spark, tables)
+
+    wide = with_all_fields(widen(
+        events, read_version(spark, tables.users, used["users"][0]), read_version(spark, tables.geo, used["geo"]),
+        read_version(spark, tables.pages, used["pages"]), keep=[POSITION])).persist()
     try:
-        missed = F.col("user_id").isNull() & F.col("username").isNotNull() & (F.col("attempt") < ATTEMPTS)
-        wide.where(missed).withColumnRenamed("event_time", "action_time").select(*ODS_COLUMNS, "attempt") \
-            .write.mode("overwrite").parquet(f"{tables.pending}/batch_id={batch_id}")
-        _write(spark, wide.where(~missed), batch_id, tables)
+        rows = wide
+        if noted is None:
+            for _ in range(1, tables.attempts):
+                if _missed(rows).isEmpty():
+                    break
+                sleep(tables.wait_s)
+                newest = newest_version(spark, tables.users)
+                if newest != used["users"][-1]:
+                    used["users"].append(newest)
+                    rows = _asked_again(spark, rows, newest, tables)
+            spark.createDataFrame([(json.dumps(used),)], "value STRING").coalesce(1).write.mode("overwrite").text(note)
+        else:
+            for version in used["users"][1:]:
+                rows = _asked_again(spark, rows, version, tables)
+        _write(spark, rows, batch_id, tables)
     finally:
         wide.unpersist()
 
 
+def _is_missed():
+    return F.col("user_id").isNull() & F.col("username").isNotNull()
+
+
+def _missed(rows: DataFrame) -> DataFrame:
+    return rows.where(_is_missed())
+
+
+def _asked_again(spark: SparkSession, rows: DataFrame, version: int, tables: EnrichTables) -> DataFrame:
+    again = look_up_users(_missed(rows), read_version(spark, tables.users, version))
+    return rows.where(~_is_missed()).unionByName(again)
+
+
 def _write(spark: SparkSession, wide: DataFrame, batch_id: int, tables: EnrichTables) -> None:
     write_batch(detail(wide), tables.detail, batch_id)
-    messages = wide.select(F.to_json(F.struct(*WIDE_COLUMNS)).alias("value"))
+    messages = wide.select(F.to_json(F.struct(*WIDE_COLUMNS, POSITION)).alias("value"))
     if tables.wide_kafka is not None:
         messages.write.format("kafka").options(**tables.wide_kafka).save()
         return
@@ -70,21 +108,12 @@ def _write(spark: SparkSession, wide: DataFrame, batch_id: int, tables: EnrichTa
         messages.write.mode("overwrite").text(target)
 
 
-def release_pending(spark: SparkSession, last_batch: int, tables: EnrichTables) -> None:
-    """Write the events still waiting after ``last_batch``, found or not: for the end of a bounded run."""
-    waiting = f"{tables.pending}/batch_id={last_batch}"
-    if exists(spark, waiting):
-        events = spark.read.schema(PENDING_DDL).parquet(waiting).drop("attempt")
-        wide = widen(events, current(spark, tables.users), current(spark, tables.geo), current(spark, tables.pages))
-        _write(spark, wide, last_batch + 1, tables)
-
-
 def start_enrich(parsed: DataFrame, tables: EnrichTables, trigger: dict | None = None,
                  after: Callable[[int], None] | None = None) -> StreamingQuery:
     """Run ``enrich_batch`` on every micro-batch of parsed raw events."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = placed_in(batch, batch_id).persist()
         try:
             enrich_batch(batch.sparkSession, batch, batch_id, tables)
         finally:

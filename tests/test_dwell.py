@@ -42,7 +42,7 @@ def random_events(seed, n=1500, hot=True):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("cut", [None, dict(min_rows=100, slice_ms=60_000), dict(min_rows=1, slice_ms=7_000)])
+@pytest.mark.parametrize("cut", [None, dict(min_rows=100), dict(min_rows=1)])
 def test_equals_replay(spark, seed, cut):
     events = random_events(seed)
     df = spark.createDataFrame(events, DDL)
@@ -51,7 +51,7 @@ def test_equals_replay(spark, seed, cut):
     assert rows_of(visits, "session_id", *PAGE, "page_load_time", "event_time") == replay(events)
 
 
-@pytest.mark.parametrize("cut", [None, dict(min_rows=50, slice_ms=60_000)])
+@pytest.mark.parametrize("cut", [None, dict(min_rows=50)])
 def test_batches_continue(spark, cut):
     """Cut at arbitrary points, each batch with the pages left open by the ones before."""
     events = random_events(3, 600)

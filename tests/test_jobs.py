@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 from footfall import samples
 from footfall.jobs import JOBS, main
 from footfall.plans import dashboards, dimensions, olap
-from footfall.sinks.partitions import partition_days
+from footfall.functions.clock import DAY_MS
+from footfall.sinks.partitions import NO_DAY, matching, partition_days
 from footfall.sinks.snapshots import current, publish
+from footfall.streaming.carried import late_counts
 from tests.conftest import rows_of
 from tests.test_streaming import drop_file
 
 
+CLOCK = ("clock1", "clock2")
+
+
 def run(spark, job, **settings):
     query = JOBS[job](spark, **settings)
     if query is not None:
@@ -22,7 +27,7 @@ def run(spark, job, **settings):
 def test_chain(spark, sf, tmp_path):
     """Dimensions are built, raw events widened, and the wide stream feeds the next jobs."""
     at = {n: str(tmp_path / n) for n in ("raw", "areas", "users_in", "videos_in", "users", "geo", "pages", "videos", "wide",
-                                         "detail", "pending", "bad", "dwell", "segments", "pages5", "merged")}
+                                         "detail", "notes", "bad", "dwell", "segments", "pages5", "merged")}
     samples.areas(spark, sf).write.parquet(at["areas"])
     run(spark, "build_geo_dim", source={"path": at["areas"]}, out=at["geo"])
     known = samples.user_rows(spark, sf).where("id % 10 <> 9").select(F.lit("c").alias("op"), F.lit(1).alias("seq"), "*")
@@ -36,34 +41,45 @@ def test_chain(spark, sf, tmp_path):
     assert rows_of(current(spark, at["videos"])) == rows_of(videos)
     publish(samples.dim_page(spark), at["pages"], 0)
 
-    raw = samples.ods(spark, sf).drop("seq").orderBy("action_time").select(F.to_json(F.struct("*")).alias("v"))
+    raw = samples.ods(spark, sf).orderBy("action_time", "seq").drop("seq").select(F.to_json(F.struct("*")).alias("v"))
     lines = [r.v for r in raw.collect()]
-    drop_file(tmp_path / "raw", 0, lines)
-    # Two empty batches let the events without a known user have their three attempts.
-    for number in (1, 2):
-        drop_file(tmp_path / "raw", number, ["no json"])
+    # Two events far ahead: the first moves the clock on, so that all rows before it have their turn.
+    ahead = json.loads(lines[-1])["action_time"] + 40 * DAY_MS
+    lines += [json.dumps({"session_id": s, "event_id": "x", "action_time": ahead + n * DAY_MS}) for n, s in enumerate(CLOCK)]
+    size = len(lines) // 3 + 1
+    for number in range(3):
+        drop_file(tmp_path / "raw", number, lines[number * size:(number + 1) * size] + ["no json"])
     run(spark, "widen_events", source={"path": at["raw"], "files_per_trigger": 1}, checkpoint=str(tmp_path / "ck3"),
-        **{n: at[n] for n in ("users", "geo", "pages", "wide", "detail", "pending", "bad")})
+        wait_s=0, **{n: at[n] for n in ("users", "geo", "pages", "wide", "detail", "notes", "bad")})
     dwd = samples.dwd(spark, sf, users=True, geo=True, pages=True).persist()
-    assert spark.read.parquet(at["detail"]).count() == dwd.count()
+    assert spark.read.parquet(at["detail"]).count() == dwd.count() + len(CLOCK)
+    assert spark.read.parquet(at["bad"]).count() == 3
 
-    # Known users only: the others reach the wide stream batches later, when they are late for the jobs below.
-    found = dwd.where("user_id IS NOT NULL")
-    first = f"{at['wide']}/batch_id=0"
-    run(spark, "page_dwell", source={"path": first}, out=at["dwell"], checkpoint=str(tmp_path / "ck4"))
-    expected = olap.page_dwell(found)
-    loaded = spark.read.parquet(f"{at['dwell']}/intervals")
+    stream = {"path": f"{at['wide']}/batch_id=*", "files_per_trigger": 1}
+    run(spark, "page_dwell", source=stream, out=at["dwell"], checkpoint=str(tmp_path / "ck4"), delay_ms=DAY_MS)
+    expected = olap.page_dwell(dwd, ["seq"])
+    intervals = spark.read.parquet(f"{at['dwell']}/intervals")
+    loaded = olap.merge_max(intervals.where(~F.col("session_id").isin(*CLOCK)), olap.DWELL_KEYS, "page_end_time")
     assert rows_of(loaded, *expected.columns) == rows_of(expected)
-    run(spark, "video_segments", source={"path": first}, videos=at["videos"], out=at["segments"],
-        checkpoint=str(tmp_path / "ck5"))
-    expected = olap.video_segments(found, videos)
-    assert rows_of(spark.read.parquet(f"{at['segments']}/segments"), *expected.columns) == rows_of(expected)
+    run(spark, "video_segments", source=stream, videos=at["videos"], out=at["segments"],
+        checkpoint=str(tmp_path / "ck5"), delay_ms=DAY_MS)
+    expected = olap.video_segments(dwd, videos)
+    segments = olap.merge_max(spark.read.parquet(f"{at['segments']}/segments"), olap.VIDEO_KEYS, "partial_end_time")
+    assert rows_of(segments, *expected.columns) == rows_of(expected)
+    for table in ("dwell", "segments"):
+        assert sum(r["rows"] for r in late_counts(spark, at[table]).collect()) == 0
 
-    intervals = f"{at['dwell']}/intervals"
-    run(spark, "compact", table="dwell", path=intervals, day="2024-01-02", out=at["merged"])
-    assert spark.read.parquet(at["merged"]).count() == loaded.where("dt = '2024-01-02'").count()
-    run(spark, "retire", table="dwell", path=intervals, today="2024-04-02")
-    assert [d for d in partition_days(spark, intervals) if d[0] == "2"] == ["2024-01-03"]
+    path = f"{at['dwell']}/intervals"
+    for day in ("2024-01-02", "none"):
+        run(spark, "compact", table="dwell", path=path, day=day, out=at["merged"])
+    merged = spark.read.parquet(at["merged"]).where(~F.col("session_id").isin(*CLOCK))
+    assert merged.count() == loaded.where("dt = '2024-01-02' or dt is null").count()
+    assert merged.where("dt is null").count() > 0
+    run(spark, "retire", table="dwell", path=path, today="2024-04-02")
+    assert [d for d in partition_days(spark, path) if d[:4] == "2024"][0] == "2024-01-03"
+    assert partition_days(spark, path)[-1] == NO_DAY
+    run(spark, "retire", table="dwell", path=path, today="2199-01-01")
+    assert matching(spark, f"{path}/dt=*/batch_id=*") == []
 
 
 def test_ranking_per_window_from_settings_file(spark, sf, tmp_path):

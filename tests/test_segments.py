@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from footfall.operators.segments import mark_segments, play_state
 from footfall.operators.slices import slice_hot_keys
@@ -34,7 +35,7 @@ def random_events(seed, n=800, ties=True):
     return events
 
 
-@pytest.mark.parametrize("cut", [None, dict(min_rows=100, slice_ms=60_000), dict(min_rows=1, slice_ms=5_000)])
+@pytest.mark.parametrize("cut", [None, dict(min_rows=100), dict(min_rows=1)])
 def test_equals_replay(spark, cut):
     events = random_events(1)
     slicer = slice_hot_keys("play_id", "event_time", **cut) if cut else None
@@ -42,7 +43,7 @@ def test_equals_replay(spark, cut):
     assert rows_of(marked, "play_id", "seq", "part_no", "part_start_time") == replay(events)
 
 
-@pytest.mark.parametrize("cut", [None, dict(min_rows=30, slice_ms=60_000)])
+@pytest.mark.parametrize("cut", [None, dict(min_rows=30)])
 def test_batches_continue(spark, cut):
     events, out, carried = random_events(2, 400, ties=False), [], None
     slicer = slice_hot_keys("play_id", "event_time", **cut) if cut else None
@@ -67,3 +68,19 @@ def test_ordinary_keys_are_not_sliced(spark):
     marked.collect()
     final = marked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "Union" not in final
+
+
+def test_a_burst_is_cut_by_rows(spark):
+    """Most rows of a key within seconds, some of them at one time: no slice is above twice the size."""
+    times = [(i // 1000 * 1000 + i % 50 * 20) for i in range(19_000)] + [20_000 + i * 60_000 for i in range(1000)]
+    rows = spark.createDataFrame([("k", t) for t in times] + [("other", 5)] * 3, "play_id string, event_time long")
+    sliced = slice_hot_keys("play_id", "event_time", min_rows=1000)(rows)
+    sizes = {r["__slice"]: r["n"] for r in sliced.where("play_id = 'k'").groupBy("__slice").agg(F.count("*").alias("n")).collect()}
+    assert sum(sizes.values()) == 20_000 and max(sizes.values()) <= 2000 and len(sizes) <= 20
+    order = sliced.where("play_id = 'k'").groupBy("__slice").agg(F.min("event_time").alias("a"), F.max("event_time").alias("b"))
+    spans = [(r.a, r.b) for r in order.orderBy("__slice").collect()]
+    assert all(x[1] < y[0] for x, y in zip(spans, spans[1:], strict=False))
+    assert {r["__slice"] for r in sliced.where("play_id = 'other'").collect()} == {-1}
+    dense = spark.createDataFrame([("k", 7 + i % 40) for i in range(20_000)], "play_id string, event_time long")
+    parts = slice_hot_keys("play_id", "event_time", min_rows=1000)(dense).groupBy("__slice").count().collect()
+    assert max(r["count"] for r in parts) <= 2000

@@ -2,22 +2,24 @@
 
 import json
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from footfall import samples
-from footfall.functions.clock import DAY_MS
+from footfall.functions.clock import DAY_MS, UTC8_MS, wall_clock
+from footfall.jobs import JOBS
 from footfall.operators.slices import slice_hot_keys
 from footfall.plans import dashboards, dimensions, exploration, olap
 from footfall.plans.widen import WIDE_COLUMNS, detail
 from footfall.sinks.partitions import read_batches
-from footfall.sinks.snapshots import current, publish
-from footfall.sources.events import DWD_DDL, read_dwd_stream, read_ods_stream
+from footfall.sinks.snapshots import current, newest_version, publish, read_version
+from footfall.sources.events import DWD_DDL, ODS_DDL, read_dwd_stream, read_ods_stream
 from footfall.sources.tables import read_changes, read_lines
 from footfall.streaming import carried, cumulative, windows
 from footfall.streaming.dimensions import start_sync, sync_batch
-from footfall.streaming.enrich import EnrichTables, enrich_batch, release_pending, start_enrich
+from footfall.streaming.enrich import EnrichTables, enrich_batch, start_enrich
 from tests.conftest import rows_of
 
 FLUSH_SESSION = "flush"
@@ -118,7 +120,7 @@ def test_running_sum_windows(spark, sf, tmp_path):
     stream = read_lines(spark, source, streaming=True)
     finish(windows.start_table(windows.running_sum_windows(stream), str(tmp_path / "out"), str(tmp_path / "ck")))
     out = spark.read.parquet(str(tmp_path / "out")).drop("batch_id")
-    assert rows_of(out) == rows_of(exploration.running_sum_then_window(samples.lines(spark, sf)))
+    assert rows_of(out) == rows_of(exploration.running_sum_then_window(samples.lines(spark, sf)).drop("sum_age"))
 
 
 @pytest.mark.parametrize("name", ["traffic_today", "promotion_today"])
@@ -127,7 +129,14 @@ def test_cumulative(spark, dwd, dwd_files, tmp_path, name):
     job, steps = getattr(cumulative, name)(stream, str(tmp_path / "out"))
     finish(job.start(steps, str(tmp_path / "ck")))
     expected = getattr(dashboards, name)(dwd)
-    assert rows_of(job.dashboard(spark), *expected.columns) == rows_of(expected)
+    assert rows_of(job.dashboard(spark, closed_step=288), *expected.columns) == rows_of(expected)
+    # The job's own rows: each window once, all of them up to the newest closed step and none beyond.
+    written = spark.read.parquet(str(tmp_path / "out/dashboard"))
+    newest = current(spark, str(tmp_path / "out/closed")).first()
+    end = wall_clock(F.lit(newest.day).cast("long") * DAY_MS - UTC8_MS + newest.step * 300_000)
+    closed = expected.where(F.col("window_end") <= end)
+    assert rows_of(written, *expected.columns) == rows_of(closed) and not closed.isEmpty()
+    assert rows_of(job.dashboard(spark), *expected.columns) == rows_of(closed)
 
 
 def test_cumulative_batch_replayed(spark, tmp_path):
@@ -143,7 +152,7 @@ def test_cumulative_batch_replayed(spark, tmp_path):
     assert windows_ == {"00:15": (4, 1), "00:20": (4, 1), "00:25": (5, 2), "00:30": (6, 2), "00:35": (6, 2)}
 
 
-@pytest.mark.parametrize("cut", [None, dict(min_rows=5, slice_ms=600_000)])
+@pytest.mark.parametrize("cut", [None, dict(min_rows=5)])
 def test_page_dwell(spark, dwd, dwd_files, tmp_path, cut):
     slicer = slice_hot_keys("session_id", "event_time", **cut) if cut else None
     stream = read_dwd_stream(spark, path=feed(tmp_path / "in", dwd_files), files_per_trigger=1)
@@ -185,14 +194,13 @@ def test_enrich(spark, sf, dwd, tmp_path):
     raw = samples.ods(spark, sf).drop("seq").select(F.to_json(F.struct("*")).alias("v"))
     lines = [r.v for r in raw.collect()]
     tables = EnrichTables(**{n: str(tmp_path / n) for n in (
-        "users", "geo", "pages", "wide", "detail", "pending", "bad", "checkpoint")})
+        "users", "geo", "pages", "wide", "detail", "notes", "bad", "checkpoint")}, wait_s=0)
     publish(samples.dim_user(spark, sf), tables.users, 0)
     publish(samples.dim_geo(spark, sf), tables.geo, 0)
     publish(samples.dim_page(spark), tables.pages, 0)
     source = feed(tmp_path / "in", [lines[:400], ["no json", '{"username": 3'] + lines[400:]])
     batches = []
     finish(start_enrich(read_ods_stream(spark, path=source, files_per_trigger=1), tables, after=batches.append))
-    release_pending(spark, batches[-1], tables)
     expected = detail(dwd)
     got = spark.read.parquet(tables.detail)
     assert rows_of(got, *expected.columns) == rows_of(expected)
@@ -202,36 +210,68 @@ def test_enrich(spark, sf, dwd, tmp_path):
     assert rows_of(wide, *columns) == rows_of(dwd, *columns)
 
 
-def test_enrich_waits_for_users(spark, tmp_path):
+USERS = "username STRING, f STRUCT<id: BIGINT, phone: STRING, status: INT, create_time: TIMESTAMP_NTZ, " \
+        "gender: INT, birthday: DATE, province: STRING, city: STRING, job: STRING, source_type: INT>"
+
+
+@pytest.fixture()
+def widening(spark, tmp_path):
+    """Run a batch of (name, time) events; what detail and wide stream hold; make a version of the users."""
     tables = EnrichTables(**{n: str(tmp_path / n) for n in (
-        "users", "geo", "pages", "wide", "detail", "pending", "bad", "checkpoint")})
-    user = "username STRING, f STRUCT<id: BIGINT, phone: STRING, status: INT, create_time: TIMESTAMP_NTZ, " \
-           "gender: INT, birthday: DATE, province: STRING, city: STRING, job: STRING, source_type: INT>"
-    publish(spark.createDataFrame([], user), tables.users, 0)
-    publish(spark.createDataFrame([], "geohash STRING, f STRUCT<p: STRING, c: STRING, r: STRING>"), tables.geo, 0)
-    publish(spark.createDataFrame([], "url_prefix STRING, f STRUCT<page_service: STRING, page_type: STRING>"),
-            tables.pages, 0)
-    events = "username STRING, session_id STRING, event_id STRING, action_time BIGINT, lat DOUBLE, lng DOUBLE, " \
-             "release_channel STRING, device_type STRING, properties MAP<STRING, STRING>, _bad_record STRING"
-
-    def batch(number, *names):
-        rows = [(n, f"s{number}", "page_load", 1000 + number, None, None, None, None, {}, None) for n in names]
-        enrich_batch(spark, spark.createDataFrame(rows, events), number, tables)
-
-    def written():
-        rows = spark.read.parquet(tables.detail).collect()
-        return {(r.username, r.user_id, r.batch_id) for r in rows}
-
-    batch(0, "late", "never", None)
-    assert written() == {(None, None, 0)}
-    publish(spark.createDataFrame([("late", (7,) + (None,) * 9)], user), tables.users, 1)
-    batch(1)
-    batch(1)
-    assert written() == {(None, None, 0), ("late", 7, 1)}
-    batch(2)
-    assert written() == {(None, None, 0), ("late", 7, 1), ("never", None, 2)}
-    batch(3)
-    assert len(written()) == 3
+        "users", "geo", "pages", "wide", "detail", "notes", "bad", "checkpoint")}, wait_s=0)
+    events = f"{ODS_DDL}, _bad_record STRING"
+
+    class Widening:
+        def batch(self, number, *names, time=1000):
+            rows = [(n, "s", "page_load", time + number, None, None, None, None, {}, None) for n in names]
+            enrich_batch(spark, spark.createDataFrame(rows, events), number, tables)
+
+        def held(self):
+            detail_rows = sorted(((r.username, r.user_id, r.batch_id) for r in spark.read.parquet(tables.detail).collect()),
+                                 key=str)
+            wide = spark.read.text(tables.wide).select(F.from_json("value", DWD_DDL).alias("m"), "batch_id")
+            assert detail_rows == sorted(((r.m.username, r.m.user_id, r.batch_id) for r in wide.collect()), key=str)
+            return detail_rows
+
+        def know(self, version, **users):
+            publish(spark.createDataFrame([(n, (i,) + (None,) * 9) for n, i in users.items()], USERS), tables.users, version, keep_ms=3_600_000)
+
+    Widening.tables = tables
+    return Widening()
+
+
+def test_enrich_asks_again_within_the_batch(monkeypatch, widening):
+    widening.know(0, early=1)
+    arrivals = iter([dict(early=1, second=2), dict(early=9, second=9, third=3), dict(fourth=4)])
+    first = True
+
+    def sleep(_):
+        nonlocal first
+        widening.know(5 if first else 6, **next(arrivals))
+        first = False
+
+    monkeypatch.setattr("footfall.streaming.enrich.sleep", sleep)
+    widening.batch(0, "early", "second", "third", "fourth", None)
+    wanted = [("early", 1, 0), ("fourth", None, 0), ("second", 2, 0), ("third", 3, 0), (None, None, 0)]
+    assert widening.held() == sorted(wanted, key=str)
+    widening.know(7, early=5, fourth=4)
+    widening.batch(0, "early", "second", "third", "fourth", None)
+    assert widening.held() == sorted(wanted, key=str)
+
+
+def test_enrich_without_dimensions(widening):
+    widening.batch(0, "a", None)
+    assert widening.held() == [("a", None, 0), (None, None, 0)]
+
+
+def test_enrich_repeat_with_newer_users(widening):
+    """Both outputs hold what the versions of the first attempt gave."""
+    widening.know(0, a=1)
+    widening.batch(0, "a", "b")
+    widening.know(1, a=1, b=2)
+    widening.batch(0, "a", "b")
+    widening.batch(1, "b")
+    assert widening.held() == [("a", 1, 0), ("b", 2, 1), ("b", None, 0)]
 
 
 def test_dimension_sync(spark, sf, tmp_path):
@@ -270,3 +310,118 @@ def test_replayed_batch_overwrites_itself(spark, tmp_path):
         write_batch(rows, str(tmp_path / "t"), batch_id)
     table = read_batches(spark, str(tmp_path / "t"), "n INT, dt STRING")
     assert rows_of(table, "dt", "n") == [("2024-01-01", "1")] * 2 + [("2024-01-02", "2")] * 2
+
+
+def test_repeat_with_fewer_days(spark, tmp_path):
+    from footfall.sinks.partitions import write_batch
+    rows = spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2), (None, 3)], "dt STRING, n INT")
+    path = str(tmp_path / "t")
+    for batch_id, part in ((0, rows), (1, rows), (1, rows.where("n = 1"))):
+        write_batch(part, path, batch_id)
+    table = read_batches(spark, path, "n INT, dt STRING")
+    assert rows_of(table, "n") == [("1",), ("1",), ("2",), ("3",)]
+    write_batch(rows.where("false"), path, 1)
+    assert rows_of(read_batches(spark, path, "n INT, dt STRING"), "n") == [("1",), ("2",), ("3",)]
+
+
+def test_replaced_versions_are_kept_for_a_time(spark, tmp_path):
+    path = str(tmp_path / "d")
+    for version in range(6):
+        publish(spark.range(version), path, version, keep_ms=3_600_000)
+    held = read_version(spark, path, 0)
+    publish(spark.range(9), path, 9, keep_ms=3_600_000)
+    assert held.count() == 0
+    publish(spark.range(10), path, 10)
+    assert read_version(spark, path, newest_version(spark, path, below=10)).count() == 9
+    assert newest_version(spark, path, below=9) == 5 and newest_version(spark, path, below=5) is None
+
+
+@pytest.mark.parametrize("files", [1, 2])
+def test_equal_times_in_order_of_arrival(spark, tmp_path, files):
+    """Two pages loaded at one time: the first is closed at once, the second by the next load."""
+    def load(url, time):
+        return json.dumps({"session_id": "s", "event_id": "page_load", "event_time": time, "properties": {"url": url}})
+
+    chunks = [[load("/m", 2000)], [load("/aa", 2000)], [load("/z", 5000)]]
+    if files == 1:
+        chunks = [chunks[0] + chunks[1], chunks[2]]
+    JOBS["page_dwell"](spark, source={"path": feed(tmp_path / "in", chunks), "files_per_trigger": 1},
+                       out=str(tmp_path / "out"), checkpoint=str(tmp_path / "ck")).awaitTermination()
+    loaded = olap.merge_max(spark.read.parquet(f"{tmp_path}/out/intervals"), olap.DWELL_KEYS, "page_end_time")
+    assert {(r.url, r.page_start_time, r.page_end_time) for r in loaded.collect()} == {
+        ("/m", 2000, 2000), ("/aa", 2000, 5000), ("/z", 5000, 5000)}
+
+
+@pytest.mark.parametrize("job", ["page_dwell", "video_segments"])
+def test_rows_out_of_order_within_the_delay(spark, sf, dwd, dwd_files, tmp_path, job):
+    """Shuffled over many batches within the delay, the jobs give what the batch plans give in time order."""
+    rng = random.Random(5)
+    lines = [(json.loads(v), v) for chunk in dwd_files[:-1] for v in chunk]
+    delay = 3_600_000
+    mixed = [v for _, v in sorted(lines, key=lambda x: x[0]["event_time"] + rng.randrange(delay))]
+    size = len(mixed) // 6 + 1
+    chunks = [mixed[i:i + size] for i in range(0, len(mixed), size)] + [dwd_files[-1]]
+    more = {} if job == "page_dwell" else {"videos": str(tmp_path / "videos")}
+    publish(samples.dim_video(spark, sf), str(tmp_path / "videos"), 0)
+    JOBS[job](spark, source={"path": feed(tmp_path / "in", chunks), "files_per_trigger": 1}, out=str(tmp_path / "out"),
+              checkpoint=str(tmp_path / "ck"), delay_ms=delay, **more).awaitTermination()
+    assert carried.late_counts(spark, str(tmp_path / "out")).isEmpty()
+    if job == "page_dwell":
+        expected, keys, end, table = olap.page_dwell(dwd), olap.DWELL_KEYS, "page_end_time", "intervals"
+    else:
+        expected, keys, end, table = (olap.video_segments(dwd, samples.dim_video(spark, sf)), olap.VIDEO_KEYS,
+                                      "partial_end_time", "segments")
+    loaded = spark.read.parquet(f"{tmp_path}/out/{table}")
+    assert rows_of(olap.merge_max(loaded, keys, end), *expected.columns) == rows_of(expected)
+
+
+def test_late_rows_are_kept_and_counted(spark, tmp_path):
+    def load(session, url, time):
+        return json.dumps({"session_id": session, "event_id": "page_load", "event_time": time, "properties": {"url": url}})
+
+    chunks = [[load("a", "/a", 60_500)], [load("b", "/b", 60_400)], [load("b", "/c", 50_000), load("b", "/d", None)],
+              [load("a", "/z", 99_000)]]
+    JOBS["page_dwell"](spark, source={"path": feed(tmp_path / "in", chunks), "files_per_trigger": 1}, delay_ms=1_000,
+                       out=str(tmp_path / "out"), checkpoint=str(tmp_path / "ck")).awaitTermination()
+    loaded = spark.read.parquet(f"{tmp_path}/out/intervals")
+    assert {(r.session_id, r.url) for r in loaded.collect()} == {("a", "/a"), ("b", "/b")}
+    assert {r["batch_id"]: r["rows"] for r in carried.late_counts(spark, f"{tmp_path}/out").collect()} == {2: 2}
+
+
+def test_no_bad_text_is_lost(spark, tmp_path):
+    good = json.dumps({"user_id": 1, "event_time": 5})
+    bad = ["no json", "", "7", '{"user_id": "x"}', '{"user_id": 1']
+    source = feed(tmp_path / "in", [[good, *bad]])
+    assert read_dwd_stream(spark, path=source).isStreaming
+    JOBS["bad_events"](spark, source={"path": source}, out=str(tmp_path / "bad"), checkpoint=str(tmp_path / "ck")) \
+        .awaitTermination()
+    assert sorted(r.value for r in spark.read.parquet(str(tmp_path / "bad")).collect()) == sorted(bad)
+    query = read_dwd_stream(spark, path=source).writeStream.format("parquet").option(
+        "checkpointLocation", str(tmp_path / "ck2")).trigger(availableNow=True).start(str(tmp_path / "good"))
+    finish(query)
+    assert [r.user_id for r in spark.read.parquet(str(tmp_path / "good")).collect()] == [1]
+
+    lines = feed(tmp_path / "lines", [["1,a,f,30,100", "1,a,f,x,100", "1,a", ""]])
+    JOBS["bad_lines"](spark, source={"path": lines}, out=str(tmp_path / "badl"), checkpoint=str(tmp_path / "ck3")) \
+        .awaitTermination()
+    assert sorted(r.value for r in spark.read.parquet(str(tmp_path / "badl")).collect()) == ["", "1,a", "1,a,f,x,100"]
+    assert [tuple(r)[0] for r in read_lines(spark, lines).collect()] == ["1"]
+
+    changes = feed(tmp_path / "changes", [[json.dumps({"op": "c", "seq": 1, "id": 1, "username": "u"}), *bad]])
+    finish(start_sync(read_changes(spark, changes, "id BIGINT, user_id INT, username STRING", streaming=True),
+                      str(tmp_path / "state"), str(tmp_path / "dim"), str(tmp_path / "ck4"), dimensions.user_dim))
+    assert sorted(r.value for r in spark.read.parquet(str(tmp_path / "state_bad")).collect()) == sorted(bad)
+    assert [r.username for r in current(spark, str(tmp_path / "dim")).collect()] == ["u"]
+
+
+def test_running_sum_job(spark, sf, tmp_path):
+    lines = samples.lines(spark, sf).orderBy("action_time").collect()
+    text = [",".join(str(v) for v in r) for r in lines]
+    end = [f"x,x,{g},1,{lines[-1].action_time + 1000}" for g in "mf"]
+    source = feed(tmp_path / "in", [text[:300], text[300:700], text[700:], end, end])
+    JOBS["running_sum_then_window"](spark, source={"path": source}, out=str(tmp_path / "out"),
+                                    checkpoint=str(tmp_path / "ck")).awaitTermination()
+    expected = exploration.running_sum_then_window(samples.lines(spark, sf))
+    got = spark.read.parquet(f"{tmp_path}/out/windows")
+    assert rows_of(got, *expected.columns) == rows_of(expected)
+    assert "Window" in expected._jdf.queryExecution().executedPlan().toString()
