@@ -204,11 +204,13 @@ def learn(words: DataFrame, texts: int, pieces: list[bytes]) -> tuple[Lattice, f
             for batch in batches:
                 marked = [MARK.encode() + w for w in batch.column("word").to_pylist()]
                 total += current.value.expected(marked, batch.column("n").to_numpy().astype(float))
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
+            used = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["piece", "n"])
 
         counts = np.zeros(len(lattice.pieces))
-        for row in map_arrow(words.where("n > 0"), expected, "counts binary").toLocalIterator():
-            counts += np.frombuffer(row["counts"], np.float64)
+        uses = map_arrow(words.where("n > 0"), expected, "piece long, n double").groupBy("piece").agg(
+            F.sum("n").alias("n")).toArrow()
+        counts[uses.column("piece").to_numpy()] = uses.column("n").to_numpy()
         logs = Lattice.normalised(np.append(counts + 1, texts + 1))
         lattice, end = Lattice(pieces, logs[:-1]), float(logs[-1])
     return lattice, end
