@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from footfall.operators.dwell import open_pages, order_events, visits_of
+from footfall.operators.segments import KEY as PLAY
 from footfall.operators.segments import mark_segments, play_state
 from footfall.operators.slices import Slicer, running_state
 from footfall.plans.exploration import WINDOW_S, age_sum, running_sum, timed_lines, window_start, windows_of
 from footfall.plans.olap import PAGE_COLUMNS, dwell_intervals, merge_segments, name_videos, page_rows, play_rows
 from footfall.sinks.partitions import BATCH, write_batch
-from footfall.sinks.snapshots import current, publish
+from footfall.sinks.snapshots import buckets_of, current, publish, read_buckets, write_buckets
 from footfall.sources.events import POSITION, placed_in
 
 
@@ -73,18 +74,23 @@ def video_batch(dwd: DataFrame, videos: DataFrame, batch_id: int, path: str, idl
                 cut: Slicer | None = None, delay_ms: int = 0) -> None:
     """Add one batch's segments to ``path/segments``; ``merge_max`` reads them.
 
-    Plays are remembered for ever, or for ``idle_ms`` after their last event.
+    Plays are remembered for ever, or for ``idle_ms`` after their last event; a batch touches only the buckets of state
+    that its plays are in.
     """
     spark = dwd.sparkSession
     rows, clock = _in_order(dwd, "event_time", path, batch_id, delay_ms)
     plays = play_rows(rows)
-    carried = current(spark, f"{path}/plays", below=batch_id)
+    touched = buckets_of(plays, PLAY)
+    schema = play_state(plays).schema
+    known = read_buckets(spark, f"{path}/plays", schema, batch_id, touched)
+    mine = plays.select(F.col(PLAY).alias("__play")).distinct()
+    carried = known.join(mine, F.col(PLAY).eqNullSafe(F.col("__play")), "left_semi")
     segments = merge_segments(mark_segments(plays, cut, carried))
     write_batch(name_videos(segments, videos), f"{path}/segments", batch_id)
-    state = play_state(plays, carried)
+    state = play_state(plays, known)
     if idle_ms is not None:
         state = state.where(clock - F.col("event_time") < F.lit(idle_ms))
-    publish(state, f"{path}/plays", batch_id)
+    write_buckets(state, f"{path}/plays", PLAY, batch_id, touched)
 
 
 def running_sum_batch(lines: DataFrame, batch_id: int, path: str, delay_s: int = 0) -> None:

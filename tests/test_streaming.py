@@ -14,7 +14,8 @@ from footfall.operators.slices import slice_hot_keys
 from footfall.plans import dashboards, dimensions, exploration, olap
 from footfall.plans.widen import WIDE_COLUMNS, detail
 from footfall.sinks.partitions import read_batches
-from footfall.sinks.snapshots import current, newest_version, publish, read_version
+from footfall.sinks.snapshots import (
+    buckets_of, current, newest_version, publish, read_buckets, read_version, write_buckets)
 from footfall.sources.events import DWD_DDL, ODS_DDL, read_dwd_stream, read_ods_stream
 from footfall.sources.tables import read_changes, read_lines
 from footfall.streaming import carried, cumulative, windows
@@ -425,3 +426,32 @@ def test_running_sum_job(spark, sf, tmp_path):
     got = spark.read.parquet(f"{tmp_path}/out/windows")
     assert rows_of(got, *expected.columns) == rows_of(expected)
     assert "Window" in expected._jdf.queryExecution().executedPlan().toString()
+
+
+def test_state_is_written_in_proportion_to_the_changes(spark, tmp_path):
+    """Ten changes on a large state rewrite at most ten buckets of it; the dimension is as if folded at once."""
+    ddl = "op STRING, seq BIGINT, id BIGINT, username STRING, status INT"
+    paths = str(tmp_path / "state"), str(tmp_path / "dim")
+    first = spark.range(5000).selectExpr("'c' op", "1L seq", "id", "concat('u', id) username", "0 status")
+    second = spark.range(10).selectExpr("if(id = 3, 'd', 'u') op", "2L seq", "id * 7 AS id", "concat('v', id) username", "1 status")
+    second = spark.createDataFrame(second.collect(), ddl)
+    for number, batch in enumerate((spark.createDataFrame(first.collect(), ddl), second)):
+        sync_batch(batch, number, *paths, dimensions.user_dim)
+    sync_batch(second, 1, *paths, dimensions.user_dim)
+    expected = dimensions.user_dim(dimensions.fold_changes(first.unionByName(second)))
+    assert rows_of(current(spark, paths[1])) == rows_of(expected)
+    written = spark.read.parquet(f"{paths[0]}/version=1").where("not __mark").count()
+    assert len(os.listdir(tmp_path / "state/version=1")) < 15 and written < 500
+
+
+def test_a_bucket_may_become_empty(spark, tmp_path):
+    schema = spark.createDataFrame([], "k STRING, n INT").schema
+    path = str(tmp_path / "s")
+    rows = spark.createDataFrame([("a", 1)], schema)
+    touched = buckets_of(rows, "k")
+    write_buckets(rows, path, "k", 0, touched)
+    write_buckets(rows.where("false"), path, "k", 1, touched)
+    assert read_buckets(spark, path, schema, 1).count() == 1 and read_buckets(spark, path, schema, 2).count() == 0
+    for version in range(2, 7):
+        write_buckets(rows, path, "k", version, touched)
+    assert read_buckets(spark, path, schema, 3).count() == 0 and read_buckets(spark, path, schema, 9, touched).count() == 1
