@@ -9,7 +9,7 @@ The labelled vectors are broadcast. Every document's cosine with every labelled
 without an index; the labels of the ``NEIGHBOURS`` nearest vote, weighted by similarity to the power ``SHARPNESS``.
 
 Bounds: at most about ``LABELLED`` labelled texts are used, chosen by a hash of the text; the space has ``DIMENSIONS`` dimensions over ``FEATURES`` features. So the broadcast is at most
-FEATURES x DIMENSIONS and LABELLED x DIMENSIONS numbers of four bytes, 6 MB together.
+FEATURES x DIMENSIONS and LABELLED x DIMENSIONS numbers of four bytes, 3 MB together.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from footfall.llm.storage import map_arrow
 from footfall.llm.words import chunks, span_hashes, text_buffer, word_spans
 
-FEATURES = 16_384
+FEATURES = 8_192
 DIMENSIONS = 64
 LABELLED = 4_000
 NEIGHBOURS = 25
