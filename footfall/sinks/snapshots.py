@@ -52,7 +52,7 @@ def publish(rows: DataFrame, path: str, version: int, keep: int = 3, keep_ms: in
 
 
 BUCKET = "bucket"
-BUCKETS = 256
+BUCKETS = 64
 
 
 def _bucket(key: str) -> Column:
