@@ -8,8 +8,9 @@ lower case first and begin after ``ORDER`` newlines.
 
 The language with the least total cost wins, by name among equals. Its score is its posterior under equal priors.
 
-Bounds: each language is learned from about ``SAMPLE_BYTES`` of its texts, chosen by a hash of the text (all, if
-there are fewer), each text once. Of the contexts those seen most often are kept, as many as fit ``CELLS`` cells of one
+Bounds: each language is learned from about ``SAMPLE_BYTES`` of its distinct texts (all, if there are fewer), taken in
+the order of a hash until that many bytes are reached. A text counts with its first ``TEXT_BYTES`` at most; where that
+leaves room, all texts are taken and the longer ones share the room evenly. Of the contexts those seen most often are kept, as many as fit ``CELLS`` cells of one
 context, byte and language. Every text is scored whole, block by block.
 """
 
@@ -24,15 +25,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from footfall.llm.storage import map_arrow
+from footfall.llm.storage import map_arrow, stored
 from footfall.llm.words import text_buffer
 
 ORDER = 3
 SAMPLE_BYTES = 4_000_000
+TEXT_BYTES = SAMPLE_BYTES // 16
 CELLS = 16_000_000
 UNKNOWN = "und"
 RAW_BITS = 8.0
 _CELL_BLOCK = 4_000_000
+_HASH_BITS = 60
+_LEVEL_BITS = 12
 
 
 def _padded(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -57,12 +61,15 @@ def _slices(column: pa.Array, most: int = 1 << 22) -> Iterator[tuple[int, int]]:
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of 4-grams that end in the first ``most`` bytes of each text."""
     for batch in batches:
         names = batch.column("lang").to_pylist()
         for name in sorted(set(names)):
-            texts = batch.column("text").filter(pa.array([x == name for x in names]))
-            for i, j in _slices(texts):
-                data, places, _ = _padded(texts[i:j])
+            own = batch.filter(pa.array([x == name for x in names]))
+            for i, j in _slices(own.column("text")):
+                data, places, starts = _padded(own.column("text")[i:j])
+                most = own.column("most")[i:j].to_numpy()
+                places = places[np.arange(len(places)) < np.repeat(starts[:-1] + most, np.diff(starts))]
                 wide = data.astype(np.uint32)
                 grams = wide[places]
                 for k in range(1, ORDER + 1):
@@ -169,18 +176,81 @@ def held_out(column: str, parts: int, remainder: int = 0) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % parts == remainder
 
 
+def _level(sizes: list[int], room: int) -> int:
+    """The length to which the longest of ``sizes`` are cut so that together they fill ``room``, less than their sum."""
+    left = sorted(sizes)
+    while left and left[0] * len(left) <= room:
+        room -= left.pop(0)
+    return room // max(1, len(left))
+
+
+def _limits(sizes: DataFrame, names: list[str]) -> dict[str, int]:
+    """Per language the spread below which its texts reach ``SAMPLE_BYTES``, from ``sizes`` (lang, spread, n).
+
+    Spreads are counted by their leading bits; where the last group holds much, it is divided by the bits that follow.
+    So a language exceeds the bound by little or by one text, and at most 2**``_LEVEL_BITS`` sums of it reach the driver.
+    """
+    spark, out, before = sizes.sparkSession, {}, dict.fromkeys(names, 0)
+    rows = sizes.withColumn("n", F.least("n", F.lit(TEXT_BYTES)))
+    last = dict.fromkeys(names, 0)
+    for shift in range(_HASH_BITS - _LEVEL_BITS, -1, -_LEVEL_BITS):
+        if not last:
+            break
+        groups = spark.createDataFrame(list(last.items()), "lang string, last long")
+        counted = rows.join(F.broadcast(groups), "lang").where(
+            F.shiftright("spread", shift + _LEVEL_BITS) == F.col("last")).groupBy(
+            "lang", F.shiftright("spread", shift).alias("group")).agg(F.sum("n").alias("n")).toArrow()
+        open_names, last = list(last), {}
+        for name in open_names:
+            own = counted.filter(pc.equal(counted.column("lang"), name)).sort_by("group")
+            group, n = own.column("group").to_numpy(), own.column("n").to_numpy()
+            upto = before[name] + np.cumsum(n)
+            k = int(np.searchsorted(upto, SAMPLE_BYTES))
+            if shift and n[k] > SAMPLE_BYTES // 64:
+                last[name], before[name] = int(group[k]), int(upto[k] - n[k])
+            else:
+                out[name] = int(group[k] + 1) << shift
+    return out
+
+
+def _sample(rows: DataFrame) -> DataFrame | None:
+    """(lang, text, most): each text to learn from once, and how many of its bytes; None if there is none.
+
+    The sizes of distinct texts are stored, as one narrow row each. Texts are the same if their 64-bit hashes are.
+    """
+    hashed = rows.withColumn("spread", F.shiftrightunsigned(F.xxhash64("text"), 64 - _HASH_BITS))
+    sizes = stored(hashed.groupBy("lang", "spread").agg(F.max(F.octet_length("text")).cast("long").alias("n")), "sizes")
+    totals = sizes.groupBy("lang").agg(
+        F.sum("n").alias("all"), F.sum(F.least("n", F.lit(TEXT_BYTES))).alias("cut")).collect()
+    if not totals:
+        return None
+    chosen = {row["lang"]: (1 << _HASH_BITS, SAMPLE_BYTES) for row in totals}
+    many = [row["lang"] for row in totals if row["cut"] >= SAMPLE_BYTES]
+    chosen |= {name: (limit, TEXT_BYTES) for name, limit in _limits(sizes, many).items()}
+    few = {row["lang"]: row for row in totals if row["cut"] < SAMPLE_BYTES < row["all"]}
+    if few:  # fewer than SAMPLE_BYTES / TEXT_BYTES texts of such a language are long
+        long: dict[str, list[int]] = {}
+        for row in sizes.where(F.col("lang").isin(*few) & (F.col("n") > TEXT_BYTES)).select("lang", "n").collect():
+            long.setdefault(row["lang"], []).append(row["n"])
+        for name, own in long.items():
+            short = few[name]["cut"] - TEXT_BYTES * len(own)
+            chosen[name] = 1 << _HASH_BITS, _level(own, SAMPLE_BYTES - short)
+    bounds = rows.sparkSession.createDataFrame(
+        [(name, limit, most) for name, (limit, most) in chosen.items()], "lang string, limit long, most long")
+    taken = hashed.join(F.broadcast(bounds), "lang").where(F.col("spread") < F.col("limit"))
+    return taken.select("lang", "spread", "most", F.substring(F.col("text"), F.lit(1), F.col("most").cast("int")).alias(
+        "text")).groupBy("lang", "spread", "most").agg(F.min("text").alias("text")).select("lang", "text", "most")
+
+
 def learn(docs: DataFrame, cells: int = CELLS) -> Model:
     """Context trees from the rows of ``docs`` (text, lang) that have both.
 
-    Only the totals per language and the counts of the bounded sample reach the driver.
+    Only sums per language and the counts of the bounded sample reach the driver.
     """
     rows = docs.select(F.col("lang").cast("string").alias("lang"), "text").where("lang IS NOT NULL AND text <> ''")
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()
-    if not sizes:
+    sample = _sample(rows)
+    if sample is None:
         return Model({})
-    shares = F.create_map(*[F.lit(x) for row in sizes for x in (row["lang"], min(1.0, SAMPLE_BYTES / row["n"]))])
-    spread = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003
-    sample = rows.where(spread < shares[F.col("lang")]).dropDuplicates(["lang", "text"])
     counted = map_arrow(sample, _count_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(
         F.sum("n").alias("n")).toArrow()
     name, gram, n = (counted.column(c) for c in ("lang", "gram", "n"))

@@ -75,3 +75,26 @@ def test_odd_rows(odd_docs, no_docs, documents):
     unknown = langid.identify(odd_docs, langid.learn(no_docs)).collect()
     assert {(r.lang_pred, r.score) for r in unknown} == {("und", 0.0)}
     assert langid.accepted(found).where(F.col("doc_id").isin(1, 2, 3, 9)).isEmpty()
+
+
+def learned_bytes(model):
+    return {name: int(n.sum()) for name, (_, n) in zip(model.names, model.grams, strict=True)}
+
+
+def test_every_language_is_learned_up_to_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_BYTES", 4_000)
+    monkeypatch.setattr(langid, "TEXT_BYTES", 250)
+    rows = [(f"{i} " + "a" * 10_000, "five") for i in range(5)]
+    rows += [("b" * 100_000, "one long")] + [(f"{i:03d} short one", "one long") for i in range(200)]
+    rows += [("c c c", "copies")] * 10_000 + [("d d", "copies"), ("e", "copies")]
+    rows += [(f"{i:05d} text of a large language", "many") for i in range(20_000)]
+    rows += [("f" * 300, "short"), ("g" * 300, "short")]
+    model = langid.learn(spark.createDataFrame(rows, "text string, lang string"))
+    found = learned_bytes(model)
+    assert found["five"] == 4_000 and found["copies"] == 9 and found["short"] == 600
+    assert 4_000 - 1 <= found["one long"] <= 4_000
+    assert 4_000 <= found["many"] <= 4_000 + 250
+
+
+def test_long_texts_share_the_room():
+    assert langid._level([10, 100, 100], 110) == 50 and langid._level([5, 6], 10) == 5 and langid._level([7], 3) == 3
