@@ -10,8 +10,9 @@ The language with the least total cost wins, by name among equals. Its score is
 
 Bounds: each language is learned from about ``SAMPLE_BYTES`` of its distinct texts (all, if there are fewer), taken in
 the order of a hash until that many bytes are reached. A text counts with its first ``TEXT_BYTES`` at most; where that
-leaves room, all texts are taken and the longer ones share the room evenly. Of the contexts those seen most often are kept, as many as fit ``CELLS`` cells of one
-context, byte and language. Every text is scored whole, block by block.
+leaves room, all texts are taken and the longer ones share the room evenly. All their contexts are
+kept, as costs per language, context and byte seen and escapes per language and context; so memory follows the sample,
+whatever the number of languages and byte values. Every text is scored whole, block by block.
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ from footfall.llm.words import text_buffer
 ORDER = 3
 SAMPLE_BYTES = 4_000_000
 TEXT_BYTES = SAMPLE_BYTES // 16
-CELLS = 16_000_000
 UNKNOWN = "und"
 RAW_BITS = 8.0
 _CELL_BLOCK = 4_000_000
@@ -81,9 +81,13 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Frozen counts of byte 4-grams per language; the cost tables are built once per Python worker."""
+    """Frozen counts of byte 4-grams per language; the cost tables are built once per Python worker.
 
-    def __init__(self, grams: dict[str, tuple[np.ndarray, np.ndarray]], cells: int = CELLS) -> None:
+    With ``cells`` only the contexts seen most often over all languages are kept, as many as fit that many cells of one
+    context, byte and language; without, all of them.
+    """
+
+    def __init__(self, grams: dict[str, tuple[np.ndarray, np.ndarray]], cells: int | None = None) -> None:
         self.cells = cells
         self.names = sorted(grams)
         self.grams = [grams[name] for name in self.names]
@@ -92,85 +96,96 @@ class Model:
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_tables": None}
 
-    def _counts(self, language: int, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(context, byte, count) with the context's bytes as one number."""
+    def _counts(self, language: int, order: int) -> tuple[np.ndarray, np.ndarray]:
+        """Context and byte as one number, ascending, and counts."""
         grams, counts = self.grams[language]
         keys, where = np.unique(grams & ((1 << (8 * order + 8)) - 1), return_inverse=True)
-        return keys >> 8, keys & 255, np.bincount(where, weights=counts, minlength=len(keys))
+        return keys, np.bincount(where, weights=counts, minlength=len(keys))
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Class of each byte; row of each triple of classes; costs by row, class and language."""
+    def tables(self) -> tuple[list, list, list]:
+        """Per language, a list by order: contexts with escapes; contexts with a byte; the costs of the latter."""
         if self._tables is None:
             self._tables = self._build()
         return self._tables
 
-    def _build(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        languages = range(len(self.names))
-        seen = np.unique(np.concatenate([[10], *(self._counts(i, 0)[1] for i in languages)]))
-        width = len(seen) + 1  # the last class stands for all bytes that were never seen
-        classes = np.full(256, width - 1, dtype=np.int64)
-        classes[seen] = np.arange(len(seen))
-
-        totals = []
+    def _kept(self) -> list[np.ndarray]:
+        """The contexts of each order that fit ``cells``."""
+        totals, seen = [], np.zeros(0, np.int64)
         for order in range(ORDER + 1):
-            pieces = [self._counts(i, order) for i in languages]
-            contexts, where = np.unique(np.concatenate([p[0] for p in pieces]), return_inverse=True)
-            totals.append((contexts, np.bincount(where, weights=np.concatenate([p[2] for p in pieces]))))
-        most = max(1, self.cells // (width * len(self.names)))
+            pieces = [self._counts(i, order) for i in range(len(self.names))]
+            contexts, where = np.unique(np.concatenate([keys >> 8 for keys, _ in pieces]), return_inverse=True)
+            totals.append((contexts, np.bincount(where, weights=np.concatenate([n for _, n in pieces]))))
+            seen = np.union1d(seen, np.concatenate([keys & 255 for keys, _ in pieces]))
+        most = max(1, self.cells // ((len(seen) + 1) * len(self.names)))
         ranked = np.lexsort((np.concatenate([np.full(len(c), k) for k, (c, _) in enumerate(totals)]),
                              -np.concatenate([n for _, n in totals])))[:most]
         bounds = np.cumsum([0] + [len(c) for c, _ in totals])
-        kept = [c[np.sort(ranked[(ranked >= a) & (ranked < b)] - a)]
+        return [c[np.sort(ranked[(ranked >= a) & (ranked < b)] - a)]
                 for (c, _), a, b in zip(totals, bounds[:-1], bounds[1:], strict=True)]
 
-        costs = np.full((sum(map(len, kept)), width, len(self.names)), RAW_BITS, dtype=np.float32)
-        first = np.cumsum([0] + [len(c) for c in kept])
-        for order, contexts in enumerate(kept):
-            rows = np.arange(first[order], first[order + 1])
-            if order:
-                parent = np.searchsorted(kept[order - 1], contexts & ((1 << (8 * order - 8)) - 1))
-                costs[rows] = costs[first[order - 1] + parent]
-            for i in languages:
-                context, byte, count = self._counts(i, order)
-                at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
-                own = contexts[at] == context
-                at, byte, count = at[own], byte[own], count[own]
+    def _build(self) -> tuple[list, list, list]:
+        kept = None if self.cells is None else self._kept()
+        escapes, seen, costs = [], [], []
+        for i in range(len(self.names)):
+            own = []
+            for order in range(ORDER + 1):
+                keys, count = self._counts(i, order)
+                if kept is not None:
+                    inside = np.isin(keys >> 8, kept[order])
+                    keys, count = keys[inside], count[inside]
+                contexts, at, distinct = np.unique(keys >> 8, return_inverse=True, return_counts=True)
                 total = np.bincount(at, weights=count, minlength=len(contexts))
-                distinct = np.bincount(at, minlength=len(contexts))
-                known = np.flatnonzero(total > 0)
-                costs[rows[known], :, i] -= np.log2(distinct[known] / (total + distinct)[known])[:, None]
-                costs[rows[at], classes[byte], i] = -np.log2(count / (total + distinct)[at])
-
-        row_of = np.zeros(1, dtype=np.int32)
-        for order in range(1, ORDER + 1):
-            row_of = np.tile(row_of, width)
-            contexts, code = kept[order], 0
-            for k in range(order - 1, -1, -1):
-                code = code * width + classes[(contexts >> (8 * k)) & 255]
-            row_of[code] = np.arange(first[order], first[order + 1], dtype=np.int32)
-        return classes.astype(np.int32), row_of, costs.reshape(-1, len(self.names))
+                escape = -np.log2(distinct / (total + distinct))
+                cost = -np.log2(count / (total + distinct)[at])
+                own.append(((contexts.astype(np.uint32), escape.astype(np.float32)), keys.astype(np.uint32),
+                            cost.astype(np.float32)))
+            for whole, part in zip((escapes, seen, costs), zip(*own, strict=True), strict=True):
+                whole.append(list(part))
+        return escapes, seen, costs
+
+    def _gram_costs(self, grams: np.ndarray, language: int) -> np.ndarray:
+        """The cost of each gram's last byte after its first ``ORDER``; ``grams`` ascend, each once."""
+        escapes, seen, costs = (part[language] for part in self.tables())
+        out = np.zeros(len(grams))
+        left = np.arange(len(grams))
+        for order in range(ORDER, -1, -1):
+            keys = grams[left] & np.uint32((1 << (8 * order + 8)) - 1)
+            at, found = _places(seen[order], keys)
+            out[left[found]] += costs[order][at[found]]
+            left, keys = left[~found], keys[~found]
+            contexts, escape = escapes[order]
+            at, found = _places(contexts, keys >> np.uint32(8))
+            out[left[found]] += escape[at[found]]
+        out[left] += RAW_BITS
+        return out
 
     def bits(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Code length of every text under every language, and the texts' bytes."""
-        classes, row_of, costs = self.tables()
-        width = len(costs) // (int(row_of.max()) + 1)
         data, places, starts = _padded(column)
         total = np.zeros((len(starts) - 1, len(self.names)))
-        step = max(1, _CELL_BLOCK // len(self.names))
-        for a in range(0, len(places), step):
-            at = places[a:a + step]
-            code = np.zeros(len(at), dtype=np.int32)
-            for k in range(ORDER, 0, -1):
-                code = code * np.int32(width) + classes[data[at - k]]
-            cell = row_of[code].astype(np.int64) * width + classes[data[at]]
+        for a in range(0, len(places), _CELL_BLOCK):
+            at = places[a:a + _CELL_BLOCK]
+            grams = data[at].astype(np.uint32)
+            for k in range(1, ORDER + 1):
+                grams |= data[at - k].astype(np.uint32) << np.uint32(8 * k)
+            grams, which = np.unique(grams, return_inverse=True)
             text = int(np.searchsorted(starts, a, side="right")) - 1
             inner = np.unique(np.concatenate([[a], starts[(starts > a) & (starts < a + len(at))]]))
             texts = np.searchsorted(starts, inner, side="right") - 1
             texts[0] = text
-            total[texts] += np.add.reduceat(costs[cell], inner - a, axis=0, dtype=np.float64)
+            for i in range(len(self.names)):
+                total[texts, i] += np.add.reduceat(self._gram_costs(grams, i)[which], inner - a)
         return total, np.diff(starts)
 
 
+def _places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each number is in ascending ``keys``, and whether it is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), dtype=bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
 def held_out(column: str, parts: int, remainder: int = 0) -> Column:
     """Whether the id's CRC-32, as text, leaves ``remainder``; a NULL id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % parts == remainder
@@ -242,7 +257,7 @@ def _sample(rows: DataFrame) -> DataFrame | None:
         "text")).groupBy("lang", "spread", "most").agg(F.min("text").alias("text")).select("lang", "text", "most")
 
 
-def learn(docs: DataFrame, cells: int = CELLS) -> Model:
+def learn(docs: DataFrame, cells: int | None = None) -> Model:
     """Context trees from the rows of ``docs`` (text, lang) that have both.
 
     Only sums per language and the counts of the bounded sample reach the driver.

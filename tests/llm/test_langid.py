@@ -1,6 +1,7 @@
 import math
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -98,3 +99,38 @@ def test_every_language_is_learned_up_to_the_bound(spark, monkeypatch):
 
 def test_long_texts_share_the_room():
     assert langid._level([10, 100, 100], 110) == 50 and langid._level([5, 6], 10) == 5 and langid._level([7], 3) == 3
+
+
+def test_many_languages_keep_every_context(spark):
+    """40 languages over nearly all byte values: a dense table of them would exceed any sensible number of cells."""
+    texts = {f"{i:02d}": ["".join(chr(0x4E00 + (937 * i + 71 * k * k) % 20000) for k in range(200)) + f" word{i} " * 20]
+             for i in range(40)}
+    model = langid.learn(spark.createDataFrame([(t, name) for name, own in texts.items() for t in own],
+                                               "text string, lang string"))
+    assert model.cells is None
+    for (grams, _), seen in zip(model.grams, model.tables()[1], strict=True):
+        for order in range(langid.ORDER + 1):
+            assert len(seen[order]) == len(np.unique(grams & ((1 << (8 * order + 8)) - 1)))
+    asked = [texts["07"][0][:90], texts["31"][0][20:99]]
+    bits, _ = model.bits(pa.array(asked))
+    assert [model.names[k] for k in bits.argmin(axis=1)] == ["07", "31"]
+    for row, text in zip(bits, asked, strict=True):
+        for got, name in zip(row, model.names, strict=True):
+            assert math.isclose(got, brute_bits(texts[name], text), rel_tol=1e-5)
+
+
+def test_cells_bound_the_costs_kept(documents):
+    kept = langid.learn(documents, 20_000)
+    assert sum(len(c) for own in kept.tables()[2] for c in own) <= 20_000
+
+
+def test_rare_contexts_of_a_small_language_are_kept():
+    """Many bytes and languages, with counts that put the small language's contexts last."""
+    rng = np.random.default_rng(3)
+    grams = {f"l{i:03d}": (np.unique(rng.integers(0, 1 << 32, 3_000)), None) for i in range(100)}
+    grams = {name: (g, np.full(len(g), 50.0 if name != "l099" else 1.0)) for name, (g, _) in grams.items()}
+    model = langid.Model(grams)
+    own, n = model.grams[model.names.index("l099")]
+    cost = model._gram_costs(own.astype(np.uint32), model.names.index("l099"))
+    distinct = np.unique(own >> 8, return_counts=True, return_inverse=True)
+    assert np.allclose(cost, -np.log2(n / (2 * distinct[2][distinct[1]])))
