@@ -15,6 +15,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _LOCAL = r"A-Za-z0-9._%+\-"
+#: Account numbers' characters by country, those of the registry.
+_IBAN_COUNTRIES = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban() -> str:
+    """A number of its country's length; else any of a fitting length, up to where one of a known country begins."""
+    known = "|".join(
+        rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{(size - 4) // 4}}}"
+        + (rf"\x20?[A-Z0-9]{{{size % 4}}}" if size % 4 else "") for size, countries in _IBAN_COUNTRIES.items())
+    known = rf"(?:{known})(?![A-Za-z0-9])"
+    other = (rf"[A-Z]{{2}}[0-9]{{2}}(?:(?!\x20{known})\x20?[A-Z0-9]{{4}}){{2,7}}"
+             r"(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+    return rf"(?<![A-Za-z0-9])(?:{known}|{other})"
 
 
 @dataclass(frozen=True)
@@ -39,7 +56,7 @@ KINDS = (
     Kind("card", r"(?:\G|(?<![0-9]))[0-9](?:[\x20\-]?[0-9])++", "[0-9](?:[ -]?[0-9]){12}", 0.8,
          "card|visa|credit|karte|carte|tarjeta", True),
     Kind("phone", r"\+[0-9][\x20().0-9\-]+[0-9]", r"\+[0-9]", 0.6, "phone|call|tel|fax|mobile|anruf", True),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3}+)?+(?![A-Za-z0-9])",
+    Kind("iban", _iban(),
          "[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}", 0.8, "iban|account|konto|compte|cuenta", False),
     Kind("ssn", r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])", "[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.3,
          "ssn|social security|social", False),

@@ -89,3 +89,21 @@ def test_odd_rows(odd_docs, no_docs):
     assert pii.personal_data(no_docs).count() == 0
     twice = odd_docs.withColumn("text", F.lit("a@b.c x d@e.f"))
     assert {r.spans for r in pii.personal_data(twice).collect()} == {"email:0:5,email:8:13"}
+
+
+def test_account_numbers_before_words_and_each_other(spark):
+    """Of 20, 22 and 24 characters, blank or not, with a word, a word in capitals or another number after them."""
+    numbers = ["AT611904300234573201", "AT61 1904 3002 3457 3201", "GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32",
+               "ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332", "SE45 5000 0000 0583 9825 7466",
+               "NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
+    after = ["", " Please", " PLEASE", " IS", " A", ".", " DE89 3704 0044 0532 0130 00"]
+    texts = {i: f"to {n}{a}" for i, (n, a) in enumerate((n, a) for n in numbers for a in after)}
+    rows = pii.personal_data(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    for r in rows:
+        number, word = numbers[r.doc_id // len(after)], after[r.doc_id % len(after)]
+        end = 3 + len(number)
+        wanted = [f"iban:3:{end}"] + ([f"iban:{end + 1}:{end + len(word)}"] if "DE89" in word else [])
+        assert [s for s in r.spans.split(",") if s.startswith("iban")] == wanted, texts[r.doc_id]
+    others = {1: "ZZ12 ABCD EFGH ES91 2100 0418 4502 0005 1332", 2: "AT62 1904 3002 3457 3201 Please"}
+    found = pii.personal_data(spark.createDataFrame(list(others.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: [s for s in r.spans.split(",") if s.startswith("iban")] for r in found} == {1: ["iban:15:44"], 2: []}
