@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from footfall.llm import (
-    decontaminate, fingerprint, langid, mixing, neardup, pii, quality, shards, warc, wordmodel)
+    decontaminate, fingerprint, langid, mixing, neardup, negatives, phrases, pii, quality, shards, toxicity, warc, wordmodel)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +65,21 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = langid.held_out("doc_id", 4, 2)
+    labels = _table(spark, sf_dir, "labels").where(~out).select("doc_id", F.col("toxic").alias("label"))
+    return toxicity.scored(docs, toxicity.learn(docs, labels)).select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_decontamination": op2_decontamination,
@@ -76,4 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_training_shards": op8_training_shards,
     "op9_lattice_scores": op9_lattice_scores,
     "op10_language": op10_language,
+    "op11_toxic_passages": op11_toxic_passages,
+    "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }

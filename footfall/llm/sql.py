@@ -117,4 +117,43 @@ ORACLES: dict[str, str] = {
                     THEN greatest(0, least(1, to_next / sqrt(a.norm * c.norm))) ELSE 0 END AS near_next
         FROM edits e JOIN dots USING (doc_id) JOIN prints a ON a.doc_id = e.doc_id AND a.which = 0
              JOIN prints b ON b.doc_id = e.doc_id AND b.which = 1 JOIN prints c ON c.doc_id = e.next_id AND c.which = 0""",
+    "op12_collocations": rf"""
+        WITH texts AS (SELECT row_number() OVER () AS t, coalesce(lang, 'und') AS lang,
+                              translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS text FROM documents),
+             pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+             worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+             starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+             sized AS (SELECT lang, w, i, unnest(range(1, 6)) AS k FROM starts),
+             counts AS (SELECT lang, w[i:i + k - 1] AS p, k, count(*) AS f FROM sized WHERE i + k - 1 <= len(w) GROUP BY ALL),
+             totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang),
+             candidates AS (SELECT * FROM counts WHERE k > 1 AND f >= 100),
+             inside AS (SELECT DISTINCT lang, p[j:j + m - 1] AS p, f FROM (
+                            SELECT lang, p, k, f, m, unnest(range(1, k - m + 2)) AS j FROM (
+                                SELECT *, unnest(range(2, k)) AS m FROM candidates))),
+             cuts AS (SELECT *, unnest(range(1, k)) AS c FROM candidates),
+             scored AS (SELECT x.lang, x.p, x.f AS a, c, y.f AS l, z.f AS r, n,
+                               CAST(1000 * CAST(x.f AS HUGEINT) * n // (CAST(y.f AS HUGEINT) * z.f) AS BIGINT) AS score
+                        FROM cuts x JOIN totals USING (lang)
+                        JOIN counts y ON y.lang = x.lang AND y.p = x.p[1:c] JOIN counts z ON z.lang = x.lang AND z.p = x.p[c + 1:x.k]),
+             weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, c) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+               array_to_string(p, ' ') AS phrase, a, l, r, n, score
+        FROM weakest x WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = x.lang AND i.p = x.p AND i.f >= x.a)
+        QUALIFY rank <= 2000""",
+    "op13_hard_negatives": """
+        WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+                   FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                          CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+                   FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+             p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+                   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id AS negative_id, positive_score,
+               score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+        QUALIFY rank <= 10""",
 }

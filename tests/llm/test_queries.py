@@ -13,7 +13,9 @@ COLUMNS = {
     2: "doc_id item_id", 4: "doc_id size source_size target taken", 5: "doc_id n_shingles component_id kept",
     6: "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
     7: "doc_id n_email n_ip n_card n_phone base_sha256 spans", 8: "slot doc_ids",
-    9: "doc_id held_out n_tokens n_known train_tokens base_score score", 10: "doc_id held_out lang_pred score"}
+    9: "doc_id held_out n_tokens n_known train_tokens base_score score", 10: "doc_id held_out lang_pred score",
+    11: "doc_id held_out score predicted", 12: "lang rank phrase a l r n score",
+    13: "anchor_id positive_id rank negative_id positive_score negative_score"}
 
 
 @pytest.fixture(scope="module")
