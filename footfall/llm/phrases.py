@@ -23,6 +23,7 @@ while they are counted, and by their text from then on.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -91,7 +92,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Bitmap:
-    """Marks of 64-bit keys, by their leading bits."""
+    """Marks of 64-bit keys, by their leading bits; packed for the way, as few are set in most."""
 
     def __init__(self, keys: DataFrame, column: str) -> None:
         place = F.shiftrightunsigned(F.col(column), 64 - MAP_BITS)
@@ -101,6 +102,12 @@ class Bitmap:
         self.shift, self.bits = np.uint64(64 - MAP_BITS), np.zeros(1 << (MAP_BITS - 6), dtype=np.uint64)
         self.bits[table.column("at").to_numpy()] = table.column("bits").to_numpy().view(np.uint64)
 
+    def __getstate__(self) -> dict:
+        return {"shift": self.shift, "packed": zlib.compress(self.bits.tobytes(), 1)}
+
+    def __setstate__(self, state: dict) -> None:
+        self.shift, self.bits = state["shift"], np.frombuffer(zlib.decompress(state["packed"]), dtype=np.uint64)
+
     def __getitem__(self, keys: np.ndarray) -> np.ndarray:
         place = keys >> self.shift
         return (self.bits[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
@@ -182,6 +189,7 @@ def _grown(stream: DataFrame, words: DataFrame, opened: DataFrame, longest: int,
     """lang, phrase, k, f of all frequent phrases that begin or end with an opened word, and of all frequent words."""
     context = stream.sparkSession.sparkContext
     marks, known = context.broadcast(Bitmap(opened, "key")), None
+    sent = [marks]
     levels = [words.select("lang", F.col("key").alias("gram"), F.col("word").alias("phrase"), F.lit(1).alias("k"), "f")]
     for k in range(2, longest + 1):
         counts = stored(map_arrow(stream.select("stream"), lambda it, k=k, known=known: _count_grams(k, marks, known, it),
@@ -199,6 +207,9 @@ def _grown(stream: DataFrame, words: DataFrame, opened: DataFrame, longest: int,
                 F.concat_ws(" ", "word", "phrase")).alias("phrase"), F.lit(k).alias("k"), "f")
         levels.append(stored(named, "phrases"))
         known = frequent
+        sent.append(known)
+    for marks in sent:  # what was made with them is written
+        marks.destroy()
     return reduce(DataFrame.unionByName, levels)
 
 
@@ -263,6 +274,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
                    .groupBy("lang", "key", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least), "words")
     frequent = docs.sparkSession.sparkContext.broadcast(Bitmap(words, "key"))
     stream = stored(map_arrow(texts, lambda it: _streams(frequent, it), "lang string, n_words long, stream binary"), "streams")
+    frequent.destroy()
     totals = stored(stream.groupBy("lang").agg(F.sum("n_words").alias("n")), "totals")
     ranking = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     settled = []
