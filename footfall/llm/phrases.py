@@ -40,9 +40,9 @@ SEPARATORS = b" \t" + BREAKS
 LEAST = 100
 LONGEST = 5
 TOP = 2000
-SHARES = (1 / 16, 1 / 4, 1.0)
-MAP_BITS = 27
-TOKENS = 1 << 20
+SHARES = (1 / 3, 1.0)
+MAP_BITS = 25
+TOKENS = 1 << 18
 UNKNOWN = "und"
 
 _FACTOR = np.uint64(odd_numbers(211, 1)[0])
@@ -133,83 +133,79 @@ def _streams(frequent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
                 ["lang", "n_words", "stream"])
 
 
-def _hashes(keys: np.ndarray, k: int) -> np.ndarray:
-    """Of every k words in a row a hash; as many as there are keys, those at the end mean nothing."""
-    out = keys.copy()
-    for step in range(1, k):
-        out[:len(out) - step] = mix(out[:len(out) - step] * _FACTOR + keys[step:])
-    return out
+def _grams(batch: pa.RecordBatch, sizes: list[int], opened: Bitmap, known: list[Bitmap]) -> Iterator[tuple]:
+    """Phrases of k words to count, for k in ``sizes`` and in runs of at most ``TOKENS``: k, hash, first and last word,
+    hashes of the part without the last and of the part without the first word, and whether the first word is open.
 
-
-def _grams(batch: pa.RecordBatch, k: int, opened: Bitmap, known: Bitmap | None) -> Iterator[tuple]:
-    """Phrases of k words to count, in runs of at most ``TOKENS``: hash, first and last word, hashes of the part without the
-    last and of the part without the first word, and whether the first word is open.
-
-    What is counted depends on the phrase's words alone, so of each phrase all occurrences are counted or none.
+    ``known[k - 3]`` marks the frequent phrases of k - 1 words. What is counted depends on the phrase's words alone, so of each
+    phrase all occurrences are counted or none.
     """
-    joined = np.concatenate([text_buffer(batch.column("stream"))[0].view(np.uint64), np.zeros(k, np.uint64)])
-    for at in range(0, len(joined) - k, TOKENS):
-        keys = joined[at:at + TOKENS + k]
-        n = min(TOKENS, len(keys) - k)
-        whole = np.ones(n, dtype=bool)
-        for step in range(k):
-            whole &= keys[step:step + n] != 0
-        begins = np.flatnonzero(whole)
-        first, last = opened[keys[begins]], opened[keys[begins + k - 1]]
-        begins, first, last = begins[first | last], first[first | last], last[first | last]
-        parts = _hashes(keys, k - 1)
-        left, right = parts[begins], parts[begins + 1]
-        if known is not None:
-            frequent = (~first | known[left]) & (~last | known[right])
-            begins, first, left, right = begins[frequent], first[frequent], left[frequent], right[frequent]
-        hashes = mix(left * _FACTOR + keys[begins + k - 1])
-        yield hashes, keys[begins], keys[begins + k - 1], left, right, first
+    stream = text_buffer(batch.column("stream"))[0].view(np.uint64)
+    for at in range(0, len(stream), TOKENS):
+        keys = stream[at:at + TOKENS + max(sizes) - 1]
+        n = min(TOKENS, len(keys))
+        open_word, parts, whole = opened[keys], keys, keys != 0  # of k - 1 words, from each place on
+        for k in range(2, max(sizes) + 1):
+            parts, whole = parts[:len(keys) - k + 2], whole[:-1] & (keys[k - 1:] != 0)
+            if k in sizes:
+                begins = np.flatnonzero(whole[:n])
+                begins = begins[open_word[begins] | open_word[begins + k - 1]]
+                if k > 2:
+                    frequent = known[k - 3]
+                    begins = begins[~open_word[begins] | frequent[parts[begins]]]
+                    begins = begins[~open_word[begins + k - 1] | frequent[parts[begins + 1]]]
+                first, last, left = keys[begins], keys[begins + k - 1], parts[begins]
+                yield k, mix(left * _FACTOR + last), first, last, left, parts[begins + 1], open_word[begins]
+            if k < max(sizes):
+                parts = mix(parts[:-1] * _FACTOR + keys[k - 1:])
 
 
 def _count_grams(k: int, opened, known, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    marks = [x.value for x in known]
     for batch in batches:
-        for hashes, *_ in _grams(batch, k, opened.value, known and known.value):
+        for _, hashes, *_ in _grams(batch, [k], opened.value, marks):
             own, n = np.unique(hashes, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], ["gram", "n"])
 
 
-def _name_grams(k: int, opened, known, frequent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _name_grams(opened, known, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How frequent phrases are made: a counted part and the word after it, or before it where the first is not open."""
+    marks = [x.value for x in known]
     for batch in batches:
-        for hashes, begin, end, left, right, first in _grams(batch, k, opened.value, known and known.value):
-            held = frequent.value[hashes]
+        for k, hashes, begin, end, left, right, first in _grams(batch, list(range(2, len(known) + 2)), opened.value, marks):
+            held = marks[k - 2][hashes]
             own, at = np.unique(hashes[held], return_index=True)
             begin, end, left, right, first = (x[held][at] for x in (begin, end, left, right, first))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(own.view(np.int64)), pa.array(np.where(first, left, right).view(np.int64)),
-                 pa.array(np.where(first, end, begin).view(np.int64)), pa.array(first)], ["gram", "part", "key", "after"])
+                [pa.array(np.full(len(own), k, dtype=np.int32)), pa.array(own.view(np.int64)),
+                 pa.array(np.where(first, left, right).view(np.int64)), pa.array(np.where(first, end, begin).view(np.int64)),
+                 pa.array(first)], ["k", "gram", "part", "key", "after"])
 
 
 def _grown(stream: DataFrame, words: DataFrame, opened: DataFrame, longest: int, least: int) -> DataFrame:
     """lang, phrase, k, f of all frequent phrases that begin or end with an opened word, and of all frequent words."""
     context = stream.sparkSession.sparkContext
-    marks, known = context.broadcast(Bitmap(opened, "key")), None
-    sent = [marks]
-    levels = [words.select("lang", F.col("key").alias("gram"), F.col("word").alias("phrase"), F.lit(1).alias("k"), "f")]
+    marks = context.broadcast(Bitmap(opened, "key"))
+    known, counted = [], []
     for k in range(2, longest + 1):
-        counts = stored(map_arrow(stream.select("stream"), lambda it, k=k, known=known: _count_grams(k, marks, known, it),
-                                  "gram long, n long").groupBy("gram").agg(F.sum("n").alias("f")).where(F.col("f") >= least),
-                        "counts")
-        if counts.isEmpty():
+        found = stored(map_arrow(stream.select("stream"), lambda it, k=k, known=tuple(known): _count_grams(k, marks, known, it),
+                                 "gram long, n long").groupBy("gram").agg(F.sum("n").alias("f")).where(F.col("f") >= least),
+                       "counts")
+        if found.isEmpty():
             break
-        frequent = context.broadcast(Bitmap(counts, "gram"))
-        made = map_arrow(stream.select("stream"),
-                         lambda it, k=k, known=known, frequent=frequent: _name_grams(k, marks, known, frequent, it),
-                         "gram long, part long, key long, after boolean").dropDuplicates(["gram"])
+        known.append(context.broadcast(Bitmap(found, "gram")))
+        counted.append(found)
+    levels = [words.select("lang", F.col("key").alias("gram"), F.col("word").alias("phrase"), F.lit(1).alias("k"), "f")]
+    if known:
+        made = stored(map_arrow(stream.select("stream"), lambda it: _name_grams(marks, known, it),
+                                "k int, gram long, part long, key long, after boolean").dropDuplicates(["k", "gram"]), "made")
+    for k, found in enumerate(counted, start=2):
         part = levels[-1].select(F.col("gram").alias("part"), "lang", "phrase")
-        named = made.join(counts, "gram").join(part, "part").join(words.select("key", "word"), "key").select(
-            "lang", "gram", F.when(F.col("after"), F.concat_ws(" ", "phrase", "word")).otherwise(
-                F.concat_ws(" ", "word", "phrase")).alias("phrase"), F.lit(k).alias("k"), "f")
-        levels.append(stored(named, "phrases"))
-        known = frequent
-        sent.append(known)
-    for marks in sent:  # what was made with them is written
-        marks.destroy()
+        named = made.where(F.col("k") == k).join(found, "gram").join(part, "part").join(words.select("key", "word"), "key")
+        phrase = F.when(F.col("after"), F.concat_ws(" ", "phrase", "word")).otherwise(F.concat_ws(" ", "word", "phrase"))
+        levels.append(stored(named.select("lang", "gram", phrase.alias("phrase"), F.lit(k).alias("k"), "f"), "phrases"))
+    for sent in (marks, *known):  # what was made with them is written
+        sent.destroy()
     return reduce(DataFrame.unionByName, levels)
 
 
