@@ -10,7 +10,9 @@ At similarity 0.75 a distance is 31.3 on average (binomial of 125 and 0.25, devi
 in some 10,000 pairs that are exactly at the threshold, and practically never above 0.8.
 
 Equal sets are collapsed to one class first. Under each key all classes are compared with the smallest; verified
-links make groups. Then the keys of three or more classes that still hold several groups are searched in full, group
+links make groups. Of the classes under keys that still hold several groups those go that can have no further link: a link
+shares at least 3/7 of both sizes together, and a class shares no shingle that only it has. Around a large group of near
+copies that is most of what is not in it, so nearly all its keys are done with, by counts that take one pass. Then the keys of three or more classes that still hold several groups are searched in full, group
 against group, in blocks, for pairs within ``RADIUS``: first each class with its nearest partner under the key, which
 joins most of what can be joined without comparing a large group all with all; then whatever pairs of different groups
 are left. Under keys of more than ``LARGE_KEY`` classes a pair is also held against the ``LEAST`` smallest hashes of both
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 
 from footfall.llm.components import components
 from footfall.llm.storage import map_arrow, stored
-from footfall.llm.words import mix, odd_numbers, text_buffer, text_shingles
+from footfall.llm.words import chunks, mix, odd_numbers, text_buffer, text_shingles
 
 WIDTH = 5
 CHUNKS = 25
@@ -41,6 +43,7 @@ BITS = 16
 SIMILARITY = 75
 BLOCK_ROWS = 1000
 LARGE_KEY = 64
+ELEMENTS = 1 << 17
 LEAST = 512
 LEAST_SHARE = 0.66
 BROADCAST_ROWS = 1_000_000
@@ -99,7 +102,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(whole), 1000):
             batch = whole.slice(at, 1000)
             symbols = _matrix(batch.column("signature")).astype(np.uint64)
-            ids = batch.column("class_id").to_numpy()
+            ids, sizes = batch.column("class_id").to_numpy(), batch.column("n_shingles").to_numpy()
             keys = np.empty((len(ids), SYMBOLS), dtype=np.uint64)
             for slot in range(SYMBOLS):
                 chunk, left_out = divmod(slot, WIDTH)
@@ -109,7 +112,8 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         key = (key << np.uint64(BITS)) | symbols[:, chunk * WIDTH + k]
                 keys[:, slot] = (mix(key ^ _SLOT_SALTS[slot]) & ~_SLOT_MASK) | np.uint64(slot)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(ids, SYMBOLS))], ["key", "class_id"])
+                [pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(ids, SYMBOLS)),
+                 pa.array(np.repeat(sizes, SYMBOLS))], ["key", "class_id", "n_shingles"])
 
 
 def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,14 +158,21 @@ def _alike(x: np.ndarray, y: np.ndarray, size_x: int, size_y: int) -> bool:
 
 
 def _least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each text's set the least hashes, cut to 32 bits, in order."""
+    """Of each set the least hashes, cut to 32 bits, in order."""
     for batch in batches:
-        for _, _, values, before in text_shingles(batch.column("text")):
-            hashes = (mix(values.copy()) >> np.uint64(32)).astype(np.uint32)
-            parts = [np.unique(hashes[a:b])[:LEAST].tobytes()
-                     for a, b in zip(before[:-1].tolist(), before[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_class_ids(values, before).view(np.int64)), pa.array(parts, pa.binary())], ["class_id", "least"])
+        parts = [np.unique((mix(np.frombuffer(items.as_buffer(), np.uint64).copy()) >> np.uint64(32)).astype(np.uint32))[:LEAST]
+                 .tobytes() for items in batch.column("items")]
+        yield pa.RecordBatch.from_arrays([batch.column("class_id"), pa.array(parts, pa.binary())], ["class_id", "least"])
+
+
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per set and element, at most ``ELEMENTS`` at once, or one set."""
+    for batch in batches:
+        values, starts = text_buffer(batch.column("items"))
+        for i, j in chunks(starts, 8 * ELEMENTS):
+            ids = np.repeat(batch.column("class_id").to_numpy()[i:j], np.diff(starts[i:j + 1]) // 8)
+            items = np.frombuffer(values[starts[i]:starts[j]].tobytes(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(items), pa.array(ids)], ["item", "class_id"])
 
 
 def _group_pairs(batches: Iterator[pa.RecordBatch], nearest: bool) -> Iterator[pa.RecordBatch]:
@@ -234,18 +245,20 @@ def _group_pairs(batches: Iterator[pa.RecordBatch], nearest: bool) -> Iterator[p
         yield found(held.combine_chunks())
 
 
-def _of_classes(ids: DataFrame, classes: DataFrame, docs: DataFrame, function, column: str) -> DataFrame:
-    """A binary column made from the sets of the classes in ``ids``, from one text each."""
+def _sets_of(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """class_id and items, the whole set, of the classes in ``ids``, from one text each."""
     places = stored(ids.distinct().join(classes.select("class_id", "at"), "class_id").select("at").distinct(), "places")
     wanted = F.broadcast(places) if places.count() <= BROADCAST_ROWS else places
     texts = docs.join(wanted, F.col("row_key") == F.col("at"), "left_semi").select("text")
-    return stored(map_arrow(texts, function, f"class_id long, {column} binary").dropDuplicates(["class_id"]), column)
+    return stored(map_arrow(texts, _sets, "class_id long, items binary").dropDuplicates(["class_id"]), "sets")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("class_id")).union(pairs.select("b"))
 
 
-def _similar(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Of candidate pairs (a, b) of class ids those that are links."""
-    pairs = stored(pairs, "candidates")
-    sets = _of_classes(pairs.select(F.col("a").alias("class_id")).union(pairs.select("b")), classes, docs, _sets, "items")
     a, b = (sets.select(F.col("class_id").alias(name), F.col("items").alias(f"items_{name}")) for name in ("a", "b"))
     joined = pairs.join(a, "a").join(b, "b").select("a", "b", "items_a", "items_b")
     return stored(map_arrow(joined, _confirmed, "a long, b long"), "confirmed")
@@ -263,12 +276,32 @@ def _star_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
 def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``members``, with labels, under keys of several groups."""
     grouped = members.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select(
-        "key", "n", "center", "class_id", F.coalesce("label", "class_id").alias("label"))
+        "key", "n", "center", "smallest", "class_id", F.coalesce("label", "class_id").alias("label"))
+    return _of_several_groups(grouped)
+
+
+def _of_several_groups(grouped: DataFrame) -> DataFrame:
     keys = stored(grouped.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
                   .where("low <> high").select("key"), "mixed_keys")
     return stored(grouped.join(keys, "key"), "mixed")
 
 
+def _joinable(mixed: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``mixed`` without the classes that can have no link to any other class in it.
+
+    A link of sets of s and t elements shares at least 3 (s + t) / 7 of them; s - u bounds what a set shares that has u
+    elements which no other set has; t is at least the least size under the class's keys, and 3 s / 4.
+    """
+    own = map_arrow(sets, _elements, "item long, class_id long").groupBy("item").agg(
+        F.count("*").alias("n"), F.min("class_id").alias("class_id")).where("n = 1").groupBy("class_id").agg(
+        F.count("*").alias("own"))
+    least = mixed.groupBy("class_id").agg(F.min("smallest").alias("smallest"))
+    bound = F.greatest(F.ceil(F.col("n_shingles") * SIMILARITY / 100), F.col("smallest"))
+    alone = least.join(classes.select("class_id", "n_shingles"), "class_id").join(own, "class_id").where(
+        (100 + SIMILARITY) * (F.col("n_shingles") - F.col("own")) < SIMILARITY * (F.col("n_shingles") + bound))
+    return _of_several_groups(mixed.join(stored(alone.select("class_id"), "alone"), "class_id", "left_anti"))
+
+
 def _cross_pairs(mixed: DataFrame, classes: DataFrame, least: DataFrame, nearest: bool) -> DataFrame:
     """Pairs within the radius that meet under a key and are in different groups."""
     parts = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
@@ -298,16 +331,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         texts.select("doc_id", "text_hash", "text"), _sketch, "doc_id long, text_hash long, n_shingles long, class_id long, signature binary"), "sketch")
     classes = stored(sketch.where("n_shingles > 0").groupBy("class_id", "n_shingles", "signature").agg(
         F.min("doc_id").alias("first_id"), F.min(F.xxhash64("doc_id", "text_hash")).alias("at")), "classes")
-    keys = map_arrow(classes.select("class_id", "signature"), _keys, "key long, class_id long")
-    shared = stored(keys.groupBy("key").agg(F.min("class_id").alias("center"), F.count("*").alias("n")).where("n > 1"),
-                    "shared_keys")
-    members = stored(keys.join(shared, "key"), "members")
-
-    labels = stored(components(_similar(_star_pairs(members, classes), classes, texts)), "labels")
-    mixed = _mixed(members.where("n > 2").select("key", "n", "center", "class_id"), labels)
-    least = _of_classes(mixed.where(F.col("n") > LARGE_KEY).select("class_id"), classes, texts, _least, "least")
+    keys = map_arrow(classes.select("class_id", "n_shingles", "signature"), _keys,
+                     "key long, class_id long, n_shingles long")
+    shared = stored(keys.groupBy("key").agg(F.min("class_id").alias("center"), F.count("*").alias("n"),
+                                            F.min("n_shingles").alias("smallest")).where("n > 1"), "shared_keys")
+    members = stored(keys.drop("n_shingles").join(shared, "key"), "members")
+
+    stars = stored(_star_pairs(members, classes), "candidates")
+    labels = stored(components(_similar(stars, _sets_of(_ends(stars), classes, texts))), "labels")
+    mixed = _mixed(members.where("n > 2"), labels)
+    sets = _sets_of(mixed.select("class_id"), classes, texts)
+    mixed = _joinable(mixed, classes, sets)
+    large = mixed.where(F.col("n") > LARGE_KEY).select("class_id").distinct()
+    least = stored(map_arrow(sets.join(large, "class_id", "left_semi"), _least, "class_id long, least binary"), "least")
     for nearest in (True, False):
-        more = _similar(_cross_pairs(mixed, classes, least, nearest), classes, texts)
+        more = _similar(stored(_cross_pairs(mixed, classes, least, nearest), "candidates"), sets)
         if not more.isEmpty():
             known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
             labels = stored(components(known.unionByName(more)), "labels")

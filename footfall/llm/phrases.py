@@ -43,6 +43,7 @@ TOP = 2000
 SHARES = (1 / 3, 1.0)
 MAP_BITS = 25
 TOKENS = 1 << 18
+RUN = 1 << 20
 UNKNOWN = "und"
 
 _FACTOR = np.uint64(odd_numbers(211, 1)[0])
@@ -56,7 +57,7 @@ def _words(column: pa.Array, salts: np.ndarray) -> Iterator[tuple]:
     """For each run of texts [i, j): lower-cased bytes, the words' keys (never 0), first bytes, ends, words before each
     text, and whether a word begins a piece. Keys differ between languages."""
     data, starts = text_buffer(column)
-    for i, j in chunks(starts):
+    for i, j in chunks(starts, RUN):
         part, own = data[starts[i]:starts[j]], starts[i:j + 1] - starts[i]
         hashes, begin, end, before = word_spans(part, own, True, SEPARATORS)
         keys = mix(hashes ^ np.repeat(salts[i:j], np.diff(before)))
@@ -80,8 +81,16 @@ def _strings(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
                                                            pa.py_buffer(_LOWER[data[at]])])
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; what earlier ones held goes back to the system."""
     for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _released(batches):
         lang = batch.column("lang")
         for i, _, part, keys, begin, end, before, _ in _words(batch.column("text"), _salts(batch)):
             own, first, n = np.unique(keys, return_index=True, return_counts=True)
@@ -116,7 +125,7 @@ class Bitmap:
 def _streams(frequent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text as the number of its words and the keys of its frequent ones, 0 where words do not adjoin."""
     marks = frequent.value
-    for batch in batches:
+    for batch in _released(batches):
         for i, j, _, keys, _, _, before, new in _words(batch.column("text"), _salts(batch)):
             kept = marks[keys]
             texts = np.repeat(np.arange(j - i), np.diff(before))
@@ -162,7 +171,7 @@ def _grams(batch: pa.RecordBatch, sizes: list[int], opened: Bitmap, known: list[
 
 def _count_grams(k: int, opened, known, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     marks = [x.value for x in known]
-    for batch in batches:
+    for batch in _released(batches):
         for _, hashes, *_ in _grams(batch, [k], opened.value, marks):
             own, n = np.unique(hashes, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], ["gram", "n"])
@@ -171,7 +180,7 @@ def _count_grams(k: int, opened, known, batches: Iterator[pa.RecordBatch]) -> It
 def _name_grams(opened, known, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How frequent phrases are made: a counted part and the word after it, or before it where the first is not open."""
     marks = [x.value for x in known]
-    for batch in batches:
+    for batch in _released(batches):
         for k, hashes, begin, end, left, right, first in _grams(batch, list(range(2, len(known) + 2)), opened.value, marks):
             held = marks[k - 2][hashes]
             own, at = np.unique(hashes[held], return_index=True)

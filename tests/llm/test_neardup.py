@@ -60,6 +60,31 @@ def test_dense_group_around_the_threshold(spark, monkeypatch):
     expect_groups(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+@pytest.mark.parametrize("n_words,most", [(200, 14), (800, 40)])
+def test_large_group_around_the_threshold(spark, n_words, most):
+    """Keys of far more classes than ``LARGE_KEY``, sets on both sides of ``LEAST``: every link is found."""
+    rng = random.Random(n_words)
+    base, rows = [f"w{i}" for i in range(n_words)], []
+    for doc in range(260):
+        own = list(base)
+        for at in rng.sample(range(n_words), rng.randint(most // 5, most)):
+            own[at] = f"x{doc}_{at}"
+        rows.append((doc, " ".join(own)))
+    found = expect_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+    groups_found = Counter(r.component_id for r in found.values())
+    assert len(groups_found) > 10 and max(groups_found.values()) > neardup.LARGE_KEY
+
+
+def test_classes_without_a_further_link(spark):
+    """What only one set has bounds its links; the last of these sets can have none, the others can."""
+    mixed = spark.createDataFrame(
+        [(k, 4, 1, 80, c, c) for k in (1, 2) for c in (1, 2, 3, 4)], "key long, n long, center long, smallest long, class_id long, label long")
+    sizes = {1: range(100), 2: range(86), 3: [*range(86), *range(200, 214)], 4: [*range(75), *range(300, 325)]}
+    classes = spark.createDataFrame([(c, len(own)) for c, own in sizes.items()], "class_id long, n_shingles long")
+    sets = spark.createDataFrame([(c, np.array(own, np.uint64).tobytes()) for c, own in sizes.items()], "class_id long, items binary")
+    assert {r.class_id for r in neardup._joinable(mixed, classes, sets).collect()} == {1, 2, 3}
+
+
 def test_chain_and_copies(spark):
     rows, own = [], [f"w{i}" for i in range(200)]
     for doc in range(30):
