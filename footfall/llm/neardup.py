@@ -12,12 +12,12 @@ in some 10,000 pairs that are exactly at the threshold, and practically never ab
 Equal sets are collapsed to one class first. Under each key all classes are compared with the smallest; verified
 links make groups. Of the classes under keys that still hold several groups those go that can have no further link: a link
 shares at least 3/7 of both sizes together, and a class shares no shingle that only it has. Around a large group of near
-copies that is most of what is not in it, so nearly all its keys are done with, by counts that take one pass. Then the keys of three or more classes that still hold several groups are searched in full, group
-against group, in blocks, for pairs within ``RADIUS``: first each class with its nearest partner under the key, which
-joins most of what can be joined without comparing a large group all with all; then whatever pairs of different groups
-are left. Under keys of more than ``LARGE_KEY`` classes a pair is also held against the ``LEAST`` smallest hashes of both
-sets before it leaves the task: that is the similarity itself, but for hash collisions, of sets up to that size, and an
-estimate with a deviation of 0.019 of larger ones, which pass from ``LEAST_SHARE`` on. So a large group of texts that
+copies that is most of what is not in it, so nearly all its keys are done with, by counts that take one pass. Then the keys of
+three or more classes that still hold several groups are searched in full, group against group, in blocks, for pairs
+within ``RADIUS``. Before such a pair leaves its task it is held against the ``LEAST`` smallest hashes of both sets: that is
+the similarity itself, but for hash collisions, of sets up to that size, and an estimate with a deviation of 0.014 of
+larger ones, which pass from ``LEAST_SHARE`` on. Nearest pairs come first; a pair that is a link beyond doubt joins its
+groups there and then, and pairs of groups so joined are left out, as they change nothing. So a large group of texts that
 are alike, but not enough, is compared without sending its pairs anywhere. Every link counts only when confirmed on the
 full sets.
 """
@@ -42,10 +42,10 @@ RADIUS = 2 * CHUNKS - 1
 BITS = 16
 SIMILARITY = 75
 BLOCK_ROWS = 1000
-LARGE_KEY = 64
 ELEMENTS = 1 << 17
-LEAST = 512
+LEAST = 1024
 LEAST_SHARE = 0.66
+DOUBT = 1
 BROADCAST_ROWS = 1_000_000
 ROW_KEY = "__row_key"
 
@@ -145,16 +145,18 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _alike(x: np.ndarray, y: np.ndarray, size_x: int, size_y: int) -> bool:
-    """Whether two sets may be a link, by their least hashes in order; never false for sets that are one, but by chance."""
+def _likeness(x: np.ndarray, y: np.ndarray, size_x: int, size_y: int) -> int:
+    """Of two sets, by their least hashes in order: 0 if they are no link, 2 if they are one beyond doubt, else 1."""
     both = np.concatenate([x, y])
     both.sort(kind="stable")
     new = np.concatenate([[True], both[1:] != both[:-1]])
     if size_x <= LEAST and size_y <= LEAST:
-        return 100 * (len(both) - int(new.sum())) >= (SIMILARITY - 1) * int(new.sum())
+        union = int(new.sum())
+        shared = 100 * (len(both) - union)
+        return int(shared >= (SIMILARITY - DOUBT) * union) + int(shared >= (SIMILARITY + DOUBT) * union)
     end = np.flatnonzero(new)[:LEAST + 1]
     upto = int(end[LEAST]) if len(end) > LEAST else len(both)
-    return upto - min(len(end), LEAST) >= LEAST_SHARE * min(len(end), LEAST)
+    return int(upto - min(len(end), LEAST) >= LEAST_SHARE * min(len(end), LEAST))
 
 
 def _least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,12 +177,11 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(items), pa.array(ids)], ["item", "class_id"])
 
 
-def _group_pairs(batches: Iterator[pa.RecordBatch], nearest: bool) -> Iterator[pa.RecordBatch]:
+def _group_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by key and block pair: pairs of different groups within ``RADIUS``, each under one key only.
 
     A pair meets under several keys; it counts under its first chunk with at most one error, the erring symbol (else
-    the first) left out. A pair with the key's smallest class was compared before. With ``nearest``, each class gives
-    only its nearest partner under a key.
+    the first) left out. A pair with the key's smallest class was compared before.
     """
     empty = pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 2, ["a", "b"])
 
@@ -188,7 +189,7 @@ def _group_pairs(batches: Iterator[pa.RecordBatch], nearest: bool) -> Iterator[p
         names = ("key", "bi", "bj", "block", "class_id", "label", "center", "n_shingles")
         key, bi, bj, block, node, label, center, size = (table.column(n).to_numpy() for n in names)
         symbols = _matrix(table.column("signature").combine_chunks())
-        least = [None if v is None else np.frombuffer(v, np.uint32) for v in table.column("least").to_pylist()]
+        least = [np.frombuffer(v, np.uint32) for v in table.column("least").to_pylist()]
         a_side, b_side, errors, step = [], [], [], 1
         while step < len(key):
             same = (key[step:] == key[:-step]) & (bi[step:] == bi[:-step]) & (bj[step:] == bj[:-step])
@@ -216,16 +217,22 @@ def _group_pairs(batches: Iterator[pa.RecordBatch], nearest: bool) -> Iterator[p
         if not a_side:
             return empty
         p, q, distance = np.concatenate(a_side), np.concatenate(b_side), np.concatenate(errors)
-        alike = np.array([least[i] is None or _alike(least[i], least[j], size[i], size[j])
-                          for i, j in zip(p.tolist(), q.tolist(), strict=True)], dtype=bool)
-        p, q, distance = p[alike], q[alike], distance[alike]
-        if nearest:
-            one, other, distance = np.concatenate([p, q]), np.concatenate([q, p]), np.concatenate([distance, distance])
-            order = np.lexsort((node[other], distance, one))
-            one, other = one[order], other[order]
-            first = np.concatenate([np.ones(min(1, len(one)), dtype=bool), one[1:] != one[:-1]])
-            both = np.unique(np.sort(np.stack([one[first], other[first]]), axis=0), axis=1)
-            p, q = both[0], both[1]
+        order = np.argsort(distance, kind="stable")
+        joined: dict[int, int] = {}
+
+        def group(own: int) -> int:
+            while own in joined:
+                own = joined[own]
+            return own
+
+        kept = []
+        for k, one, other in zip(order.tolist(), label[p[order]].tolist(), label[q[order]].tolist(), strict=True):
+            one, other = group(one), group(other)
+            if one != other and (like := _likeness(least[p[k]], least[q[k]], size[p[k]], size[q[k]])):
+                kept.append(k)
+                if like == 2:
+                    joined[max(one, other)] = min(one, other)
+        p, q = p[kept], q[kept]
         return pa.RecordBatch.from_arrays([pa.array(node[p]), pa.array(node[q])], ["a", "b"])
 
     held = None
@@ -276,13 +283,13 @@ def _star_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
 def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``members``, with labels, under keys of several groups."""
     grouped = members.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select(
-        "key", "n", "center", "smallest", "class_id", F.coalesce("label", "class_id").alias("label"))
+        "key", "center", "smallest", "class_id", F.coalesce("label", "class_id").alias("label"))
     return _of_several_groups(grouped)
 
 
 def _of_several_groups(grouped: DataFrame) -> DataFrame:
-    keys = stored(grouped.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                  .where("low <> high").select("key"), "mixed_keys")
+    keys = stored(grouped.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n"))
+                  .where("low <> high").select("key", "n"), "mixed_keys")
     return stored(grouped.join(keys, "key"), "mixed")
 
 
@@ -299,21 +306,19 @@ def _joinable(mixed: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFram
     bound = F.greatest(F.ceil(F.col("n_shingles") * SIMILARITY / 100), F.col("smallest"))
     alone = least.join(classes.select("class_id", "n_shingles"), "class_id").join(own, "class_id").where(
         (100 + SIMILARITY) * (F.col("n_shingles") - F.col("own")) < SIMILARITY * (F.col("n_shingles") + bound))
-    return _of_several_groups(mixed.join(stored(alone.select("class_id"), "alone"), "class_id", "left_anti"))
+    return _of_several_groups(mixed.drop("n").join(stored(alone.select("class_id"), "alone"), "class_id", "left_anti"))
 
 
-def _cross_pairs(mixed: DataFrame, classes: DataFrame, least: DataFrame, nearest: bool) -> DataFrame:
+def _cross_pairs(mixed: DataFrame, classes: DataFrame, least: DataFrame) -> DataFrame:
     """Pairs within the radius that meet under a key and are in different groups."""
     parts = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
-    small = mixed.where(F.col("n") <= LARGE_KEY).withColumn("least", F.lit(None).cast("binary"))
-    large = mixed.where(F.col("n") > LARGE_KEY).join(least, "class_id")
-    rows = (small.unionByName(large).join(classes.select("class_id", "signature", "n_shingles"), "class_id")
-            .withColumn("block", F.pmod("class_id", parts).cast("int"))
+    facts = least.join(classes.select("class_id", "signature", "n_shingles"), "class_id")
+    rows = (mixed.join(facts, "class_id").withColumn("block", F.pmod("class_id", parts).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
             .select("key", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block",
                     "class_id", "label", "center", "n_shingles", "signature", "least"))
     blocks = rows.repartition("key", "bi", "bj").sortWithinPartitions("key", "bi", "bj")
-    return map_arrow(blocks, lambda it: _group_pairs(it, nearest), "a long, b long").distinct()
+    return map_arrow(blocks, _group_pairs, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -342,15 +347,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     mixed = _mixed(members.where("n > 2"), labels)
     sets = _sets_of(mixed.select("class_id"), classes, texts)
     mixed = _joinable(mixed, classes, sets)
-    large = mixed.where(F.col("n") > LARGE_KEY).select("class_id").distinct()
-    least = stored(map_arrow(sets.join(large, "class_id", "left_semi"), _least, "class_id long, least binary"), "least")
-    for nearest in (True, False):
-        more = _similar(stored(_cross_pairs(mixed, classes, least, nearest), "candidates"), sets)
-        if not more.isEmpty():
-            known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-            labels = stored(components(known.unionByName(more)), "labels")
-            if nearest:
-                mixed = _mixed(mixed.drop("label"), labels)
+    least = stored(map_arrow(sets.join(mixed.select("class_id").distinct(), "class_id", "left_semi"), _least,
+                             "class_id long, least binary"), "least")
+    more = _similar(stored(_cross_pairs(mixed, classes, least), "candidates"), sets)
+    if not more.isEmpty():
+        known = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        labels = stored(components(known.unionByName(more)), "labels")
 
     named = classes.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left").select(
         "class_id", "first_id", F.coalesce("label", "class_id").alias("label"))

@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import __spark_entry__
 import corpus_pipeline
 from footfall.llm import langid, shards
@@ -56,5 +58,18 @@ def test_empty_and_odd_documents(spark, sf, odd_docs, no_docs):
         assert (count == 0) == (docs is no_docs)
 
 
+def test_clashing_columns_pass_unchanged(spark, sf, documents):
+    """Names that the stages use themselves, in either case: the values that come in go out."""
+    small = documents.where("doc_id < 60")
+    for number, names in enumerate((["score", "lang_pred", "bits_per_byte", "row", "u", "s", "copy", "size"],
+                                    ["Score", "Lang_Pred", "BITS_PER_BYTE", "column_0", "Block", "text_hash", "Copies", "key"])):
+        docs = small.withColumns({n: F.concat(F.lit(f"{n} of "), "doc_id") for n in names})
+        for _, stage in corpus_pipeline.STAGES[:-1][:1 if number else 4]:
+            docs = spark.createDataFrame(stage(spark, docs, sf).collect(), docs.schema)
+            assert docs.columns == documents.columns + names
+            rows = docs.collect()
+            assert rows and all(r[n] == f"{n} of {r.doc_id}" for r in rows for n in names)
+
+
 def test_registered():
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
