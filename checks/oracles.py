@@ -249,6 +249,13 @@ def _rollup(keys: str) -> str:
 JSON_TEXT = """'{' || concat_ws(',', '"url":"' || url || '"', '"video_id":"' || video_id || '"',
                                 '"play_id":"' || play_id || '"') || '}'"""
 
+def _stored(name: str, *columns: str) -> str:
+    key = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+    return f"""
+        SELECT '{name}' AS rollup, concat_ws('|', {key}) AS key, CAST(sum(pv) AS BIGINT) AS pv, count(DISTINCT user_id) AS uv
+        FROM olap GROUP BY ALL"""
+
+
 ORACLES = {
     "traffic_5m": sql(f"""
         SELECT {_windows('start_ms', 300_000)}, pv_amt, uv_amt, ses_amt FROM (
@@ -391,6 +398,14 @@ ORACLES = {
     "merged_bitmap_users": sql(f"""
         SELECT {day('event_time')} AS dt, release_channel, count(*) AS pv, count(DISTINCT user_id) AS uv
         FROM dwd GROUP BY 1, 2""", "dwd"),
+    "sparse_users_day": sql(f"""
+        SELECT {day('event_time')} AS dt, count(*) AS pv, count(DISTINCT user_id) AS uv FROM dwd GROUP BY 1""", "dwd"),
+    "stored_rollups": sql(" UNION ALL ".join([
+        _stored("province_1h", day("minute_ms"), trunk("minute_ms", 60), "province"),
+        _stored("page_30m", day("minute_ms"), trunk("minute_ms", 30), "page_type", "page_url"),
+        _stored("terminal_10m", day("minute_ms"), trunk("minute_ms", 10), "device_type", "release_channel"),
+        _stored("new_5m", day("minute_ms"), trunk("minute_ms", 5), "is_new"), _stored("day", day("minute_ms")),
+        _stored("region_new", "region", "is_new")]), "olap"),
     "merged_dwell_loads": sql("""
         SELECT user_id, session_id, url, load_time AS page_start_time, max(event_time) AS page_end_time
         FROM visits WHERE url IS NOT NULL GROUP BY ALL""", "visits"),

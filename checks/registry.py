@@ -6,6 +6,7 @@ Windows come out as text and no result holds maps, binaries or zone-dependent co
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +20,9 @@ from footfall.operators.dwell import page_visits
 from footfall.operators.latest import live_rows
 from footfall.operators.segments import mark_segments
 from footfall.operators.slices import Slicer, running, slice_hot_keys
-from footfall.plans import dashboards, dimensions, exploration, olap
+from footfall.plans import dashboards, dimensions, exploration, olap, traffic_states
 from footfall.plans.widen import detail, lookup_misses
-from footfall.sinks.partitions import retained
+from footfall.sinks.partitions import partition_days, retained, scratch_path
 from footfall.sources.events import ODS_DDL, good_records, parse_messages
 from footfall.sources.tables import parse_changes, parse_lines
 
@@ -320,6 +321,39 @@ def merged_bitmap_users(spark, sf_dir):
     return read_state(merge_state(loads, keys), keys).select(*keys, "pv", "uv")
 
 
+def sparse_users_day(spark, sf_dir):
+    """Users per day and channel where ids lie 100,000 apart: listed ids, in two loads that are merged."""
+    rows = samples.dwd(spark, sf_dir, users=True).select(
+        day_of(F.col("event_time")).alias("dt"), "release_channel", (F.col("user_id") * 100_000).alias("user_id"),
+        "session_id", "seq", F.lit(1).cast("long").alias("pv"))
+    keys = ["dt", "release_channel"]
+    loads = build_state(rows.where("seq % 2 = 0"), keys).unionByName(build_state(rows.where("seq % 2 = 1"), keys))
+    return read_state(merge_state(loads, keys), ["dt"]).select("dt", "pv", "uv")
+
+
+STORED_ROLLUPS = {
+    "province_1h": ["dt", "time_trunk_1h", "province"], "page_30m": ["dt", "time_trunk_30m", "page_type", "page_url"],
+    "terminal_10m": ["dt", "time_trunk_10m", "device_type", "release_channel"], "new_5m": ["dt", "time_trunk_5m", "is_new"],
+    "day": ["dt"], "region_new": ["region", "is_new"]}
+
+
+def stored_rollups(spark, sf_dir):
+    """Roll-ups read from stored states: two loads, every day compacted, then a third load."""
+    loaded = olap.traffic_olap(samples.dwd(spark, sf_dir, users=True, geo=True, pages=True))
+    path = scratch_path(spark, "traffic_states")
+    part = F.pmod(F.xxhash64("session_id"), F.lit(3))
+    for number in (0, 1):
+        traffic_states.store_load(loaded.where(F.coalesce(part, F.lit(0)) == number), number, path)
+    for day in partition_days(spark, f"{path}/day"):
+        traffic_states.compact_states(spark, path, day, upto=1)
+    traffic_states.store_load(loaded.where(part == 2), 2, path)
+    out = []
+    for name, dims in STORED_ROLLUPS.items():
+        key = F.concat_ws("|", *[F.coalesce(F.col(d).cast("string"), F.lit("")) for d in dims])
+        out.append(traffic_states.rollup(spark, path, dims).select(F.lit(name).alias("rollup"), key.alias("key"), "pv", "uv"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def merged_dwell_loads(spark, sf_dir):
     """Page intervals loaded in one-minute pieces and merged by greatest end."""
     visits = page_visits(
@@ -339,4 +373,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     retained_partitions, event_rows, change_rows, line_rows, event_clock, merged_ranking, geohash_cells, time_slices, url_parts, properties_json, user_lookup, area_lookup, page_lookup,
     area_hierarchy, latest_user_changes, promotion_loads, page_uv_5m, marked_visits, play_parts,
     running_sum_by_gender, running_loads_by_session, merged_bitmap_users, merged_dwell_loads,
+    sparse_users_day, stored_rollups,
 )}

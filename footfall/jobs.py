@@ -21,6 +21,7 @@ if __name__ == "__main__":
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from footfall.plans import dashboards, dimensions, olap  # noqa: E402
+from footfall.plans.traffic_states import compact_states, store_load, sweep_states  # noqa: E402
 from footfall.session import build_session  # noqa: E402
 from footfall.sinks.partitions import RETENTION_DAYS, compact_day, drop_days_before  # noqa: E402
 from footfall.sinks.snapshots import current, publish  # noqa: E402
@@ -106,6 +107,13 @@ def traffic_olap(spark, source: dict, out: str, checkpoint: str, trigger: dict |
     return windows.start_table(rows, out, checkpoint, "dt", trigger)
 
 
+def traffic_states(spark, source: dict, out: str, checkpoint: str, trigger: dict | None = None,
+                   delay: str = "0 seconds") -> StreamingQuery:
+    """Closed minutes under ``out/minute`` and states at every stored grain beside it, one load per batch."""
+    rows = windows.traffic_olap(read_dwd_stream(spark, TRAFFIC_COLUMNS, **source), delay)
+    return windows.start_batches(rows, lambda batch, number: store_load(batch, number, out), checkpoint, trigger)
+
+
 def page_dwell(spark, source: dict, out: str, checkpoint: str, trigger: dict | None = None,
                delay_ms: int = 0) -> StreamingQuery:
     """Intervals under ``out/intervals``, rows that came too late under ``out/late``."""
@@ -154,6 +162,13 @@ def compact(spark, table: str, path: str, day: str, out: str) -> None:
     compact_day(spark, path, None if day == "none" else day, MERGES[table], out)
 
 
+def compact_traffic_states(spark, path: str, day: str, upto: int | None = None, keep_ms: int | None = None) -> None:
+    """Merge the loads of a day at every grain in place; ``keep_ms`` deletes what was merged longer ago than that."""
+    compact_states(spark, path, None if day == "none" else day, upto)
+    if keep_ms is not None:
+        sweep_states(spark, path, keep_ms)
+
+
 def retire(spark, table: str, path: str, today: str) -> None:
     """Drop the days of a table that are past its retention, and rows without a day that were loaded before it."""
     first = date.fromisoformat(today) - timedelta(days=RETENTION_DAYS[table])
@@ -162,7 +177,8 @@ def retire(spark, table: str, path: str, today: str) -> None:
 
 JOBS = {f.__name__: f for f in (
     widen_events, bad_events, bad_lines, sync_user_dim, sync_video_dim, build_geo_dim, traffic_5m, traffic_today, promotion_today, top_pages,
-    top_pages_per_window, traffic_olap, page_dwell, video_segments, running_sum_then_window, compact, retire)}
+    top_pages_per_window, traffic_olap, traffic_states, page_dwell, video_segments, running_sum_then_window, compact,
+    compact_traffic_states, retire)}
 
 
 def main(argv: list[str]) -> None:

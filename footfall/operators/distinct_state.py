@@ -1,18 +1,30 @@
-"""Mergeable distinct counts: exact by bitmaps, approximate by HyperLogLog sketches.
+"""Mergeable distinct counts: exact by sets of ids, approximate by HyperLogLog sketches.
 
-A state table has one row per (group, bitmap bucket): a row sum, the bits of the ids of that bucket (32,768 ids in
-4 KB, whatever the group's size) and a sketch of the sessions. Rows of one key merge by sum, bit-or and sketch union,
-so states roll up to any coarser group without the detail, and partial loads merge on read.
+A state table has one row per (group, bucket of 32,768 ids): a row sum, the ids seen and a sketch of the sessions. The
+ids of a bucket are a sorted list of 16-bit positions while there are at most ``FEW``, and a bitmap of 4 KB beyond; so
+sparse ids cost a few bytes each, and a full bucket one bit each. Rows of one key merge by sum, set union and sketch
+union, so states roll up to any coarser group without the detail, and partial loads merge on read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKET = "uv_bucket"
+FEW = 1024
+MEASURES_DDL = f"{BUCKET} BIGINT, pv BIGINT, uv_ids ARRAY<SMALLINT>, uv_bits BINARY, session_hll BINARY"
+_ENTRY = "STRUCT<pv: BIGINT, hll: BINARY, bits: BINARY, id: SMALLINT>"
+
+
+def _few(bits: Column) -> Column:
+    return F.bitmap_count(bits) <= FEW
+
+
+def _ids(found: Column, few: Column) -> Column:
+    return F.when(few, F.array_sort(found))
 
 
 def build_state(rows: DataFrame, by: Sequence[str], pv: str = "pv", user: str = "user_id",
@@ -22,23 +34,44 @@ def build_state(rows: DataFrame, by: Sequence[str], pv: str = "pv", user: str =
         *by, F.col(pv).alias("pv"), F.col(session).alias("__session"),
         F.bitmap_bucket_number(F.col(user)).alias(BUCKET),
         F.bitmap_bit_position(F.col(user)).alias("__bit"))
-    return keyed.groupBy(*by, BUCKET).agg(
+    sets = keyed.groupBy(*by, BUCKET).agg(
         F.sum("pv").alias("pv"),
-        F.bitmap_construct_agg("__bit").alias("uv_bits"),
+        F.collect_set(F.col("__bit").cast("smallint")).alias("__ids"),
+        F.bitmap_construct_agg("__bit").alias("__bits"),
         F.hll_sketch_agg("__session").alias("session_hll"))
+    few = _few(F.col("__bits"))
+    return sets.select(*by, BUCKET, "pv", _ids(F.col("__ids"), few).alias("uv_ids"),
+                       F.when(~few, F.col("__bits")).alias("uv_bits"), "session_hll")
 
 
 def merge_state(states: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Merge states that share a key, or roll them up to the coarser grain ``by``."""
-    return states.groupBy(*by, BUCKET).agg(
-        F.sum("pv").alias("pv"),
-        F.bitmap_or_agg("uv_bits").alias("uv_bits"),
-        F.hll_union_agg("session_hll").alias("session_hll"))
+    """Merge states that share a key, or roll them up to the coarser grain ``by``.
+
+    Listed ids become rows, which are combined before the shuffle; a bucket that anywhere is a bitmap stays one. The
+    second aggregation, by the same keys, needs no further shuffle.
+    """
+    none = F.lit(None)
+    whole = F.struct(F.col("pv"), F.col("session_hll").alias("hll"), F.col("uv_bits").alias("bits"), none.alias("id"))
+    single = F.transform(F.coalesce("uv_ids", F.array().cast("array<smallint>")), lambda i: F.struct(
+        none.alias("pv"), none.alias("hll"), none.alias("bits"), i.alias("id")).cast(_ENTRY))
+    entries = states.select(*by, BUCKET, F.explode(F.concat(F.array(whole.cast(_ENTRY)), single)).alias("e"))
+    sums = entries.select(*by, BUCKET, "e.*").groupBy(*by, BUCKET).agg(
+        F.sum("pv").alias("pv"), F.hll_union_agg("hll").alias("session_hll"),
+        F.max(F.col("bits").isNotNull()).alias("__dense"), F.bitmap_or_agg("bits").alias("__bits"),
+        F.collect_set("id").alias("__ids"), F.bitmap_construct_agg(F.col("id").cast("long")).alias("__made"))
+    sides = F.when(F.col("__dense"), F.array("__bits", "__made")).otherwise(F.array("__made"))
+    united = sums.withColumn("__side", F.explode(sides)).groupBy(*by, BUCKET).agg(
+        F.first("pv").alias("pv"), F.first("session_hll").alias("session_hll"), F.first("__dense").alias("__dense"),
+        F.first("__ids").alias("__ids"), F.bitmap_or_agg("__side").alias("__bits"))
+    few = ~F.col("__dense") & _few(F.col("__bits"))
+    return united.select(*by, BUCKET, "pv", _ids(F.col("__ids"), few).alias("uv_ids"),
+                         F.when(~few, F.col("__bits")).alias("uv_bits"), "session_hll")
 
 
 def read_state(states: DataFrame, by: Sequence[str]) -> DataFrame:
     """``pv``, exact ``uv`` and estimated ``session_cnt`` per group."""
+    ids = F.coalesce(F.size("uv_ids"), F.bitmap_count("uv_bits"))
     return merge_state(states, by).groupBy(*by).agg(
         F.sum("pv").alias("pv"),
-        F.sum(F.when(F.col(BUCKET).isNotNull(), F.bitmap_count("uv_bits")).otherwise(0)).alias("uv"),
+        F.sum(F.when(F.col(BUCKET).isNotNull(), ids).otherwise(0)).alias("uv"),
         F.hll_sketch_estimate(F.hll_union_agg("session_hll")).alias("session_cnt"))

@@ -72,7 +72,7 @@ def traffic_rollup(loaded: DataFrame, dims: Sequence[str]) -> DataFrame:
 def traffic_state(loaded: DataFrame, dims: Sequence[str]) -> DataFrame:
     """A stored roll-up that merges with others: user bitmaps and session sketches.
 
-    For grains with many users per group (day, hour by province): a bitmap bucket takes 4 KB however few bits are set.
+    For grains coarser than the minute rows; ``plans.traffic_states`` stores the ones in use and reads the cheapest.
     """
     return build_state(loaded, dims)
 

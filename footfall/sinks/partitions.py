@@ -8,6 +8,7 @@ neither a duplicate nor a remnant.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 
@@ -100,6 +101,24 @@ def modified_ms(spark: SparkSession, path: str) -> int:
     return files.getFileStatus(where).getModificationTime()
 
 
+def bytes_in(spark: SparkSession, path: str) -> int:
+    files, where = _hadoop_dir(spark, path)
+    return files.getContentSummary(where).getLength()
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    """An empty file, there at once or not at all."""
+    files, where = _hadoop_dir(spark, path)
+    files.create(where).close()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the folder that driver and executors share (``spark.checkpoint.dir``); where none is set, as in tests,
+    below the warehouse."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{folder.rstrip('/')}/footfall/{name}-{uuid.uuid4().hex}"
+
+
 def now_ms() -> int:
     return time.time_ns() // 1_000_000
 

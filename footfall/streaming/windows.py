@@ -80,7 +80,7 @@ def start_table(rows: DataFrame, path: str, checkpoint: str, day: str | None = N
     def step(batch: DataFrame, batch_id: int) -> None:
         write_batch(prepare(batch) if prepare else batch, path, batch_id, day)
 
-    return _start(rows, step, checkpoint, trigger)
+    return start_batches(rows, step, checkpoint, trigger)
 
 
 def start_ranking(page_uv: DataFrame, tables: list[str], checkpoint: str, n: int,
@@ -98,7 +98,7 @@ def start_ranking(page_uv: DataFrame, tables: list[str], checkpoint: str, n: int
         for other in tables[1:]:
             publish(first, other, batch_id)
 
-    return _start(page_uv, step, checkpoint, trigger)
+    return start_batches(page_uv, step, checkpoint, trigger)
 
 
 def start_ranking_per_window(page_uv: DataFrame, path: str, checkpoint: str, n: int,
@@ -113,7 +113,8 @@ def start_console(rows: DataFrame, trigger: dict | None = None) -> StreamingQuer
         .trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _start(rows: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str,
-           trigger: dict | None) -> StreamingQuery:
+def start_batches(rows: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """Run ``step`` on every batch of closed windows."""
     return rows.writeStream.outputMode("append").foreachBatch(step).option("checkpointLocation", checkpoint) \
         .trigger(**(trigger or {"availableNow": True})).start()
