@@ -83,24 +83,24 @@ ORACLES: dict[str, str] = {
         least_of AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
         SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
         FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least_of ON x = d.doc_id""",
-    "op6_multiset_fingerprints": """
+    "op6_multiset_fingerprints": r"""
         WITH t AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
         following AS (SELECT doc_id, coalesce(lead(doc_id) OVER (ORDER BY doc_id), min(doc_id) OVER ()) AS next_id FROM t),
         edits AS (
             SELECT a.doc_id, a.n, next_id, a.text, substr(a.text, 1, a.n - a.n // 2) || substr(b.text, 1, a.n // 2) AS edited
             FROM t a JOIN following f ON a.doc_id = f.doc_id JOIN t b ON b.doc_id = f.next_id),
         texts AS (SELECT doc_id, 0 AS which, text FROM edits UNION ALL SELECT doc_id, 1, edited FROM edits),
-        lines AS (SELECT doc_id, which, unnest(string_split(text, chr(10))) AS p FROM texts),
-        units AS (SELECT doc_id, which, unnest(CASE WHEN length(p) > 1000 THEN string_split(p, '. ') ELSE [p] END) AS u FROM lines),
-        digests AS (SELECT doc_id, which, sha256(u) AS d FROM units WHERE u <> ''),
-        blocks AS (SELECT doc_id, which, k, sha256(k || ':' || d) AS h FROM digests, (SELECT unnest(range(4)) AS k)),
+        units AS (SELECT doc_id, which, unnest(regexp_extract_all(
+                      text, '(?:[^ \t\n]*[^ \t\n.][ \t]+){0,7}[^ \t\n]+')) AS u FROM texts),
+        digests AS (SELECT doc_id, which, sha256(u) AS d FROM units),
+        blocks AS (SELECT doc_id, which, k, sha256(k || ':' || d) AS h FROM digests, (SELECT unnest(range(6)) AS k)),
         numbers AS (SELECT doc_id, which, k, i, CAST('0x' || substr(h, CAST(1 + 15 * i AS INTEGER), 15) AS BIGINT) AS v
                     FROM blocks, (SELECT unnest(range(4)) AS i)),
         sums AS (SELECT doc_id, which, k * 20 + i * 5 + j AS lane,
                         CAST(sum(2 * ((v >> CAST(12 * j AS INTEGER)) & 4095) - 4095) AS BIGINT) AS s
                  FROM numbers, (SELECT unnest(range(5)) AS j) GROUP BY ALL),
         lanes AS (SELECT t.doc_id, w.which, l.lane, coalesce(s, 0) AS s
-                  FROM t, (SELECT unnest(range(2)) AS which) w, (SELECT unnest(range(80)) AS lane) l
+                  FROM t, (SELECT unnest(range(2)) AS which) w, (SELECT unnest(range(120)) AS lane) l
                        LEFT JOIN sums ON sums.doc_id = t.doc_id AND sums.which = w.which AND sums.lane = l.lane),
         prints AS (SELECT doc_id, which, string_agg(format('{:08x}', s & 4294967295), '' ORDER BY lane) AS print,
                           CAST(sum(s * s) AS DOUBLE) AS norm FROM lanes GROUP BY ALL),
