@@ -29,11 +29,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/footfall/{name}-{uuid.uuid4().hex}"
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
+def stored(frame: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``frame`` written once and read again."""
     spark = frame.sparkSession
     path = fresh_path(spark, name)
-    frame.write.parquet(path)
+    frame.write.option("compression", compression).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
