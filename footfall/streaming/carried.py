@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from footfall.operators.dwell import open_pages, order_events, visits_of
+from footfall.operators.dwell import KEY as SESSION
+from footfall.operators.dwell import TTL_MS, open_pages, order_events, visits_of
 from footfall.operators.segments import KEY as PLAY
 from footfall.operators.segments import mark_segments, play_state
 from footfall.operators.slices import Slicer, running_state
@@ -57,15 +58,23 @@ def dwell_batch(dwd: DataFrame, batch_id: int, path: str, ties: tuple[str, ...]
                 cut: Slicer | None = None, delay_ms: int = 0) -> None:
     """Add one batch's page intervals to ``path/intervals``; ``merge_max`` reads them.
 
-    Events of one session and time come in the order of their positions in the source.
+    Events of one session and time come in the order of their positions in the source. Open pages lie in buckets by
+    session: those of the batch's sessions are read and written, and only these sessions' pages go through the
+    windows. Lapsed pages leave with the next batch that touches their bucket; until then they are not continued.
     """
     spark = dwd.sparkSession
     rows, clock = _in_order(placed_in(dwd, batch_id), "event_time", path, batch_id, delay_ms)
-    ordered = order_events(page_rows(rows, ties), PAGE_COLUMNS, ties, cut=cut,
-                           carried=current(spark, f"{path}/open", below=batch_id)).persist()
+    pages = page_rows(rows, ties)
+    touched = buckets_of(pages, SESSION)
+    schema = open_pages(order_events(spark.createDataFrame([], pages.schema), PAGE_COLUMNS, ties)).schema
+    known = read_buckets(spark, f"{path}/open", schema, batch_id, touched)
+    mine = pages.select(F.col(SESSION).alias("__session")).distinct()
+    same = F.col(SESSION).eqNullSafe(F.col("__session"))
+    ordered = order_events(pages, PAGE_COLUMNS, ties, cut=cut, carried=known.join(mine, same, "left_semi")).persist()
     try:
         write_batch(dwell_intervals(visits_of(ordered, PAGE_COLUMNS)), f"{path}/intervals", batch_id)
-        publish(open_pages(ordered, clock), f"{path}/open", batch_id)
+        silent = known.join(mine, same, "left_anti").where(clock - F.col("event_time") < F.lit(TTL_MS))
+        write_buckets(open_pages(ordered, clock).unionByName(silent), f"{path}/open", SESSION, batch_id, touched)
     finally:
         ordered.unpersist()
 

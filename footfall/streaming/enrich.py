@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from footfall.plans.widen import WIDE_COLUMNS, detail, look_up_users, widen, with_all_fields
-from footfall.sinks.partitions import exists, write_batch
+from footfall.sinks.partitions import exists, read_batches, write_batch
 from footfall.sinks.snapshots import newest_version, read_version
 from footfall.sources.events import POSITION, bad_records, good_records, placed_in
 
@@ -50,7 +50,8 @@ def enrich_batch(spark: SparkSession, parsed: DataFrame, batch_id: int, tables:
     """One micro-batch: evaluated once, written to the wide stream and the detail table.
 
     Users that are missing are looked up again, in newer versions of the dimension only, ``attempts`` times in all and
-    ``wait_s`` seconds apart; then their events are written without a user. The versions used are written down
+    ``wait_s`` seconds apart; then their events are written without a user. Names so given up are remembered with the
+    version they were missing in, and not waited for again until there is a newer one. The versions used are written down
     before any row is, and a repeat of the batch uses the same, so both outputs always hold the same rows. A dimension
     without any version gives NULLs.
     """
@@ -67,13 +68,15 @@ def enrich_batch(spark: SparkSession, parsed: DataFrame, batch_id: int, tables:
         rows = wide
         if noted is None:
             for _ in range(1, tables.attempts):
-                if _missed(rows).isEmpty():
+                if _not_given_up(rows, used["users"][-1], batch_id, tables).isEmpty():
                     break
                 sleep(tables.wait_s)
                 newest = newest_version(spark, tables.users)
                 if newest != used["users"][-1]:
                     used["users"].append(newest)
                     rows = _asked_again(spark, rows, newest, tables)
+            given_up = _not_given_up(rows, used["users"][-1], batch_id, tables)
+            write_batch(given_up, _given_up(used["users"][-1], tables), batch_id, day=None)
             spark.createDataFrame([(json.dumps(used),)], "value STRING").coalesce(1).write.mode("overwrite").text(note)
         else:
             for version in used["users"][1:]:
@@ -91,6 +94,18 @@ def _missed(rows: DataFrame) -> DataFrame:
     return rows.where(_is_missed())
 
 
+def _given_up(version: int | None, tables: EnrichTables) -> str:
+    """Where the names are that are missing in a version of the users. A version's names are read with it alone."""
+    return f"{tables.notes}_unknown/users={version}"
+
+
+def _not_given_up(rows: DataFrame, version: int | None, batch_id: int, tables: EnrichTables) -> DataFrame:
+    """The missing names that no earlier batch has given up in this version."""
+    names = _missed(rows).select("username").distinct()
+    known = read_batches(rows.sparkSession, _given_up(version, tables), "username STRING", before=batch_id)
+    return names if known is None else names.join(known, "username", "left_anti")
+
+
 def _asked_again(spark: SparkSession, rows: DataFrame, version: int, tables: EnrichTables) -> DataFrame:
     again = look_up_users(_missed(rows), read_version(spark, tables.users, version))
     return rows.where(~_is_missed()).unionByName(again)

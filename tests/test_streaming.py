@@ -260,6 +260,50 @@ def test_enrich_asks_again_within_the_batch(monkeypatch, widening):
     assert widening.held() == sorted(wanted, key=str)
 
 
+def test_enrich_waits_once_per_name_and_version(monkeypatch, widening):
+    """A name that was given up is waited for again only when there is a newer version of the users."""
+    waits = []
+    monkeypatch.setattr("footfall.streaming.enrich.sleep", waits.append)
+    widening.know(0, a=1)
+    widening.batch(0, "a", "b", "c", None)
+    assert len(waits) == 2
+    widening.batch(1, "a", "b", "b", None)
+    widening.batch(2, "c", "b")
+    assert len(waits) == 2
+    widening.batch(3, "b", "d")
+    assert len(waits) == 4, "a name not asked for before"
+    widening.know(5, a=1, c=3)
+    widening.batch(4, "b", "c", "d")
+    assert len(waits) == 6, "a newer version"
+    widening.batch(5, "b", "c", "d")
+    widening.batch(4, "b", "c", "d")
+    widening.batch(0, "a", "b", "c", None)
+    assert len(waits) == 6, "repeats do not wait"
+    users = {(name, number): user for name, user, number in widening.held()}
+    assert users["a", 1] == 1 and users["c", 2] is None and users["c", 4] == users["c", 5] == 3 and users["b", 5] is None
+    assert len(widening.held()) == 4 + 4 + 2 + 2 + 3 + 3
+
+
+def test_open_pages_of_other_sessions_are_left_alone(spark, tmp_path):
+    """A batch of ten sessions writes at most ten of the buckets that hold two thousand; all results are as in one batch."""
+    ddl = ("user_id long, session_id string, event_id string, event_time long, properties map<string,string>, gps_province "
+           "string, gps_city string, gps_region string")
+    minute = 60_000
+    first = [(k, f"s{k}", "page_load", minute, {"url": f"/{k}"}, None, None, None) for k in range(2000)]
+    then = [(k, f"s{k}", "page_load", 5 * minute, {"url": "/next"}, None, None, None) for k in range(10)]
+    last = [(k, f"s{k}", "add_cart", 9 * minute, {"url": "/next"}, None, None, None) for k in range(5, 15)]
+    last += [(1999, "s1999", "add_cart", 50 * minute, {"url": "/1999"}, None, None, None)]
+    frames = [spark.createDataFrame(rows, ddl) for rows in (first, then, last)]
+    for number, batch in enumerate(frames):
+        carried.dwell_batch(batch, number, str(tmp_path / "out"), ties=())
+        carried.dwell_batch(batch, number, str(tmp_path / "out"), ties=())
+    buckets = len(list((tmp_path / "out" / "open" / "version=1").glob("bucket=*")))
+    assert 0 < buckets <= 10 and len(list((tmp_path / "out" / "open" / "version=0").glob("bucket=*"))) <= 64
+    found = olap.merge_max(spark.read.parquet(str(tmp_path / "out" / "intervals")), olap.DWELL_KEYS, "page_end_time")
+    whole = frames[0].unionByName(frames[1]).unionByName(frames[2])
+    assert rows_of(found, *olap.DWELL_KEYS, "page_end_time") == rows_of(olap.page_dwell(whole), *olap.DWELL_KEYS, "page_end_time")
+
+
 def test_enrich_without_dimensions(widening):
     widening.batch(0, "a", None)
     assert widening.held() == [("a", None, 0), (None, None, 0)]
