@@ -134,7 +134,11 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that contain no item. No row is shuffled."""
+    """The rows of ``docs``, all columns, that contain no item. No row is shuffled.
+
+    A NULL or empty text, or one without a word, contains nothing and stays. Repeated rows stay or go together. Without
+    items, or where no item has a word, all rows stay; no rows give no rows.
+    """
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema])
     position = docs.columns.index("text")
     for shared_index in _indexes(items):

@@ -310,5 +310,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def accepted(identified: DataFrame) -> DataFrame:
-    """Rows whose text has a letter and is coded by some language in fewer bits than its bytes have."""
+    """Rows whose text has a letter and is coded by some language in fewer bits than its bytes have.
+
+    So NULL and empty texts go, and all rows if no language was learned; repeated rows stay or go together.
+    """
     return identified.where((F.col("lang_pred") != UNKNOWN) & (F.col("bits_per_byte") < RAW_BITS))

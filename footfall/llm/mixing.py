@@ -128,7 +128,11 @@ def mixture(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, each as often as the mixture takes it; no text is shuffled."""
+    """The rows of ``docs``, all columns, each as often as the mixture takes it; no text is shuffled.
+
+    A NULL or empty text, or one without a word, has no size and is not taken. A NULL source is a source of its own, the last
+    one. No rows give no rows.
+    """
     kept = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
     rows = kept.select("row", F.col("row.source").cast("string").alias("source"), random_number("row.doc_id").alias("u"))
     taken = _with_plan(rows, plan(_sized(docs))).withColumn("copy", F.explode(F.array_repeat(F.lit(0), _copies().cast("int"))))
