@@ -4,9 +4,14 @@ Size is counted in words. Sources, ordered by code point with NULL last, weigh 1
 by weight; a target stops at ``MOST`` times its source's size and the excess is shared again until none is above.
 
 With target / size = whole + share, every document of the source is taken ``whole`` times for certain, and once more
-with inclusion probability ``share``. The extra takes are a fixed-size sample: documents are ranked by their random
-odds u / (1 - u) divided by the inclusion odds share / (1 - share), and those of least rank are taken until the
-source's remaining words are reached; the last one is taken if that comes nearer. u is a hash of the id, so reruns agree.
+with an inclusion probability p of its own. Short documents are likelier than long ones, so that a source's words come
+from more documents: with length = n / (n + ``MIDDLE``) of a document of n words, in 1,024ths, and its mean over the
+source's words, p = share + min(share, 1 - share) * (mean - length). As lengths are below 1, p lies strictly between
+0 and 1, and the words expected are share of the source's, exactly its rest.
+
+The extra takes are a fixed-size sample: documents are ranked by their random odds u / (1 - u) divided by the inclusion
+odds p / (1 - p), and those of least rank are taken until the source's remaining words are reached; the last one is
+taken if that comes nearer. u is a hash of the id, so reruns agree.
 
 The rank at which a source's words are reached is found without ordering a source: words are summed in 4,096 bins of
 the rank, then in 4,096 bins of the bin that crosses the target, then by document in what is left of that, one
@@ -22,6 +27,7 @@ from footfall.llm.storage import stored
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
+MIDDLE = 256
 SEED = "mix"
 BINS = 4096
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,11 +44,16 @@ def random_number(doc_id: str | Column) -> Column:
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
+def _length() -> Column:
+    """How long a document is, from 0 to 1,023; integers, so that sums do not depend on their order."""
+    return F.expr(f"(size * 1024) div (size + {MIDDLE})")
+
+
 def _targets(sizes: DataFrame) -> DataFrame:
-    """(source, source_size) -> with target. One row per source is ordered; only sums reach the driver."""
+    """(source, source_size, lengths) -> with target. One row per source is ordered; only sums reach the driver."""
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (place % len(WEIGHTS) + 1).cast("int"))
-    weighed = stored(sizes.select("source", "source_size", weight.alias("weight")), "weights")
+    weighed = stored(sizes.select("source", "source_size", "lengths", weight.alias("weight")), "weights")
     most = F.col("source_size") * MOST
     total, weights = weighed.agg(F.sum("source_size"), F.sum("weight")).first()
     level, capped = (total / weights if weights else 0.0), -1
@@ -54,12 +65,19 @@ def _targets(sizes: DataFrame) -> DataFrame:
         if n == capped or not open_weight:
             break
         capped, level = n, (total - stopped) / open_weight
-    return weighed.select("source", "source_size", F.least(most.cast("double"), F.col("weight") * F.lit(level)).alias("target"))
+    return weighed.select("source", "source_size", "lengths",
+                          F.least(most.cast("double"), F.col("weight") * F.lit(level)).alias("target"))
+
+
+def _inclusion() -> Column:
+    """A document's inclusion probability from its size and its source's share and mean length."""
+    lean = (F.col("mean_length") - _length()) / 1024.0
+    return F.col("share") + F.least(F.col("share"), 1 - F.col("share")) * lean
 
 
 def _rank() -> Column:
     """The Pareto rank q, as q / (1 + q), which orders alike and lies between 0 and 1."""
-    odds = (F.col("u") / (1 - F.col("u"))) / (F.col("share") / (1 - F.col("share")))
+    odds = (F.col("u") / (1 - F.col("u"))) / (_inclusion() / (1 - _inclusion()))
     return F.when(F.col("share") > 0, odds / (1 + odds))
 
 
@@ -73,18 +91,20 @@ def _crossing(rows: DataFrame, cell: Column) -> DataFrame:
 
 
 def plan(sized: DataFrame) -> DataFrame:
-    """(source, size, u) per document -> per source: source_size, target, whole, share, cutoff, with_cutoff.
+    """(source, size, u) per document -> per source: source_size, target, whole, share, mean_length, cutoff, with_cutoff.
 
     A document is taken ``whole`` times, and once more if its rank is below ``cutoff``, or equal to it where
     ``with_cutoff`` is set.
     """
-    sources = _targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
+    lengths = F.sum((F.col("size") * _length()).cast("decimal(19,0)")).alias("lengths")
+    sources = _targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), lengths))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     sources = sources.withColumn("whole", F.floor(ratio)).withColumn("share", ratio - F.col("whole")).withColumn(
         "rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    sources = stored(sources, "sources")
+    mean = F.when(F.col("source_size") > 0, F.col("lengths").cast("double") / F.col("source_size")).otherwise(0.0)
+    sources = stored(sources.withColumn("mean_length", mean).drop("lengths"), "sources")
 
-    part = sources.where("share > 0").select(F.col("source").alias("s"), "share", "rest")
+    part = sources.where("share > 0").select(F.col("source").alias("s"), "share", "mean_length", "rest")
     ranked = sized.join(part, F.col("source").eqNullSafe(F.col("s"))).select("source", "rest", "size", _rank().alias("rank"))
     ranked = stored(ranked, "ranked")
 
@@ -130,10 +150,11 @@ def mixture(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, each as often as the mixture takes it; no text is shuffled.
 
-    A NULL or empty text, or one without a word, has no size and is not taken. A NULL source is a source of its own, the last
-    one. No rows give no rows.
+    A NULL or empty text, or one without a word, has no size; its row is copied like the others. A NULL source is a source of
+    its own, the last one. No rows give no rows.
     """
     kept = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
-    rows = kept.select("row", F.col("row.source").cast("string").alias("source"), random_number("row.doc_id").alias("u"))
+    rows = kept.select("row", F.col("row.source").cast("string").alias("source"), word_count("row.text").alias("size"),
+                       random_number("row.doc_id").alias("u"))
     taken = _with_plan(rows, plan(_sized(docs))).withColumn("copy", F.explode(F.array_repeat(F.lit(0), _copies().cast("int"))))
     return taken.select("row.*")

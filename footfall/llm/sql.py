@@ -49,6 +49,7 @@ ORACLES: dict[str, str] = {
                        / 281474976710656::DOUBLE AS u FROM documents),
         sources AS (
             SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+                   CASE WHEN sum(size) > 0 THEN CAST(sum(size * ((size * 1024) // (size + 256))) AS DOUBLE) / sum(size) END AS mean_length,
                    (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM sized GROUP BY source),
         levels AS (
             SELECT 0 AS round, (SELECT CAST(sum(source_size) AS DOUBLE) / sum(weight) FROM sources) AS level
@@ -61,10 +62,12 @@ ORACLES: dict[str, str] = {
         parts AS (
             SELECT *, floor(target / source_size) AS whole, target / source_size - floor(target / source_size) AS share,
                    target - floor(target / source_size) * source_size AS rest FROM targets),
-        ranked AS (
-            SELECT doc_id, size, source_size, target, whole, share, rest, p.source,
-                   CASE WHEN share > 0 THEN (u / (1 - u)) / (share / (1 - share)) END AS q
+        chances AS (
+            SELECT doc_id, size, u, source_size, target, whole, share, rest, p.source,
+                   share + least(share, 1 - share) * ((mean_length - (size * 1024) // (size + 256)) / 1024) AS chance
             FROM sized s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source),
+        ranked AS (
+            SELECT *, CASE WHEN share > 0 THEN (u / (1 - u)) / (chance / (1 - chance)) END AS q FROM chances),
         placed AS (
             SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q / (1 + q)) AS upto,
                    sum(size) OVER (PARTITION BY source, q) AS own FROM ranked)

@@ -27,6 +27,8 @@ def brute(rows):
     taken = [0] * len(rows)
     for source in order:
         own = [i for i, r in enumerate(rows) if r[2] == source]
+        length = {i: size[i] * 1024 // (size[i] + 256) for i in own}
+        mean = sum(size[i] * length[i] for i in own) / total[source] if total[source] else 0.0
         ratio = target[source] / total[source] if total[source] else 0.0
         whole = int(ratio)
         share, rest = ratio - whole, target[source] - whole * total[source]
@@ -36,7 +38,8 @@ def brute(rows):
             if share > 0:
                 digest = hashlib.md5(f"mix:{'' if rows[i][0] is None else rows[i][0]}".encode()).hexdigest()
                 u = (int(digest[:12], 16) + 0.5) / 2 ** 48
-                q = (u / (1 - u)) / (share / (1 - share))
+                p = share + min(share, 1 - share) * ((mean - length[i]) / 1024)
+                q = (u / (1 - u)) / (p / (1 - p))
                 ranked[q / (1 + q)].append(i)
         before = 0
         for rank in sorted(ranked):
@@ -83,6 +86,23 @@ def test_small_source_is_capped(spark):
     assert abs(sum(taken[i] for i in range(100)) - (5012 - 36)) <= 25
 
 
+def test_rates_match_inclusion_probabilities(spark):
+    """Documents of one source differ in inclusion probability; the rates at which they are taken follow it."""
+    sizes = (8, 128, 1024)
+    rows = [(i, "w " * sizes[i % 3], "a") for i in range(6000)] + [(i, "w " * 1000, "b") for i in range(9000, 10500)]
+    found = mixing.mixture(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)).collect()
+    own = [r for r in found if r.doc_id < 9000]
+    share = own[0].target / own[0].source_size
+    assert 0 < share < 1
+    length = {n: n * 1024 // (n + 256) for n in sizes}
+    mean = sum(n * length[n] for n in sizes) / sum(sizes)
+    wanted = {n: share + min(share, 1 - share) * (mean - length[n]) / 1024 for n in sizes}
+    rates = {n: sum(r.copies for r in own if r.size == n) / 2000 for n in sizes}
+    assert wanted[8] > wanted[128] + 0.05 and wanted[128] > wanted[1024] + 0.05
+    assert all(abs(rates[n] - wanted[n]) < 0.035 for n in sizes), (rates, wanted)
+    assert abs(sum(r.taken for r in own) - own[0].target) <= 512 + 1
+
+
 def test_rows_are_repeated(documents):
     copies = {r.doc_id: r.copies for r in mixing.mixture(documents).collect()}
     mixed = mixing.mix(documents)
