@@ -1,9 +1,10 @@
 """Subword lattice likelihood of texts, beside a plain word unigram.
 
 The pieces are those of an existing vocabulary, together with the 256 single bytes, so that every text has a
-segmentation. A piece's probability is learned from the training texts: the expected number of its uses over all
-segmentations, ``ROUNDS`` rounds of expectation maximisation from scores that the vocabulary's order gives, plus one.
-Words are put in lower case and begin with the vocabulary's word mark; an end token closes a text.
+segmentation. A piece's probability is learned from the training texts by expectation maximisation: its expected number
+of uses over all segmentations, plus one, from scores that the vocabulary's order gives. Rounds go on until one adds
+less than ``TOLERANCE`` to the training words' mean log probability (natural log). Words are put in lower case and begin
+with the vocabulary's word mark; an end token closes a text.
 
 A word's probability is the sum over all its segmentations of the product of the pieces' probabilities, by forward
 recursion in log space over the word's bytes. As no piece crosses a word's beginning, a text's marginal probability is
@@ -31,7 +32,7 @@ from footfall.llm.words import chunks, mix, odd_numbers, text_buffer, word_spans
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 FREQUENT = 1_000_000
-ROUNDS = 1
+TOLERANCE = 0.01
 _LOG10 = np.log(10.0)
 _BATCH_CELLS = 1 << 20
 _STEP = np.uint64(odd_numbers(301, 1)[0])
@@ -150,12 +151,14 @@ class Lattice:
             out[own] = alpha[np.arange(len(own)), lengths]
         return out
 
-    def expected(self, words: list[bytes], weights: np.ndarray) -> np.ndarray:
-        """Expected uses of every piece over the words' segmentations, the words counted by weight."""
-        total = np.zeros(len(self.pieces))
+    def expected(self, words: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, float]:
+        """Expected uses of every piece over the words' segmentations, the words counted by weight, and the sum of the
+        words' log probabilities by weight."""
+        total, gained = np.zeros(len(self.pieces)), 0.0
         for own, matrix, lengths in self._blocks(words):
             alpha, steps = self._forward(self._uses(matrix, lengths), *matrix.shape)
             whole = alpha[np.arange(len(own)), lengths]
+            gained += float(whole @ weights[own])
             beta = np.full(alpha.shape, -np.inf)
             beta[np.arange(len(own)), lengths] = 0.0
             for k, w, s, p in reversed(steps):
@@ -163,7 +166,7 @@ class Lattice:
                 np.logaddexp.at(beta, (w, s), step)
                 total += np.bincount(p, weights=weights[own][w] * np.exp(alpha[w, s] + step - whole[w]),
                                      minlength=len(total))
-        return total
+        return total, gained
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,25 +198,30 @@ def word_table(docs: DataFrame) -> DataFrame:
 def learn(words: DataFrame, texts: int, pieces: list[bytes]) -> tuple[Lattice, float]:
     """Piece probabilities from the word table; the log probability of the end token, one per training text."""
     spark = words.sparkSession
-    lattice, end = Lattice(pieces), 0.0
-    for _ in range(ROUNDS):
+    used, before, lattice, end = words.where("n > 0"), None, Lattice(pieces), 0.0
+    uses_of_all = used.agg(F.sum("n")).first()[0] or 0
+    while True:
         current = spark.sparkContext.broadcast(lattice)
 
         def expected(batches: Iterator[pa.RecordBatch], current=current) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(len(current.value.pieces))
+            total, gained = np.zeros(len(current.value.pieces)), 0.0
             for batch in batches:
                 marked = [MARK.encode() + w for w in batch.column("word").to_pylist()]
-                total += current.value.expected(marked, batch.column("n").to_numpy().astype(float))
-            used = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["piece", "n"])
-
-        counts = np.zeros(len(lattice.pieces))
-        uses = map_arrow(words.where("n > 0"), expected, "piece long, n double").groupBy("piece").agg(
-            F.sum("n").alias("n")).toArrow()
-        counts[uses.column("piece").to_numpy()] = uses.column("n").to_numpy()
-        logs = Lattice.normalised(np.append(counts + 1, texts + 1))
-        lattice, end = Lattice(pieces, logs[:-1]), float(logs[-1])
-    return lattice, end
+                uses, logs = current.value.expected(marked, batch.column("n").to_numpy().astype(float))
+                total, gained = total + uses, gained + logs
+            found = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(np.append(found, -1)), pa.array(np.append(total[found], gained))],
+                                             ["piece", "n"])
+
+        sums = map_arrow(used, expected, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n")).toArrow()
+        counts = np.zeros(len(lattice.pieces) + 1)
+        counts[sums.column("piece").to_numpy()] = sums.column("n").to_numpy()
+        current.unpersist()
+        likelihood = counts[-1] / max(uses_of_all, 1)
+        if before is not None and likelihood - before < TOLERANCE:
+            return lattice, end
+        logs = Lattice.normalised(np.append(counts[:-1] + 1, texts + 1))
+        before, lattice, end = likelihood, Lattice(pieces, logs[:-1]), float(logs[-1])
 
 
 class _Frequent:

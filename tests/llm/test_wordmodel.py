@@ -42,7 +42,8 @@ def test_recursions_equal_enumeration(texts):
         assert math.isclose(value, math.log(total), rel_tol=1e-9)
         for piece, n in uses.items():
             expected[piece] += weight * n / total
-    found = lattice.expected(marked, weights)
+    found, gained = lattice.expected(marked, weights)
+    assert math.isclose(gained, float(got @ weights), rel_tol=1e-9)
     for piece, n in zip(lattice.pieces, found, strict=True):
         assert math.isclose(n, expected[piece], rel_tol=1e-9, abs_tol=1e-12)
 
@@ -63,9 +64,13 @@ def brute(rows, pieces):
     n, v = sum(counts.values()) + len(training), len(counts) + 1
     lattice = M.Lattice(pieces)
     own = list(counts)
-    used = lattice.expected([(M.MARK + w).encode() for w in own], np.array([counts[w] for w in own], dtype=float))
-    logs = M.Lattice.normalised(np.append(used + 1, len(training) + 1))
-    lattice = M.Lattice(pieces, logs[:-1])
+    marked, weights = [(M.MARK + w).encode() for w in own], np.array([counts[w] for w in own], dtype=float)
+    per_word = [lattice.log_sums(marked) @ weights / weights.sum()]
+    while len(per_word) < 2 or per_word[-1] - per_word[-2] >= M.TOLERANCE:
+        logs = M.Lattice.normalised(np.append(lattice.expected(marked, weights)[0] + 1, len(training) + 1))
+        lattice = M.Lattice(pieces, logs[:-1])
+        per_word.append(lattice.log_sums(marked) @ weights / weights.sum())
+    assert len(per_word) > 3
     out = {}
     for i, t in rows:
         tokens = words(t)
