@@ -27,16 +27,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.storage import map_arrow, stored
-from footfall.llm.words import chunks, mix, odd_numbers, text_buffer, word_spans
+from footfall.llm.words import chunks, odd_numbers, text_buffer, word_spans
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 FREQUENT = 1_000_000
 TOLERANCE = 0.01
 _LOG10 = np.log(10.0)
-_BATCH_CELLS = 1 << 20
+_BATCH_CELLS = 1 << 16
 _STEP = np.uint64(odd_numbers(301, 1)[0])
 _LETTERS = odd_numbers(303, 256)
+_SPREAD = np.uint64(odd_numbers(305, 1)[0])
 
 
 def _hash_bytes(piece: bytes) -> int:
@@ -70,7 +71,7 @@ class Lattice:
             own = own[np.argsort(hashes[own], kind="stable")]
             self.order[n] = own
             seen = np.zeros(1 << 16, dtype=bool)
-            seen[(mix(hashes[own].copy()) & np.uint64(0xFFFF)).astype(np.int64)] = True
+            seen[hashes[own] * _SPREAD >> np.uint64(48)] = True
             self.tables.append((hashes[own], seen))
         # The vocabulary lists pieces by merge order; a start that falls with the rank as word frequencies do.
         self.logs = logs if logs is not None else self.normalised(1 / (10.0 + np.arange(len(self.pieces))))
@@ -92,13 +93,14 @@ class Lattice:
             if not len(keys):
                 continue
             span = prefix[:, size:] - prefix[:, :-size] * np.uint64(power)
-            maybe = seen[(mix(span.copy()) & np.uint64(0xFFFF)).astype(np.int64)]
+            maybe = seen[span * _SPREAD >> np.uint64(48)]
             maybe &= (np.arange(size, width + 1) <= lengths[:, None])
-            word, end = np.nonzero(maybe)
-            wanted = span[word, end]
+            place = np.flatnonzero(maybe)
+            wanted = span.ravel()[place]
             at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
             found = keys[at] == wanted
-            out.append((size, word[found], end[found] + size, self.order[size][at[found]]))
+            word, end = np.divmod(place[found], span.shape[1])
+            out.append((size, word, end + size, self.order[size][at[found]]))
         return out
 
     def _forward(self, uses: list, n: int, width: int) -> tuple[np.ndarray, list]:
@@ -107,7 +109,7 @@ class Lattice:
         end = np.concatenate([u[2] for u in uses])
         piece = np.concatenate([u[3] for u in uses])
         start = end - np.concatenate([np.full(len(u[1]), u[0]) for u in uses])
-        order = np.lexsort((word, end))
+        order = np.argsort(end * n + word, kind="stable")
         word, end, piece, start = word[order], end[order], piece[order], start[order]
         edges = np.searchsorted(end, np.arange(width + 2))
         alpha = np.full((n, width + 1), -np.inf)
