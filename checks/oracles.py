@@ -409,4 +409,13 @@ ORACLES = {
     "merged_dwell_loads": sql("""
         SELECT user_id, session_id, url, load_time AS page_start_time, max(event_time) AS page_end_time
         FROM visits WHERE url IS NOT NULL GROUP BY ALL""", "visits"),
+    "streamed_traffic_loads": sql(f"""
+        SELECT CAST({day('minute_ms')} AS VARCHAR) AS dt, count(*) AS loaded, CAST(sum(pv) AS BIGINT) AS pv,
+               count(DISTINCT user_id) AS uv FROM olap GROUP BY 1""", "olap"),
+    "streamed_late_rows": sql("""
+        SELECT CAST(1 AS BIGINT) AS batch_id, event_id, count(*) AS late_rows FROM ods
+        WHERE seq % 7 = 3 AND action_time < (SELECT max(action_time) FROM ods WHERE seq % 7 <> 3) GROUP BY event_id""", "ods"),
 }
+# What a streaming job stores is what its plan gives over the whole table.
+ORACLES |= {f"streamed_{name}": ORACLES[of] for name, of in (
+    ("traffic_5m", "traffic_5m"), ("traffic_today", "traffic_today"), ("running_sum", "running_sum_then_window"))}

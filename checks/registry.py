@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks.streamed import STREAMED
 from footfall import samples
 from footfall.functions import (as_long, day_of, geohash5, map_to_json, page_url, slice_index, time_slice, url_prefix,
                                 wall_clock)
@@ -374,4 +375,4 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     area_hierarchy, latest_user_changes, promotion_loads, page_uv_5m, marked_visits, play_parts,
     running_sum_by_gender, running_loads_by_session, merged_bitmap_users, merged_dwell_loads,
     sparse_users_day, stored_rollups,
-)}
+)} | STREAMED
