@@ -165,7 +165,7 @@ class Lattice:
             beta[np.arange(len(own)), lengths] = 0.0
             for k, w, s, p in reversed(steps):
                 step = self.logs[p] + beta[w, k]
-                np.logaddexp.at(beta, (w, s), step)
+                beta[w, s] = np.logaddexp(beta[w, s], step)  # one piece at most between two places of a word
                 total += np.bincount(p, weights=weights[own][w] * np.exp(alpha[w, s] + step - whole[w]),
                                      minlength=len(total))
         return total, gained
