@@ -8,8 +8,11 @@ documents are projected onto them and scaled to length one.
 The labelled vectors are broadcast. Every document's cosine with every labelled vector is computed, block by block,
 without an index; the labels of the ``NEIGHBOURS`` nearest vote, weighted by similarity to the power ``SHARPNESS``.
 
-Bounds: at most about ``LABELLED`` labelled texts are used, chosen by a hash of the text; the space has ``DIMENSIONS`` dimensions over ``FEATURES`` features. So the broadcast is at most
-FEATURES x DIMENSIONS and LABELLED x DIMENSIONS numbers of four bytes, 3 MB together.
+Bounds: the ``LABELLED`` distinct labelled texts that come first in the order of their hashes are learned from, all if
+there are fewer. Rows of equal text are one text, whose label is the mean of theirs, so a large group of copies has one
+vote like any other text. The space has ``DIMENSIONS`` dimensions over ``FEATURES`` features; the broadcast is
+FEATURES x DIMENSIONS and LABELLED x DIMENSIONS numbers of four bytes, 5 MB together. The driver holds the learned texts'
+features as sparse rows, of six bytes a feature and FEATURES at most each, and ``ROWS`` of them as dense ones at a time.
 """
 
 from __future__ import annotations
@@ -24,9 +27,10 @@ from pyspark.sql import functions as F
 from footfall.llm.storage import map_arrow
 from footfall.llm.words import chunks, span_hashes, text_buffer, word_spans
 
-FEATURES = 8_192
+FEATURES = 16_384
 DIMENSIONS = 64
 LABELLED = 4_000
+ROWS = 128
 NEIGHBOURS = 25
 SHARPNESS = 4
 THRESHOLD = 0.3
@@ -64,7 +68,11 @@ def _features(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
         forms = span_hashes(squeezed, place[begin], place[end])
         tail = np.maximum(begin, end - 3)
         endings = span_hashes(part, tail, end)
-        pairs = np.concatenate([forms, np.concatenate([forms[1:], forms[:1]]) ^ (forms * np.uint64(3))])
+        # The next word of the same text; the last one is followed by the first.
+        following = np.arange(1, len(forms) + 1)
+        some = np.diff(before) > 0
+        following[before[1:][some] - 1] = before[:-1][some]
+        pairs = np.concatenate([forms, forms[following] ^ (forms * np.uint64(3))])
         values = np.concatenate([hashes % np.uint64(FEATURES // 2), FEATURES // 2 + pairs % np.uint64(FEATURES // 4),
                                  3 * FEATURES // 4 + endings % np.uint64(FEATURES // 4)])
         code = np.concatenate([text] * 4) * FEATURES + values.astype(np.int64)
@@ -83,14 +91,41 @@ def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
 
 
 def _labelled_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each labelled text as its label, features and damped counts: at most ``FEATURES`` of them, however long it is."""
+    """Each learned text's key, label, features and damped counts: at most ``FEATURES`` of them, however long it is."""
     for batch in batches:
         for i, j, row, feature, value in _features(batch.column("text")):
             edges = np.searchsorted(row, np.arange(j - i + 1)).tolist()
             spans = list(zip(edges[:-1], edges[1:], strict=True))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label")[i:j], pa.array([feature[a:b].astype(np.int32).tobytes() for a, b in spans], pa.binary()),
-                 pa.array([value[a:b].tobytes() for a, b in spans], pa.binary())], ["label", "features", "counts"])
+                [batch.column("key")[i:j], batch.column("label")[i:j],
+                 pa.array([feature[a:b].astype(np.uint16).tobytes() for a, b in spans], pa.binary()),
+                 pa.array([value[a:b].tobytes() for a, b in spans], pa.binary())], ["key", "label", "features", "counts"])
+
+
+class _Matrix:
+    """The learned texts' weighted features as rows of length one, kept sparse and multiplied some rows at a time."""
+
+    def __init__(self, sample: pa.Table, weights: np.ndarray) -> None:
+        self.rows = []
+        for own, count in zip(sample.column("features"), sample.column("counts"), strict=True):
+            at = np.frombuffer(own.as_buffer(), np.uint16)
+            value = np.frombuffer(count.as_buffer(), np.float32) * weights[at]
+            length = np.linalg.norm(value)
+            self.rows.append((at, value / length if length > 0 else value))
+
+    def _dense(self) -> Iterator[tuple[int, np.ndarray]]:
+        for i in range(0, len(self.rows), ROWS):
+            part = self.rows[i:i + ROWS]
+            block = np.zeros((len(part), FEATURES), dtype=np.float32)
+            for k, (at, value) in enumerate(part):
+                block[k, at] = value
+            yield i, block
+
+    def times(self, right: np.ndarray) -> np.ndarray:
+        return np.concatenate([block @ right for _, block in self._dense()])
+
+    def transposed_times(self, right: np.ndarray) -> np.ndarray:
+        return sum(block.T @ right[i:i + len(block)] for i, block in self._dense())
 
 
 class Voter:
@@ -129,7 +164,7 @@ class Voter:
 def learn(docs: DataFrame, labelled: DataFrame) -> Voter | None:
     """A voter from ``labelled`` (text, label 0 or 1), with document frequencies from all of ``docs`` (text).
 
-    None if there is no labelled text with a word.
+    None if there is no labelled text that is more than blanks.
     """
     counts = map_arrow(docs.select("text"), _document_frequencies, "feature long, n long").groupBy("feature").agg(
         F.sum("n").alias("n")).collect()
@@ -142,28 +177,24 @@ def learn(docs: DataFrame, labelled: DataFrame) -> Voter | None:
             frequency[row["feature"]] = row["n"]
     weights = np.log((1 + total) / (1 + frequency)).astype(np.float32) + 1
 
-    rows = labelled.select("text", F.col("label").cast("int").alias("label")).where(
-        "label in (0, 1) and trim(text) <> ''").withColumn("spread", F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003)
-    sizes = {row["label"]: row["n"] for row in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if not sizes:
+    rows = labelled.select("text", F.xxhash64("text").alias("key"), F.col("label").cast("int").alias("label")).where(
+        "label in (0, 1) and trim(text) <> ''")
+    chosen = rows.groupBy("key").agg(F.avg("label").alias("label")).orderBy("key").limit(LABELLED)
+    # At most LABELLED keys with their labels; a task sends one row for all its copies of a text.
+    texts = rows.select("key", "text").join(F.broadcast(chosen), "key").groupBy("key").agg(
+        F.first("label").alias("label"), F.first("text").alias("text"))
+    sample = map_arrow(texts, _labelled_rows, "key long, label double, features binary, counts binary").orderBy("key").toArrow()
+    if not len(sample):
         return None
-    share = min(1.0, LABELLED / sum(sizes.values()))
-    sample = map_arrow(
-        rows.where(F.col("spread") < share).select("text", "label"), _labelled_rows, "label int, features binary, counts binary").orderBy("label", "features", "counts").toArrow()
-    labels = sample.column("label").to_numpy().astype(np.float64)
-    matrix = np.zeros((len(labels), FEATURES), dtype=np.float32)
-    for k, (own, value) in enumerate(zip(sample.column("features"), sample.column("counts"), strict=True)):
-        at = np.frombuffer(own.as_buffer(), np.int32)
-        matrix[k, at] = np.frombuffer(value.as_buffer(), np.float32) * weights[at]
-    length = np.linalg.norm(matrix, axis=1, keepdims=True)
-    matrix /= np.where(length > 0, length, 1)
-    size = min(DIMENSIONS, *matrix.shape)
+    labels = sample.column("label").to_numpy()
+    matrix = _Matrix(sample, weights)
+    size = min(DIMENSIONS, len(labels), FEATURES)
     probe = np.random.default_rng(SEED).standard_normal((FEATURES, size + 16)).astype(np.float32)
-    basis = np.linalg.qr(matrix @ probe)[0]
+    basis = np.linalg.qr(matrix.times(probe))[0]
     for _ in range(4):
-        basis = np.linalg.qr(matrix @ (matrix.T @ basis))[0]
-    space = np.linalg.svd(basis.T @ matrix, full_matrices=False)[2][:size].T
-    vectors = matrix @ space
+        basis = np.linalg.qr(matrix.times(matrix.transposed_times(basis)))[0]
+    space = np.linalg.svd(matrix.transposed_times(basis).T, full_matrices=False)[2][:size].T
+    vectors = matrix.times(space)
     length = np.linalg.norm(vectors, axis=1, keepdims=True)
     return Voter((weights[:, None] * space).astype(np.float32), vectors / np.where(length > 0, length, 1), labels)
 
@@ -172,7 +203,7 @@ def scored(docs: DataFrame, voter: Voter | None) -> DataFrame:
     """(doc_id, text) -> doc_id, score, predicted; other columns are not used.
 
     Every whole text is scored. A text that is NULL, empty or without a word, or near no labelled text, has the share of
-    label 1 among the labelled texts; without any labelled text all score 0. Repeated rows score alike.
+    label 1 among the learned texts; without any labelled text all score 0. Repeated rows score alike.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if voter is None:

@@ -1,9 +1,15 @@
+import collections
+import math
+import re
+
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from footfall.llm import langid, quality
 from footfall.llm.queries import op3_quality_votes
+from footfall.llm.words import span_hashes
 
 
 def test_votes_equal_a_full_comparison(spark, documents, sf):
@@ -49,3 +55,68 @@ def test_held_out_rule(spark):
     frame = spark.createDataFrame([(1,), (None,)], "doc_id long").select("doc_id", langid.held_out("doc_id", 5).alias("o"))
     import zlib
     assert {r.doc_id: r.o for r in frame.collect()} == {1: zlib.crc32(b"1") % 5 == 0, None: True}
+
+
+def plain_features(text):
+    """Damped counts by feature, word by word."""
+    def hashed(raw):
+        return int(span_hashes(np.frombuffer(raw, np.uint8), np.array([0]), np.array([len(raw)]))[0])
+
+    def shape(raw):
+        kinds = re.sub(rb"[\x80-\xff]|[a-z]", b"a", re.sub(rb"[A-Z]", b"A", re.sub(rb"[0-9]", b"0", raw)))
+        return re.sub(rb"(?s)(.)\1+", rb"\1", kinds)
+
+    found = re.findall(rb"[^\x20\x09-\x0d]+", text.encode())
+    forms = [hashed(shape(w)) for w in found]
+    half, quarter = quality.FEATURES // 2, quality.FEATURES // 4
+    seen = collections.Counter()
+    for k, word in enumerate(found):
+        pair = forms[(k + 1) % len(forms)] ^ (forms[k] * 3 % 2 ** 64)
+        lower = re.sub(rb"[A-Z]", lambda m: m[0].lower(), word)
+        seen.update([hashed(lower) % half, half + forms[k] % quarter, half + pair % quarter,
+                     half + quarter + hashed(word[-3:]) % quarter])
+    return {f: 1 + math.log(n) for f, n in seen.items()}
+
+
+def test_scores_equal_a_plain_computation(spark):
+    vocabulary = ["alpha", "Beta", "gamma9", "DELTA", "x-1", "été", "...", "omega", "Iota!", "42"]
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(1, 30))) for _ in range(60)]
+    marks = [int(k) for k in rng.integers(0, 2, 36)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    labelled = list(zip(texts, marks, strict=False)) + [(texts[0], 1 - marks[0])] * 2
+    voter = quality.learn(docs, spark.createDataFrame(labelled, "text string, label int"))
+    counts = [plain_features(t) for t in texts]
+    seen = collections.Counter(f for own in counts for f in own)
+    rows = np.zeros((len(texts), quality.FEATURES))
+    for k, own in enumerate(counts):
+        for f, n in own.items():
+            rows[k, f] = n * (math.log((1 + len(texts)) / (1 + seen[f])) + 1)
+    votes = collections.defaultdict(list)
+    for text, label in labelled:
+        votes[text].append(label)
+    learned = list(votes)
+    own = rows[[texts.index(t) for t in learned]]
+    space = np.linalg.svd(own / np.linalg.norm(own, axis=1, keepdims=True), full_matrices=False)[2][:quality.DIMENSIONS]
+    vectors = rows @ space.T
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    for vector, got in zip(vectors, voter.scores(pa.array(texts)), strict=True):
+        cosines = vectors[[texts.index(t) for t in learned]] @ vector
+        near = np.argsort(-cosines)[:quality.NEIGHBOURS]
+        weight = np.maximum(cosines[near], 0) ** quality.SHARPNESS
+        expected = sum(w * np.mean(votes[learned[k]]) for w, k in zip(weight, near, strict=True)) / weight.sum()
+        assert got == pytest.approx(expected, abs=1e-3)
+
+
+def test_a_third_of_the_labels_on_copies_of_one_text(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LABELLED", 100)
+    good, bad = "a fine long sentence about number {} and rivers", "BUY NOW !!! {} $$$ CLICK"
+    rows = [((bad if k % 4 == 0 else good).format(k), int(k % 4 != 0)) for k in range(800)] + [(good.format(1), 0)] * 400
+    labelled = spark.createDataFrame(rows, "text string, label int").repartition(7)
+    voter = quality.learn(labelled, labelled)
+    assert len(voter.labels) == 100 and len(voter.vectors) == 100
+    assert sum(0 < label < 1 for label in voter.labels) <= 1
+    scores = voter.scores(pa.array([good.format(k) for k in range(2, 90, 4)] + [bad.format(k) for k in range(0, 90, 4)]))
+    assert min(scores[:22]) > 0.8 and max(scores[22:]) < 0.2
+    again = quality.learn(labelled, labelled.repartition(3))
+    assert (again.labels == voter.labels).all() and (again.vectors == voter.vectors).all()
