@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from footfall.llm.storage import map_arrow
@@ -161,11 +161,26 @@ class Voter:
         return out
 
 
+def _text_key() -> Column:
+    """A hash by which equal texts meet; NULL for those of blanks alone."""
+    return F.when(F.trim("text") != "", F.xxhash64("text")).alias("key")
+
+
 def learn(docs: DataFrame, labelled: DataFrame) -> Voter | None:
     """A voter from ``labelled`` (text, label 0 or 1), with document frequencies from all of ``docs`` (text).
 
     None if there is no labelled text that is more than blanks.
     """
+    return _learn(docs, labelled.select(_text_key(), "label"), labelled)
+
+
+def learn_by_id(docs: DataFrame, labels: DataFrame) -> Voter | None:
+    """The same from ``labels`` (doc_id, label) of ``docs`` (doc_id, text). The join moves hashes instead of texts."""
+    return _learn(docs, docs.select("doc_id", _text_key()).join(labels, "doc_id").select("key", "label"), docs)
+
+
+def _learn(docs: DataFrame, keys: DataFrame, texts: DataFrame) -> Voter | None:
+    """``keys`` (key, label) say which of ``texts`` (text) are learned."""
     counts = map_arrow(docs.select("text"), _document_frequencies, "feature long, n long").groupBy("feature").agg(
         F.sum("n").alias("n")).collect()
     frequency = np.zeros(FEATURES)
@@ -177,13 +192,12 @@ def learn(docs: DataFrame, labelled: DataFrame) -> Voter | None:
             frequency[row["feature"]] = row["n"]
     weights = np.log((1 + total) / (1 + frequency)).astype(np.float32) + 1
 
-    rows = labelled.select("text", F.xxhash64("text").alias("key"), F.col("label").cast("int").alias("label")).where(
-        "label in (0, 1) and trim(text) <> ''")
-    chosen = rows.groupBy("key").agg(F.avg("label").alias("label")).orderBy("key").limit(LABELLED)
+    chosen = keys.select("key", F.col("label").cast("int").alias("label")).where("key IS NOT NULL AND label in (0, 1)") \
+        .groupBy("key").agg(F.avg("label").alias("label")).orderBy("key").limit(LABELLED)
     # At most LABELLED keys with their labels; a task sends one row for all its copies of a text.
-    texts = rows.select("key", "text").join(F.broadcast(chosen), "key").groupBy("key").agg(
+    learned = texts.select(_text_key(), "text").join(F.broadcast(chosen), "key").groupBy("key").agg(
         F.first("label").alias("label"), F.first("text").alias("text"))
-    sample = map_arrow(texts, _labelled_rows, "key long, label double, features binary, counts binary").orderBy("key").toArrow()
+    sample = map_arrow(learned, _labelled_rows, "key long, label double, features binary, counts binary").orderBy("key").toArrow()
     if not len(sample):
         return None
     labels = sample.column("label").to_numpy()

@@ -27,7 +27,7 @@ def op3_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = langid.held_out("doc_id", 5)
     labels = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("label"))
-    voter = quality.learn(docs, docs.where(~out).join(labels, "doc_id").select("text", "label"))
+    voter = quality.learn_by_id(docs, labels.where(~out))
     return quality.scored(docs, voter).select("doc_id", out.alias("held_out"), "score", "predicted")
 
 

@@ -118,5 +118,8 @@ def test_a_third_of_the_labels_on_copies_of_one_text(spark, monkeypatch):
     assert sum(0 < label < 1 for label in voter.labels) <= 1
     scores = voter.scores(pa.array([good.format(k) for k in range(2, 90, 4)] + [bad.format(k) for k in range(0, 90, 4)]))
     assert min(scores[:22]) > 0.8 and max(scores[22:]) < 0.2
+    numbered = spark.createDataFrame([(k, *row) for k, row in enumerate(rows)], "doc_id long, text string, label int")
+    by_id = quality.learn_by_id(numbered.select("doc_id", "text"), numbered.select("doc_id", "label"))
+    assert (by_id.labels == voter.labels).all() and (by_id.vectors == voter.vectors).all()
     again = quality.learn(labelled, labelled.repartition(3))
     assert (again.labels == voter.labels).all() and (again.vectors == voter.vectors).all()
