@@ -9,7 +9,7 @@ lower case first and begin after ``ORDER`` newlines.
 The language with the least total cost wins, by name among equals. Its score is its posterior under equal priors.
 
 Bounds: each language is learned from about ``SAMPLE_BYTES`` of its distinct texts (all, if there are fewer), taken in
-the order of a hash until that many bytes are reached. A text counts with its first ``TEXT_BYTES`` at most; where that
+the order of a hash until that many bytes are reached. A text counts with ``TEXT_BYTES`` at most, from windows over its whole length; where that
 leaves room, all texts are taken and the longer ones share the room evenly. All their contexts are
 kept, as costs per language, context and byte seen and escapes per language and context; so memory follows the sample,
 whatever the number of languages and byte values. Every text is scored whole, block by block.
@@ -32,6 +32,7 @@ from footfall.llm.words import text_buffer
 ORDER = 3
 SAMPLE_BYTES = 4_000_000
 TEXT_BYTES = SAMPLE_BYTES // 16
+WINDOWS = 8
 UNKNOWN = "und"
 RAW_BITS = 8.0
 _CELL_BLOCK = 4_000_000
@@ -81,14 +82,9 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Model:
-    """Frozen counts of byte 4-grams per language; the cost tables are built once per Python worker.
+    """Frozen counts of byte 4-grams per language; the cost tables are built once per Python worker."""
 
-    With ``cells`` only the contexts seen most often over all languages are kept, as many as fit that many cells of one
-    context, byte and language; without, all of them.
-    """
-
-    def __init__(self, grams: dict[str, tuple[np.ndarray, np.ndarray]], cells: int | None = None) -> None:
-        self.cells = cells
+    def __init__(self, grams: dict[str, tuple[np.ndarray, np.ndarray]]) -> None:
         self.names = sorted(grams)
         self.grams = [grams[name] for name in self.names]
         self._tables: tuple | None = None
@@ -108,31 +104,12 @@ class Model:
             self._tables = self._build()
         return self._tables
 
-    def _kept(self) -> list[np.ndarray]:
-        """The contexts of each order that fit ``cells``."""
-        totals, seen = [], np.zeros(0, np.int64)
-        for order in range(ORDER + 1):
-            pieces = [self._counts(i, order) for i in range(len(self.names))]
-            contexts, where = np.unique(np.concatenate([keys >> 8 for keys, _ in pieces]), return_inverse=True)
-            totals.append((contexts, np.bincount(where, weights=np.concatenate([n for _, n in pieces]))))
-            seen = np.union1d(seen, np.concatenate([keys & 255 for keys, _ in pieces]))
-        most = max(1, self.cells // ((len(seen) + 1) * len(self.names)))
-        ranked = np.lexsort((np.concatenate([np.full(len(c), k) for k, (c, _) in enumerate(totals)]),
-                             -np.concatenate([n for _, n in totals])))[:most]
-        bounds = np.cumsum([0] + [len(c) for c, _ in totals])
-        return [c[np.sort(ranked[(ranked >= a) & (ranked < b)] - a)]
-                for (c, _), a, b in zip(totals, bounds[:-1], bounds[1:], strict=True)]
-
     def _build(self) -> tuple[list, list, list]:
-        kept = None if self.cells is None else self._kept()
         escapes, seen, costs = [], [], []
         for i in range(len(self.names)):
             own = []
             for order in range(ORDER + 1):
                 keys, count = self._counts(i, order)
-                if kept is not None:
-                    inside = np.isin(keys >> 8, kept[order])
-                    keys, count = keys[inside], count[inside]
                 contexts, at, distinct = np.unique(keys >> 8, return_inverse=True, return_counts=True)
                 total = np.bincount(at, weights=count, minlength=len(contexts))
                 escape = -np.log2(distinct / (total + distinct))
@@ -228,6 +205,15 @@ def _limits(sizes: DataFrame, names: list[str]) -> dict[str, int]:
     return out
 
 
+def _windows(text: Column, most: Column) -> Column:
+    """The text if it has at most ``most`` bytes, else ``WINDOWS`` windows evenly spread from its first to its last
+    character, of about so many bytes together."""
+    length = F.char_length(text)
+    size = F.ceil(most * length / F.octet_length(text) / WINDOWS).cast("int")
+    starts = [F.floor((length - size) * k / (WINDOWS - 1)).cast("int") + 1 for k in range(WINDOWS)]
+    return F.when(F.octet_length(text) <= most, text).otherwise(F.concat(*[F.substring(text, at, size) for at in starts]))
+
+
 def _sample(rows: DataFrame) -> DataFrame | None:
     """(lang, text, most): each text to learn from once, and how many of its bytes; None if there is none.
 
@@ -253,11 +239,10 @@ def _sample(rows: DataFrame) -> DataFrame | None:
     bounds = rows.sparkSession.createDataFrame(
         [(name, limit, most) for name, (limit, most) in chosen.items()], "lang string, limit long, most long")
     taken = hashed.join(F.broadcast(bounds), "lang").where(F.col("spread") < F.col("limit"))
-    return taken.select("lang", "spread", "most", F.substring(F.col("text"), F.lit(1), F.col("most").cast("int")).alias(
-        "text")).groupBy("lang", "spread", "most").agg(F.min("text").alias("text")).select("lang", "text", "most")
+    return taken.select("lang", "spread", "most", _windows(F.col("text"), F.col("most")).alias("text")).groupBy("lang", "spread", "most").agg(F.min("text").alias("text")).select("lang", "text", "most")
 
 
-def learn(docs: DataFrame, cells: int | None = None) -> Model:
+def learn(docs: DataFrame) -> Model:
     """Context trees from the rows of ``docs`` (text, lang) that have both.
 
     Only sums per language and the counts of the bounded sample reach the driver.
@@ -270,7 +255,7 @@ def learn(docs: DataFrame, cells: int | None = None) -> Model:
         F.sum("n").alias("n")).toArrow()
     name, gram, n = (counted.column(c) for c in ("lang", "gram", "n"))
     return Model({x: (gram.filter(pc.equal(name, x)).to_numpy(), n.filter(pc.equal(name, x)).to_numpy().astype(float))
-                  for x in pc.unique(name).to_pylist()}, cells)
+                  for x in pc.unique(name).to_pylist()})
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
