@@ -340,14 +340,21 @@ STORED_ROLLUPS = {
 
 def stored_rollups(spark, sf_dir):
     """Roll-ups read from stored states: two loads, every day compacted, then a third load."""
-    loaded = olap.traffic_olap(samples.dwd(spark, sf_dir, users=True, geo=True, pages=True))
-    path = scratch_path(spark, "traffic_states")
-    part = F.pmod(F.xxhash64("session_id"), F.lit(3))
+    source, path = scratch_path(spark, "traffic_loads"), scratch_path(spark, "traffic_states")
+    part = F.coalesce(F.pmod(F.xxhash64("session_id"), F.lit(3)), F.lit(0)).cast("int")
+    rows = olap.traffic_olap(samples.dwd(spark, sf_dir, users=True, geo=True, pages=True)).withColumn("part", part)
+    # The loads are made once, so that each reads its own rows instead of deriving them anew.
+    rows.write.partitionBy("part").parquet(source)
+    loaded = spark.read.schema(rows.schema).parquet(source)
+
+    def load(number):
+        traffic_states.store_load(loaded.where(F.col("part") == number).drop("part"), number, path)
+
     for number in (0, 1):
-        traffic_states.store_load(loaded.where(F.coalesce(part, F.lit(0)) == number), number, path)
+        load(number)
     for day in partition_days(spark, f"{path}/day"):
         traffic_states.compact_states(spark, path, day, upto=1)
-    traffic_states.store_load(loaded.where(part == 2), 2, path)
+    load(2)
     out = []
     for name, dims in STORED_ROLLUPS.items():
         key = F.concat_ws("|", *[F.coalesce(F.col(d).cast("string"), F.lit("")) for d in dims])

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from footfall.operators.distinct_state import MEASURES_DDL, build_state, merge_state, read_state
+from footfall.operators.distinct_state import MEASURES_DDL, build_state, count_state, merge_state, read_state
 from footfall.plans.olap import TRAFFIC_KEYS, traffic_merge
 from footfall.sinks.loads import compact_loads, drop_merged, read_loads
 from footfall.sinks.partitions import bytes_in, exists, write_batch
@@ -71,7 +71,7 @@ def rollup(spark: SparkSession, path: str, dims: Sequence[str], grain: str | Non
     """``pv``, exact ``uv`` and estimated ``session_cnt`` at any subset of the key columns, from stored loads."""
     grain = grain or cheapest(spark, path, dims)
     rows = read_loads(spark, f"{path}/{grain}", ddl_of(grain))
-    return read_state(build_state(rows, dims) if grain == MINUTE else rows, dims)
+    return count_state(build_state(rows, dims), dims) if grain == MINUTE else read_state(rows, dims)
 
 
 def compact_states(spark: SparkSession, path: str, day: str | None, upto: int | None = None) -> dict[str, int | None]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from footfall import samples
 from footfall.jobs import JOBS
-from footfall.operators.distinct_state import FEW, build_state, merge_state, read_state
+from footfall.operators.distinct_state import FEW, _bits_of, _either, build_state, merge_state, read_state
 from footfall.plans import olap, traffic_states
 from footfall.sinks import loads
 from footfall.sinks.partitions import bytes_in, matching, write_batch
@@ -56,6 +56,28 @@ def test_sparse_ids_are_small(spark, tmp_path):
     assert read_state(spark.read.parquet(path), ["g"]).first().uv == 1000
 
 
+def test_groups_of_few_ids_never_take_a_bitmap(spark):
+    """A bitmap buffer of 4 KB a group made many small groups cost far more than their rows."""
+    states = build_state(frame(spark, [("a", 1, "s", 1)]), ["g"])
+    assert "bitmap_construct_agg" not in states._jdf.queryExecution().optimizedPlan().toString()
+    plan = merge_state(states, ["g"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" not in plan
+    assert plan.count("bitmap_or_agg") == 1 and "isnotnull" in plan.split("bitmap_or_agg")[1].lower()
+
+
+def test_bitmaps_of_ids_are_those_of_spark(spark):
+    rng = random.Random(4)
+    sets = [[0], [32767], [63, 64], list(range(32768)), *[sorted(rng.sample(range(32768), n)) for n in (3, 1500, 9000)]]
+    ids = spark.createDataFrame(list(enumerate(sets)), "k int, ids array<smallint>")
+    wanted = {r.k: bytes(r.b) for r in ids.select("k", F.explode("ids").alias("i")).groupBy("k").agg(
+        F.bitmap_construct_agg(F.col("i").cast("long")).alias("b")).collect()}
+    made = ids.select("k", _bits_of(F.col("ids")).alias("b"))
+    assert {r.k: bytes(r.b) for r in made.collect()} == wanted
+    pairs = made.alias("x").crossJoin(made.alias("y")).select(
+        F.col("x.k").alias("i"), F.col("y.k").alias("j"), _either(F.col("x.b"), F.col("y.b")).alias("b"))
+    assert all(bytes(r.b) == bytes(p | q for p, q in zip(wanted[r.i], wanted[r.j], strict=True)) for r in pairs.collect())
+
+
 DDL = "k STRING, pv BIGINT, dt DATE"
 
 
