@@ -30,14 +30,22 @@ def _stream(job: str, chunks: list[DataFrame], path: str, **settings) -> str:
 
 
 def _by_time(rows: DataFrame, time: str, value, end_after: int, end) -> list[DataFrame]:
-    """Messages ``value`` in chunks of equal spans of ``time``, and the message ``end(time)`` after the last."""
-    first, last = rows.agg(F.min(time), F.max(time)).first()
+    """Messages ``value`` in chunks of equal spans of ``time``, and the message ``end(time)`` after the last.
+
+    They are derived once and stored with their time, not once for the span and once for every chunk.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, "messages")
+    made = rows.select(F.col(time).alias("time"), value.alias("value"))
+    made.write.parquet(path)
+    made = spark.read.schema(made.schema).parquet(path)
+    first, last = made.agg(F.min("time"), F.max("time")).first()
     if first is None:
-        return [rows.select(value.alias("value"))]
+        return [made.select("value")]
     span = (last - first) // CHUNKS + 1
-    chunks = [rows.where((F.col(time) >= first + k * span) & (F.col(time) < first + (k + 1) * span)) for k in range(CHUNKS)]
-    closing = rows.sparkSession.range(1).select(end(F.lit(last + end_after)).alias("value"))
-    return [chunk.select(value.alias("value")) for chunk in chunks] + [closing]
+    chunks = [made.where((F.col("time") >= first + k * span) & (F.col("time") < first + (k + 1) * span)) for k in range(CHUNKS)]
+    closing = spark.range(1).select(end(F.lit(last + end_after)).alias("value"))
+    return [chunk.select("value") for chunk in chunks] + [closing]
 
 
 def _dwd_messages(spark: SparkSession, sf_dir: str, columns: list[str], **lookups) -> list[DataFrame]:

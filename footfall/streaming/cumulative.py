@@ -1,6 +1,6 @@
 """Day-to-date figures on a stream.
 
-The stream closes five-minute steps: one row per (step, key), so a key that floods a step costs one row. Each batch
+The stream closes five-minute steps: one row per step and combination of keys, so a key that floods a step costs one row. Each batch
 compares its keys with those already seen that day and adds, per step, the sums and the number of new keys. Running
 totals per group are carried on, so a batch writes the dashboard rows of the steps it closed, for every group of the day,
 and none beyond the newest closed step; no event is read twice.
@@ -37,53 +37,73 @@ class CumulativeJob:
 
     def closed_steps(self, rows: DataFrame, row_value: Column, keys: dict[str, Column],
                      wanted: Column | None = None, delay: str = "0 seconds") -> DataFrame:
-        """Streaming rows (``by``, day, step, kind, key, n) of closed steps; ``rows`` needs ``event_time``.
+        """Streaming rows (``by``, day, step, ``distincts``, n) of closed steps; ``rows`` needs ``event_time``.
 
-        ``wanted`` picks the rows that count. It is no filter, as Spark would move one below the watermark: all rows
-        drive the clock, so a step closes in time however rare the wanted rows are.
+        The keys of a row stay together: the stream keeps one state row per step and combination that occurs, not one
+        for every key of it. ``wanted`` picks the rows that count. It is no filter, as Spark would move one below the
+        watermark: all rows drive the clock, so a step closes in time however rare the wanted rows are.
         """
-        kinds = [F.struct(F.lit(ROWS).alias("kind"), F.lit(None).cast("string").alias("key"),
-                          row_value.cast("long").alias("n"))]
-        kinds += [F.struct(F.lit(name).alias("kind"), key.cast("string").alias("key"),
-                           F.lit(0).cast("long").alias("n")) for name, key in keys.items()]
-        marks = F.array(*kinds) if wanted is None else F.when(wanted, F.array(*kinds))
-        marked = with_event_time(rows, delay=delay).select(
-            *self.by, "row_time", F.explode_outer(marks).alias("k")).select(*self.by, "row_time", "k.*") \
-            .where(F.col("kind").isNotNull())
-        steps = marked.groupBy(F.window("row_time", f"{STEP_MS // 60_000} minutes"), *self.by, "kind", "key") \
-            .agg(F.sum("n").alias("n"))
+        timed = with_event_time(rows, delay=delay)
+        values = [*[key.alias(name) for name, key in keys.items()], row_value.cast("long").alias("n")]
+        if wanted is None:
+            marked = timed.select(*self.by, "row_time", *values)
+        else:
+            marked = timed.select(*self.by, "row_time", F.explode_outer(F.when(wanted, F.array(F.struct(*values)))).alias("k")) \
+                .where(F.col("k").isNotNull()).select(*self.by, "row_time", "k.*")
+        steps = marked.groupBy(F.window("row_time", f"{STEP_MS // 60_000} minutes"), *self.by, *keys).agg(F.sum("n").alias("n"))
         start = F.unix_millis(F.col("window.start"))
         return steps.select(
             *self.by, floor_div(start + F.lit(UTC8_MS), DAY_MS).cast("int").alias("day"),
-            slice_index(start, STEP_MS).alias("step"), "kind", "key", "n")
+            slice_index(start, STEP_MS).alias("step"), *keys, "n")
+
+    def _marks(self, closed: DataFrame) -> DataFrame:
+        """Closed steps as (``by``, day, step, kind, key, n): the row sum and each key by itself."""
+        nothing = F.lit(0).cast("long")
+        kinds = [F.struct(F.lit(ROWS).alias("kind"), F.lit(None).cast("string").alias("key"), F.col("n"))]
+        kinds += [F.struct(F.lit(name).alias("kind"), F.col(name).cast("string").alias("key"), nothing.alias("n"))
+                  for name in self.distincts]
+        group = [*self.by, "day", "step"]
+        return closed.select(*group, F.explode(F.array(*kinds)).alias("k")).select(*group, "k.*")
+
+    def add_closed(self, closed: DataFrame, batch_id: int) -> None:
+        """``add_batch`` of rows as ``closed_steps`` gives them."""
+        closed = closed.persist()
+        try:
+            self._add(self._marks(closed), batch_id)
+        finally:
+            closed.unpersist()
 
     def add_batch(self, steps: DataFrame, batch_id: int) -> None:
-        """Add closed steps to the keys seen and to the increments; both are repeatable per batch."""
-        spark = steps.sparkSession
-        group = [*self.by, "day"]
-        seen_path = f"{self.path}/seen"
-        seen_ddl = f"{self._group}kind STRING, key STRING, step INT, day INT"
+        """Add closed steps (``by``, day, step, kind, key, n) to the keys seen and to the increments; both are repeatable
+        per batch."""
         steps = steps.persist()
         try:
-            first = steps.where((F.col("kind") != ROWS) & F.col("key").isNotNull()) \
-                .groupBy(*group, "kind", "key").agg(F.min("step").alias("step"))
-            seen = read_batches(spark, seen_path, seen_ddl, before=batch_id)
-            if seen is not None:
-                # One number to the driver; as a literal it keeps all earlier days' directories from being read.
-                earliest = steps.agg(F.min("day")).first()[0]
-                first = _without(first, seen.where(F.col("day") >= F.lit(earliest)), [*group, "kind", "key"])
-            write_batch(first.select(*self.by, "kind", "key", "step", "day"), seen_path, batch_id, "day")
-            new = read_batches(spark, seen_path, seen_ddl, only=batch_id)
-            increments = steps.where(F.col("kind") == ROWS).select(*group, "step", "kind", "n") \
-                .unionByName(new.select(*group, "step", "kind", F.lit(1).cast("long").alias("n"))) \
-                .groupBy(*group, "step").agg(
-                    F.sum(F.when(F.col("kind") == ROWS, F.col("n")).otherwise(0)).alias(self.rows_as),
-                    *[F.count_if(F.col("kind") == name).alias(name) for name in self.distincts])
-            write_batch(increments, f"{self.path}/increments", batch_id, "day")
-            self._add_to_dashboard(steps, batch_id)
+            self._add(steps, batch_id)
         finally:
             steps.unpersist()
 
+    def _add(self, steps: DataFrame, batch_id: int) -> None:
+        spark = steps.sparkSession
+        group = [*self.by, "day"]
+        seen_path = f"{self.path}/seen"
+        seen_ddl = f"{self._group}kind STRING, key STRING, step INT, day INT"
+        first = steps.where((F.col("kind") != ROWS) & F.col("key").isNotNull()) \
+            .groupBy(*group, "kind", "key").agg(F.min("step").alias("step"))
+        seen = read_batches(spark, seen_path, seen_ddl, before=batch_id)
+        if seen is not None:
+            # One number to the driver; as a literal it keeps all earlier days' directories from being read.
+            earliest = steps.agg(F.min("day")).first()[0]
+            first = _without(first, seen.where(F.col("day") >= F.lit(earliest)), [*group, "kind", "key"])
+        write_batch(first.select(*self.by, "kind", "key", "step", "day"), seen_path, batch_id, "day")
+        new = read_batches(spark, seen_path, seen_ddl, only=batch_id)
+        increments = steps.where(F.col("kind") == ROWS).select(*group, "step", "kind", "n") \
+            .unionByName(new.select(*group, "step", "kind", F.lit(1).cast("long").alias("n"))) \
+            .groupBy(*group, "step").agg(
+                F.sum(F.when(F.col("kind") == ROWS, F.col("n")).otherwise(0)).alias(self.rows_as),
+                *[F.count_if(F.col("kind") == name).alias(name) for name in self.distincts])
+        write_batch(increments, f"{self.path}/increments", batch_id, "day")
+        self._add_to_dashboard(steps, batch_id)
+
     def _add_to_dashboard(self, steps: DataFrame, batch_id: int) -> None:
         """Dashboard rows of the steps that this batch closed; the newest closed step and the totals go on."""
         spark = steps.sparkSession
@@ -128,7 +148,7 @@ class CumulativeJob:
         return add_up_steps(rows, list(self.by), [self.rows_as, *self.distincts], last_step=last)
 
     def start(self, steps: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-        return steps.writeStream.outputMode("append").foreachBatch(self.add_batch) \
+        return steps.writeStream.outputMode("append").foreachBatch(self.add_closed) \
             .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 

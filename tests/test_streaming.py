@@ -140,6 +140,17 @@ def test_cumulative(spark, dwd, dwd_files, tmp_path, name):
     assert rows_of(job.dashboard(spark), *expected.columns) == rows_of(closed)
 
 
+def test_cumulative_state_has_a_row_per_combination(spark, dwd, dwd_files, tmp_path):
+    """The keys of a row share one state row per step; a row for each key of its own doubled the state."""
+    stream = read_dwd_stream(spark, path=feed(tmp_path / "in", dwd_files))
+    job, steps = cumulative.traffic_today(stream, str(tmp_path / "out"))
+    query = job.start(steps, str(tmp_path / "ck"))
+    finish(query)
+    kept = max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"])
+    wanted = dwd.where("event_time IS NOT NULL").selectExpr("event_time div 300000", "user_id", "session_id").distinct().count()
+    assert wanted // 2 < kept <= wanted + 5, "besides those of messages that only move the clock"
+
+
 def test_cumulative_batch_replayed(spark, tmp_path):
     ddl = "day INT, step INT, kind STRING, key STRING, n BIGINT"
     job = cumulative.CumulativeJob({}, "pv_amt", ["uv_amt"], str(tmp_path / "out"))
